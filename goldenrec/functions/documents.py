@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from goldenrec.functions.normalize import CNPJ_LENGTH, CPF_LENGTH, as_column
 
-# Mod-11 weights of the two check digits.
+# Mod-11 weights. The second digit also counts the first one, with weight 2.
 CPF_FIRST = (10, 9, 8, 7, 6, 5, 4, 3, 2)
-CPF_SECOND = (11, 10, 9, 8, 7, 6, 5, 4, 3, 2)
+CPF_SECOND = (11, 10, 9, 8, 7, 6, 5, 4, 3)
 CNPJ_FIRST = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
-CNPJ_SECOND = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+CNPJ_SECOND = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3)
+LAST_WEIGHT = 2
 
 
 def mask_doc(doc: Column | str) -> Column:
@@ -26,47 +29,42 @@ def mask_doc(doc: Column | str) -> Column:
     return F.when(size == CPF_LENGTH, cpf).when(size == CNPJ_LENGTH, cnpj).otherwise(doc)
 
 
-def _weighted(doc: Column, weights: Sequence[int]) -> Column:
-    total = F.lit(0)
-    for place, weight in enumerate(weights, start=1):
-        total = total + F.substring(doc, place, 1).cast("int") * weight
-    return total
+def _weighted(number: Column, weights: Sequence[int]) -> Column:
+    """Weighted digit sum; characters count by their distance from '0', so nothing is parsed."""
+    terms = [F.ascii(F.substring(number, i, 1)) * w for i, w in enumerate(weights, start=1)]
+    return reduce(add, terms) - ord("0") * sum(weights)
 
 
-def _mod11(doc: Column, weights: Sequence[int]) -> Column:
-    """Mod-11 digit: 0 for remainders 0 and 1, else 11 minus the remainder."""
-    rest = _weighted(doc, weights) % 11
-    return F.when(rest < 2, 0).otherwise(11 - rest)
+def _mod11(total: Column) -> Column:
+    """0 for remainders 0 and 1, else 11 minus the remainder."""
+    return (11 - total % 11) % 11 % 10
 
 
-def _cpf_digits(doc: Column) -> Column:
-    return F.concat(
-        _mod11(doc, CPF_FIRST).cast("string"), _mod11(doc, CPF_SECOND).cast("string")
-    )
-
-
-def _cnpj_digits(doc: Column) -> Column:
-    return F.concat(
-        _mod11(doc, CNPJ_FIRST).cast("string"), _mod11(doc, CNPJ_SECOND).cast("string")
-    )
+def _check_pair(base: Column, first: Sequence[int], second: Sequence[int]) -> Column:
+    """Both check digits of a base, as one number 0..99."""
+    one = _mod11(_weighted(base, first))
+    return one * 10 + _mod11(_weighted(base, second) + one * LAST_WEIGHT)
 
 
 def expected_check_digits(doc: Column | str) -> Column:
-    """The two check digits as text.
-
-    The second one is computed over the digits as given, so it is only meaningful when the first
-    one is right; NULL for texts that are not 11 or 14 digits.
-    """
+    """The two check digits the leading digits call for; NULL for texts that are not a document."""
     doc = as_column(doc)
-    return F.when(doc.rlike(r"\A[0-9]{11}\z"), _cpf_digits(doc)).when(
-        doc.rlike(r"\A[0-9]{14}\z"), _cnpj_digits(doc)
+    pair = F.when(doc.rlike(r"\A[0-9]{11}\z"), _check_pair(doc, CPF_FIRST, CPF_SECOND)).when(
+        doc.rlike(r"\A[0-9]{14}\z"), _check_pair(doc, CNPJ_FIRST, CNPJ_SECOND)
     )
+    return F.lpad(pair.cast("string"), 2, "0")
+
+
+def complete_doc(base: Column | str) -> Column:
+    """9 or 12 digits with their two check digits appended; NULL for other texts."""
+    base = as_column(base)
+    return F.concat(base, expected_check_digits(F.concat(base, F.lit("00"))))
 
 
 def check_digits_ok(doc: Column | str) -> Column:
     """True when the last two digits are the expected ones; NULL for NULL, false for other lengths."""
     doc = as_column(doc)
-    good = F.substring(doc, -2, 2) == expected_check_digits(doc)
+    good = F.right(doc, F.lit(2)) == expected_check_digits(doc)
     return F.when(doc.isNotNull(), F.coalesce(good, F.lit(False)))
 
 

@@ -39,11 +39,17 @@ def layer_of(model: str) -> str:
 
 
 def write_model(frame: DataFrame, base: str, model: str) -> DataFrame:
-    """Replace one stored table and return it as read back. Golden tables are laid out by id."""
+    """Replace one stored table and return it as read back.
+
+    Golden files are sorted by id inside each task and carry bloom filters on the two lookup
+    columns: a point read skips nearly all row groups, and no shuffle is spent on the layout.
+    """
+    writer_options = {}
     if model in ("golden_clientes", "golden_fornecedores"):
-        frame = frame.repartitionByRange("id_golden").sortWithinPartitions("id_golden")
+        frame = frame.sortWithinPartitions("id_golden")
+        writer_options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in ("id_golden", "cpf_cnpj")}
     path = f"{base.rstrip('/')}/{layer_of(model)}/{model}.parquet"
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.mode("overwrite").options(**writer_options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

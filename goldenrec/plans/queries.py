@@ -163,12 +163,12 @@ def flat_detail(rows: DataFrame) -> DataFrame:
 # Query factories
 
 
-def on_registry(source: str, registry: str, columns: Callable[[], dict[str, Column | str]]) -> Query:
-    """One projection over every bronze row of a derived registry."""
+def applied(source: str, registry: str, column: str, result: str, function: Callable[[], Column]) -> Query:
+    """One function over one column of every bronze row of a derived registry."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         rows = derive_registry(spark, folder, source, registry)
-        return rows.select([N.as_column(value).alias(name) for name, value in columns().items()])
+        return rows.select(column, function().alias(result))
 
     return query
 
@@ -466,58 +466,60 @@ CONTRACT_RULES = {
     for rule in ("not_null", "unique", "accepted_values")
 }
 
+def check_digits(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned document is a column of its own: the digit arithmetic refers to it many times."""
+    lines = derive_registry(spark, folder, "empresa_d", "clientes").withColumn("doc", N.clean_doc("Documento"))
+    return lines.select(
+        "Documento",
+        D.expected_check_digits("doc").alias("digitos"),
+        D.check_digits_ok("doc").alias("confere"),
+    )
+
+
+def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    rows = derive_registry(spark, folder, "empresa_c", "fornecedores")
+    kept = [F.col(name) for name in ("_id", "avaliacao_media", "observacoes", "endereco")]
+    return rows.select(
+        "_id",
+        N.json_text("endereco", "cidade").alias("cidade"),
+        N.json_text("endereco", "numero").alias("numero"),
+        N.pack_json(*kept).alias("texto"),
+    )
+
+
+def addresses(spark: SparkSession, folder: str) -> DataFrame:
+    lines = derive_registry(spark, folder, "empresa_d", "fornecedores")
+    return lines.select(
+        "Endereco", N.address_city("Endereco").alias("cidade"), N.address_uf("Endereco").alias("uf")
+    )
+
+
+def _golden_id() -> Column:
+    return F.md5(F.concat(F.lit("doc:"), N.clean_doc("cnpj")))
+
+
+def on_doc(function: Callable[[Column], Column], column: str) -> Callable[[], Column]:
+    return lambda: function(N.clean_doc(column))
+
+
 QUERIES: dict[str, Query] = {
-    "norm_clean_doc": on_registry(
-        "empresa_d", "clientes", lambda: dict(Documento="Documento", doc=N.clean_doc("Documento")),
-    ),
-    "norm_doc_kind": on_registry(
-        "empresa_a", "clientes", lambda: dict(cpf_cnpj="cpf_cnpj", kind=N.doc_kind(N.clean_doc("cpf_cnpj"))),
-    ),
-    "norm_doc_valid": on_registry(
-        "empresa_a", "clientes", lambda: dict(cpf_cnpj="cpf_cnpj", valido=N.doc_valid(N.clean_doc("cpf_cnpj"))),
-    ),
-    "norm_tipo_pessoa": on_registry(
-        "empresa_d", "clientes", lambda: dict(Documento="Documento", tipo=N.person_type(N.clean_doc("Documento"))),
-    ),
-    "norm_e164": on_registry("empresa_d", "fornecedores", lambda: dict(Fone="Fone", e164=N.to_e164("Fone"))),
-    "norm_email": on_registry("empresa_a", "clientes", lambda: dict(bruto="email", email=N.clean_email("email"))),
-    "norm_nome": on_registry("empresa_b", "clientes", lambda: dict(bruto="full_name", nome=N.clean_name("full_name"))),
-    "norm_uf": on_registry("empresa_a", "clientes", lambda: dict(bruto="endereco_uf", uf=N.clean_uf("endereco_uf"))),
-    "addr_city_uf": on_registry(
-        "empresa_d",
-        "fornecedores",
-        lambda: dict(Endereco="Endereco",
-        cidade=N.address_city("Endereco"),
-        uf=N.address_uf("Endereco"),),
-    ),
-    "id_unicad": on_registry("empresa_a", "fornecedores", lambda: dict(id="id", id_unicad=N.record_id("empresa_a", "id"))),
-    "id_golden": on_registry(
-        "empresa_c",
-        "fornecedores",
-        lambda: dict(cnpj="cnpj",
-        id_golden=F.md5(F.concat(F.lit("doc:"), N.clean_doc("cnpj"))),),
-    ),
+    "norm_clean_doc": applied("empresa_d", "clientes", "Documento", "doc", lambda: N.clean_doc("Documento")),
+    "norm_doc_kind": applied("empresa_a", "clientes", "cpf_cnpj", "kind", on_doc(N.doc_kind, "cpf_cnpj")),
+    "norm_doc_valid": applied("empresa_a", "clientes", "cpf_cnpj", "valido", on_doc(N.doc_valid, "cpf_cnpj")),
+    "norm_tipo_pessoa": applied("empresa_d", "clientes", "Documento", "tipo", on_doc(N.person_type, "Documento")),
+    "norm_e164": applied("empresa_d", "fornecedores", "Fone", "e164", lambda: N.to_e164("Fone")),
+    "norm_email": applied("empresa_a", "clientes", "email", "limpo", lambda: N.clean_email("email")),
+    "norm_nome": applied("empresa_b", "clientes", "full_name", "nome", lambda: N.clean_name("full_name")),
+    "norm_uf": applied("empresa_a", "clientes", "endereco_uf", "uf", lambda: N.clean_uf("endereco_uf")),
+    "addr_city_uf": addresses,
+    "id_unicad": applied("empresa_a", "fornecedores", "id", "id_unicad", lambda: N.record_id("empresa_a", "id")),
+    "id_golden": applied("empresa_c", "fornecedores", "cnpj", "id_golden", _golden_id),
     "json_extract": event_properties,
-    "json_pack": on_registry(
-        "empresa_c",
-        "fornecedores",
-        lambda: dict(_id="_id",
-        cidade=N.json_text("endereco", "cidade"),
-        numero=N.json_text("endereco", "numero"),
-        texto=N.pack_json(*[F.col(c) for c in ("_id", "avaliacao_media", "observacoes", "endereco")]),),
-    ),
-    "doc_mask": on_registry(
-        "empresa_d", "clientes", lambda: dict(Documento="Documento", mascara=D.mask_doc(N.clean_doc("Documento"))),
-    ),
-    "doc_check_digits": on_registry(
-        "empresa_d",
-        "clientes",
-        lambda: dict(Documento="Documento",
-        digitos=D.expected_check_digits(N.clean_doc("Documento")),
-        confere=D.check_digits_ok(N.clean_doc("Documento")),),
-    ),
-    "deaccent": on_registry("empresa_d", "fornecedores", lambda: dict(Endereco="Endereco", texto=D.deaccent("Endereco"))),
-    "strip_punct": on_registry("empresa_a", "clientes", lambda: dict(cpf_cnpj="cpf_cnpj", digitos=D.strip_punct("cpf_cnpj"))),
+    "json_pack": packed_documents,
+    "doc_mask": applied("empresa_d", "clientes", "Documento", "mascara", on_doc(D.mask_doc, "Documento")),
+    "doc_check_digits": check_digits,
+    "deaccent": applied("empresa_d", "fornecedores", "Endereco", "texto", lambda: D.deaccent("Endereco")),
+    "strip_punct": applied("empresa_a", "clientes", "cpf_cnpj", "digitos", lambda: D.strip_punct("cpf_cnpj")),
     "dirty_spellings": dirty_spellings,
     "latest_per_key": latest_events,
     "latest_per_composite_key": latest_lines,

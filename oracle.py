@@ -261,25 +261,22 @@ def detail_columns() -> str:
   strftime(ultima_atualizacao::timestamptz at time zone 'UTC', '%Y-%m-%d %H:%M:%S.%f') as ultima_atualizacao, 1 as versao"""
 
 
-def weighted(d: str, weights: list[int]) -> str:
-    return f"list_sum(list_transform({weights}, lambda w, i: w * cast({d}[i] as int)))"
-
-
 def check_digits(d: str) -> str:
-    def digit(weights: list[int]) -> str:
-        rest = f"({weighted(d, weights)} % 11)"
-        return f"cast(case when {rest} in (0, 1) then 0 else 11 - {rest} end as int)::varchar"
+    def digit(number: str, weights: list[int]) -> str:
+        total = f"list_sum(list_transform({weights}, lambda w, i: w * cast(({number})[i] as int)))"
+        return f"cast(case when {total} % 11 in (0, 1) then 0 else 11 - {total} % 11 end as int)::varchar"
+
+    def both(size: int, first: list[int], second: list[int]) -> str:
+        one = digit(f"{d}[1:{size}]", first)
+        return f"{one} || {digit(f'{d}[1:{size}] || {one}', second)}"
 
-    cpf = [list(range(10, 1, -1)), list(range(11, 1, -1))]
     tail = list(range(9, 1, -1))
-    cnpj = [[5, 4, 3, 2, *tail], [6, 5, 4, 3, 2, *tail]]
-    return (
-        f"case when length({d}) = 11 then {digit(cpf[0])} || {digit(cpf[1])} "
-        f"when length({d}) = 14 then {digit(cnpj[0])} || {digit(cnpj[1])} end"
-    )
+    cpf = both(9, list(range(10, 1, -1)), list(range(11, 1, -1)))
+    cnpj = both(12, [5, 4, 3, 2, *tail], [6, 5, 4, 3, 2, *tail])
+    return f"case when length({d}) = 11 then {cpf} when length({d}) = 14 then {cnpj} end"
 
 
-SHORT = ("id_golden, cluster_key, tipo_pessoa, nome_razao_social, cpf_cnpj, cpf_cnpj_kind")
+SHORT = "id_golden, cluster_key, tipo_pessoa, nome_razao_social, cpf_cnpj, cpf_cnpj_kind"
 SILVER_OUT = (
     "id_unicad, fonte, id_origem, tipo_cadastro, tipo_pessoa, nome_razao_social, cpf_cnpj, cpf_cnpj_kind, "
     "cpf_cnpj_valido, email, telefone_principal, cidade, uf, atributos_extras, _source, _ingested_at, _batch_id"
@@ -475,9 +472,9 @@ ORACLE: dict[str, str] = {
     "norm_doc_valid": f"select cpf_cnpj, {valid('d')} as valido from ({rows(A, f'cpf_cnpj, {doc("cpf_cnpj")} as d')}) x",
     "norm_tipo_pessoa": rows(D, f'"Documento", {person(doc("Documento"))} as tipo'),
     "norm_e164": rows(DF, f'b."Fone" as "Fone", {phone("b.Fone")} as e164'),
-    "norm_email": rows(A, f"email as bruto, {email('b.email')} as email"),
-    "norm_nome": rows(B, f"full_name as bruto, {name('full_name')} as nome"),
-    "norm_uf": rows(A, f"endereco_uf as bruto, {uf('endereco_uf')} as uf"),
+    "norm_email": rows(A, f"email, {email('b.email')} as limpo"),
+    "norm_nome": rows(B, f"full_name, {name('full_name')} as nome"),
+    "norm_uf": rows(A, f"endereco_uf, {uf('endereco_uf')} as uf"),
     "addr_city_uf": rows(DF, f'"Endereco", {address_city("Endereco")} as cidade, {address_uf("Endereco")} as uf'),
     "id_unicad": rows(AF, "id, md5(concat('empresa_a|', id)) as id_unicad"),
     "id_golden": rows(C, f"cnpj, md5('doc:' || {doc('cnpj')}) as id_golden"),
