@@ -207,7 +207,10 @@ def bronze_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``path, length, modificationTime`` of every file below ``path``; contents are not read."""
+    """``path, length, modificationTime`` of every file below ``path``; contents are not read.
+
+    Files without content, and those whose name starts with ``_`` or ``.``, are not listed.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
