@@ -22,7 +22,9 @@ def _doc_key() -> Column:
 def email_owners(silver: DataFrame) -> DataFrame:
     """``email -> cluster_via_email``: the smallest document cluster that uses the address."""
     return (
-        silver.where(F.col("cpf_cnpj_valido") & F.col("email").isNotNull())
+        silver.where(
+            F.col("cpf_cnpj_valido") & F.col("cpf_cnpj").isNotNull() & F.col("email").isNotNull()
+        )
         .groupBy("email")
         .agg(F.min(_doc_key()).alias("cluster_via_email"))
     )
@@ -36,17 +38,20 @@ def resolve_entities(silver: DataFrame) -> DataFrame:
     join, where adaptive execution splits the partition. Matching is one step: two records
     without a document never join through a shared address.
     """
-    documented = F.coalesce(F.col("cpf_cnpj_valido"), F.lit(False)) & F.col("cpf_cnpj").isNotNull()
-    by_doc = silver.where(documented).withColumns(
-        {"cluster_key": _doc_key(), "match_method": F.lit(DOC_MATCH)}
-    )
+    valid, doc, email = F.col("cpf_cnpj_valido"), F.col("cpf_cnpj"), F.col("email")
+    documented = valid & doc.isNotNull()
+    # plain comparisons, NULLs spelt out, so that both filters reach the file scan
+    undocumented = valid.isNull() | ~valid | doc.isNull()
     alone = F.concat(F.lit(ALONE_PREFIX), F.col("id_unicad"))
-    no_email = silver.where(~documented & F.col("email").isNull()).withColumns(
-        {"cluster_key": alone, "match_method": F.lit(SINGLETON)}
+    direct = silver.where(documented | email.isNull()).withColumns(
+        {
+            "cluster_key": F.when(documented, _doc_key()).otherwise(alone),
+            "match_method": F.when(documented, DOC_MATCH).otherwise(SINGLETON),
+        }
     )
     owner = F.col("cluster_via_email")
     by_email = (
-        silver.where(~documented & F.col("email").isNotNull())
+        silver.where(undocumented & email.isNotNull())
         .join(email_owners(silver), "email", "left")
         .withColumns(
             {
@@ -56,4 +61,4 @@ def resolve_entities(silver: DataFrame) -> DataFrame:
         )
     )
     names = CLUSTER.fieldNames()
-    return by_doc.select(names).unionByName(no_email.select(names)).unionByName(by_email.select(names))
+    return direct.select(names).unionByName(by_email.select(names))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,17 @@ from goldenrec.operators.metrics import quality_metrics
 from goldenrec.operators.quality import run_contract
 from goldenrec.operators.resolve import resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
+from goldenrec.session import concurrently
 from goldenrec.sources.readers import read_bronze, read_model
 
 REGISTRIES = ("clientes", "fornecedores")
-SILVER_MODELS = tuple(spec.model for spec in SPECS.values()) + tuple(
-    f"int_{registry}_padronizados" for registry in REGISTRIES
-)
+
+
+def union_model(registry: str) -> str:
+    return f"int_{registry}_padronizados"
+
+
+SILVER_MODELS = (*(spec.model for spec in SPECS.values()), *(union_model(r) for r in REGISTRIES))
 GOLD_MODELS = (
     "int_clientes_cluster",
     "int_fornecedores_cluster",
@@ -34,6 +40,12 @@ class Lake(NamedTuple):
     checks: DataFrame
 
 
+def staging_union(tables: dict[str, DataFrame], registry: str) -> DataFrame:
+    """Silver of one registry: a view over its stored staging tables, not a second copy of them."""
+    models = [spec.model for spec in SPECS.values() if spec.registry == registry]
+    return union_registry([tables[model] for model in models if model in tables])
+
+
 def layer_of(model: str) -> str:
     return "ouro" if model in GOLD_MODELS or model.startswith("golden_") else "prata"
 
@@ -68,7 +80,7 @@ def build_lake(
     """Silver and gold from bronze tables, stored below ``base``, then the data checks.
 
     Each step reads the stored step before it, so nothing upstream is computed twice and a lost
-    executor costs only the running step.
+    executor costs only the running step. Independent steps run side by side.
     """
     run_ts = run_ts or datetime.now(UTC)
     tables: dict[str, DataFrame] = {
@@ -79,16 +91,19 @@ def build_lake(
         tables[model] = write_model(frame, base, model)
         return tables[model]
 
-    for key, spec in SPECS.items():
-        if key in bronze:
-            store(spec.model, standardize(bronze[key], spec, run_ts, strict))
-    for registry in REGISTRIES:
-        parts = [tables[s.model] for key, s in SPECS.items() if s.registry == registry and key in bronze]
-        silver = store(f"int_{registry}_padronizados", union_registry(parts))
+    def stored_staging(key: tuple[str, str]) -> DataFrame:
+        return store(SPECS[key].model, standardize(bronze[key], SPECS[key], run_ts, strict))
+
+    def stored_gold(registry: str) -> None:
+        silver = staging_union(tables, registry)
+        tables[union_model(registry)] = silver
         clustered = store(f"int_{registry}_cluster", resolve_entities(silver))
         gold = build_golden(clustered, run_ts, strict=strict, list_limit=list_limit)
         store(f"golden_{registry}", gold.golden)
         store(f"golden_{registry}_listas", gold.lists)
+
+    concurrently([partial(stored_staging, key) for key in SPECS if key in bronze])
+    concurrently([partial(stored_gold, registry) for registry in REGISTRIES])
     store(
         "metricas_qualidade",
         quality_metrics(
@@ -109,8 +124,8 @@ def run_pipeline(
 
 
 def open_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The stored silver and gold tables by name."""
-    return {
-        model: read_model(spark, base.rstrip("/"), layer_of(model), model)
-        for model in SILVER_MODELS + GOLD_MODELS
-    }
+    """The silver and gold tables by name."""
+    names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS)
+    tables = {name: read_model(spark, base.rstrip("/"), layer_of(name), name) for name in names}
+    unions = {union_model(registry): staging_union(tables, registry) for registry in REGISTRIES}
+    return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from goldenrec.operators.latest import latest_per_key
 from goldenrec.operators.paging import page_envelopes, page_of
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
-from goldenrec.plans.pipeline import Lake, build_lake
-from goldenrec.session import checkpoint_dir, stage
+from goldenrec.plans.pipeline import REGISTRIES, Lake, build_lake
+from goldenrec.session import checkpoint_dir, concurrently, stage
 from goldenrec.sources.readers import bronze_all
 from goldenrec.sources.registries import derive_all, derive_registry
 
@@ -272,12 +273,15 @@ def conflicts(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_table(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics straight from bronze: every layer before them is rebuilt."""
-    layers = []
-    for registry in ("clientes", "fornecedores"):
+
+    def layers(registry: str) -> tuple[DataFrame, DataFrame]:
         union = stage(silver_union(spark, folder, registry), f"union-{registry}")
         clusters = stage(resolve_entities(union), f"cluster-{registry}")
-        layers.append((union, build_golden(clusters, RUN_TS).golden))
-    (silver_c, golden_c), (silver_f, golden_f) = layers
+        return union, build_golden(clusters, RUN_TS).golden
+
+    (silver_c, golden_c), (silver_f, golden_f) = concurrently(
+        [partial(layers, registry) for registry in REGISTRIES]
+    )
     return metrics.quality_metrics(silver_c, silver_f, golden_c, golden_f)
 
 

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+Result = TypeVar("Result")
+# Independent jobs handed to Spark at the same time, so that one's last tasks do not idle the cluster.
+CONCURRENT_JOBS = 4
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings this library expects; extra keyword settings win."""
     settings = {
@@ -44,3 +52,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def concurrently(jobs: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Results of independent Spark jobs, submitted side by side; the first failure is raised."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        return list(pool.map(lambda job: job(), jobs))
