@@ -31,6 +31,8 @@ GOLD_MODELS = (
     "golden_fornecedores",
     "metricas_qualidade",
 )
+# List entries of clusters too large for one golden row.
+LIST_MODELS = ("golden_clientes_listas", "golden_fornecedores_listas")
 
 
 class Lake(NamedTuple):
@@ -125,7 +127,7 @@ def run_pipeline(
 
 def open_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The silver and gold tables by name."""
-    names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS)
+    names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS) + list(LIST_MODELS)
     tables = {name: read_model(spark, base.rstrip("/"), layer_of(name), name) for name in names}
     unions = {union_model(registry): staging_union(tables, registry) for registry in REGISTRIES}
-    return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS}
+    return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS + LIST_MODELS}

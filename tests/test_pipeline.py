@@ -138,7 +138,7 @@ def test_lineage_and_source_rows(lake):
 def test_views_and_sql(spark, lake, tmp_path, capsys):
     base = lake[0]
     views = catalog.register_views(spark, base)
-    assert len(views) == 15
+    assert len(views) == 15 + 2
     row = catalog.run_sql(
         spark,
         "SELECT count(*) AS n, count(*) FILTER (WHERE total_fontes > 1) AS shared FROM golden_clientes;",
