@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -322,10 +321,6 @@ def age_check(objects: DataFrame, now: datetime, max_hours: float = ERROR_HOURS)
     return "ok", f"written {hours:.1f}h ago", ""
 
 
-def missing_path(error: Exception) -> bool:
-    return isinstance(error, PySparkException) and error.getCondition() == "PATH_NOT_FOUND"
-
-
 def check_report(
     spark: SparkSession,
     checks: Iterable[tuple[str, str, Callable[[], Outcome]]],

@@ -10,7 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from goldenrec.operators.paging import page_of
+from goldenrec.operators.golden import LIST_COLUMNS
+from goldenrec.operators.paging import in_order, page_of
 
 # Page sizes.
 DEFAULT_PER_PAGE = 25
@@ -134,13 +135,25 @@ def check_page(page: int, per_page: int, uf: str | None) -> None:
         raise ValueError("uf must have 2 letters")
 
 
-def present(golden: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Result columns with absent lists and maps shown as empty, and the two instants as timestamps."""
+def present(
+    golden: DataFrame, columns: tuple[str, ...], lists: DataFrame | None = None
+) -> DataFrame:
+    """Result columns with absent lists and maps shown as empty, and the two instants as timestamps.
+
+    With ``lists``, the list columns of a record whose entries live there stay NULL: not empty, but
+    to be read from ``lists``.
+    """
+    here = F.lit(True)
+    if lists is not None:
+        moved = lists.select(F.col("id_golden").alias("_id")).distinct().withColumn("_moved", F.lit(True))
+        golden = golden.join(moved, F.col("id_golden").eqNullSafe(F.col("_id")), "left")
+        here = F.col("_moved").isNull()
 
     def shown(name: str) -> Column:
         kind = golden.schema[name].dataType
         if kind.typeName() == "array":
-            return F.coalesce(F.col(name), F.array().cast(kind)).alias(name)
+            empty = F.when(here, F.array().cast(kind)) if name in LIST_COLUMNS else F.array().cast(kind)
+            return F.coalesce(F.col(name), empty).alias(name)
         if kind.typeName() == "map":
             return F.coalesce(F.col(name), F.create_map().cast(kind)).alias(name)
         if name in ("primeira_aparicao", "ultima_atualizacao"):
@@ -150,29 +163,39 @@ def present(golden: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return golden.select([shown(name) for name in columns])
 
 
+RANKING = [("score_completude", True), ("nome_razao_social", False)]
+
+
 def search(
-    golden: DataFrame, *, page: int = 1, per_page: int = DEFAULT_PER_PAGE, **filters: object
+    golden: DataFrame,
+    *,
+    page: int = 1,
+    per_page: int = DEFAULT_PER_PAGE,
+    lists: DataFrame | None = None,
+    **filters: str | None,
 ) -> Page:
     """One page of matching summaries, best score first, then by name (none last), then by id.
 
     Filters are those of ``search_matches``.
     """
     check_page(page, per_page, filters.get("uf") or None)
-    matches = search_matches(golden, **filters)
+    matches = search_matches(golden, lists=lists, **filters)
     total = matches.count()
-    rows = page_of(
-        matches, page, per_page, "id_golden", [("score_completude", True), ("nome_razao_social", False)]
-    )
-    return Page(total, page, per_page, page * per_page < total, present(rows, SUMMARY))
+    rows = page_of(matches, page, per_page, "id_golden", RANKING)
+    data = present(rows, SUMMARY, lists)
+    if lists is not None:
+        # the join above need not keep the order of the page
+        data = data.orderBy(*[in_order(*key) for key in [*RANKING, ("id_golden", False)]])
+    return Page(total, page, per_page, page * per_page < total, data)
 
 
-def detail_rows(golden: DataFrame, id_golden: str) -> DataFrame:
+def detail_rows(golden: DataFrame, id_golden: str, lists: DataFrame | None = None) -> DataFrame:
     """The 17 detail columns of one golden record: one row, or none."""
-    return present(golden.where(F.col("id_golden") == id_golden), DETAIL)
+    return present(golden.where(F.col("id_golden") == id_golden), DETAIL, lists)
 
 
-def detail(golden: DataFrame, id_golden: str) -> Row | None:
-    return detail_rows(golden, id_golden).first()
+def detail(golden: DataFrame, id_golden: str, lists: DataFrame | None = None) -> Row | None:
+    return detail_rows(golden, id_golden, lists).first()
 
 
 def resolve_entity_rows(golden_c: DataFrame, golden_f: DataFrame, id_golden: str) -> DataFrame:

@@ -6,9 +6,11 @@ import hashlib
 from collections.abc import Callable
 from datetime import UTC, datetime
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldenrec.functions import documents as D
 from goldenrec.functions import normalize as N
@@ -18,9 +20,19 @@ from goldenrec.operators.latest import latest_per_key
 from goldenrec.operators.paging import page_envelopes, page_of
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
+from goldenrec.plans.catalog import run_sql
 from goldenrec.plans.pipeline import REGISTRIES, Lake, build_lake
-from goldenrec.session import checkpoint_dir, concurrently, stage
-from goldenrec.sources.readers import bronze_all
+from goldenrec.session import concurrently, run_folder, stage
+from goldenrec.sources.bronze import Batch, ingest
+from goldenrec.sources.readers import (
+    bronze_all,
+    flatten_documents,
+    iso_dates,
+    read_batch,
+    read_csv_text,
+    read_documents,
+    read_pages,
+)
 from goldenrec.sources.registries import derive_all, derive_registry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +44,7 @@ DOC_TEXT = "000.125.870-33"
 CUSTOMER_ID = hashlib.md5(b"doc:00012587033").hexdigest()
 COMPANY_ID = hashlib.md5(b"doc:87932904000104").hexdigest()
 LARGE_FROM = 8
+META = ("_source", "_ingested_at", "_batch_id")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,8 +83,7 @@ def lake(spark: SparkSession, folder: str) -> Lake:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _lakes:
-        name = hashlib.md5(folder.encode()).hexdigest()
-        base = f"{checkpoint_dir(spark).rstrip('/')}/lake/{key[0]}-{name}"
+        base = f"{run_folder(spark)}/lake-{hashlib.md5(folder.encode()).hexdigest()}"
         _lakes[key] = build_lake(derive_all(spark, folder), base, RUN_TS)
     return _lakes[key]
 
@@ -218,6 +230,81 @@ def event_properties(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def iso_events(spark: SparkSession, folder: str) -> DataFrame:
+    return iso_dates(table(spark, folder, "events").select("event_id", "ts"))
+
+
+def stored_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as one bronze batch: tagged, written, and read back by batch id."""
+    base = f"{run_folder(spark)}/bronze-{uuid4()}"
+    rows = derive_registry(spark, folder, "empresa_a", "clientes").drop(*META)
+    batch = Batch.new(NOW, "lote-1")
+    ingest({"clientes": rows.drop("endereco_rua")}, "empresa_a", base, batch)
+    return read_batch(spark, base, "empresa_a", "clientes", batch.batch_id)
+
+
+def landed_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as a spreadsheet export, read back as untouched text."""
+    path = f"{run_folder(spark)}/csv-{uuid4()}"
+    rows = derive_registry(spark, folder, "empresa_d", "clientes").drop(*META)
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(header=True, quoteAll=True, escape='"', **spaces).csv(path)
+    return read_csv_text(spark, path)
+
+
+def landed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as documents of uneven shape, flattened to columns."""
+    path = f"{run_folder(spark)}/documents-{uuid4()}"
+    properties = F.from_json("props", "k int")
+    document = F.struct(
+        F.col("event_id").cast("string").alias("_id"),
+        F.col("event_type").alias("tipo"),
+        F.when(F.col("event_type") != "click", F.col("value")).alias("valor"),
+        F.when(F.col("user_id") % 2 == 0, properties).alias("props"),
+    )
+    table(spark, folder, "events").select(F.to_json(document)).write.text(path)
+    layout = T.StructType([T.StructField("valor", T.DoubleType())])
+    return flatten_documents(read_documents(spark, path), layout)
+
+
+def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers cut into page envelopes, landed, and read back as records."""
+    path = f"{run_folder(spark)}/pages-{uuid4()}"
+    page_envelopes(table(spark, folder, "customer"), "c_custkey", 25).write.json(path)
+    layout = table(spark, folder, "customer").schema
+    return flatten_documents(read_pages(spark, path, file_per_page=False), layout)
+
+
+def sql_normalizers(spark: SparkSession, folder: str) -> DataFrame:
+    """The normalisers called from SQL."""
+    N.register_sql_functions(spark)
+    return spark.sql(
+        """select `Nome`, clean_nome(`Nome`) as nome, clean_doc(`Documento`) as doc,
+             doc_kind(clean_doc(`Documento`)) as kind, doc_valid(clean_doc(`Documento`)) as valido,
+             tipo_pessoa_from_doc(clean_doc(`Documento`)) as tipo, to_e164(`Fone`) as fone,
+             clean_email(`Email`) as mail, clean_uf(right(trim(`Endereco`), 2)) as uf,
+             id_unicad('empresa_d', clean_doc(`Documento`)) as id
+           from {lines}""",
+        lines=derive_registry(spark, folder, "empresa_d", "clientes"),
+    )
+
+
+def sql_views(spark: SparkSession, folder: str) -> DataFrame:
+    """A user's SQL over the named views of a stored lake, large clusters included."""
+    for name, frame in lake(spark, folder).tables.items():
+        frame.createOrReplaceTempView(name)
+    return run_sql(
+        spark,
+        """with places as (
+             select id_golden, e.uf from golden_clientes lateral view explode(enderecos) t as e
+             union all
+             select id_golden, uf from golden_clientes_listas where lista = 'enderecos')
+           select p.uf, count(distinct g.id_golden) as clientes, max(g.score_completude) as melhor
+           from golden_clientes g join places p on g.id_golden = p.id_golden
+           where g.total_fontes > 1 group by p.uf""",
+    )
+
+
 def all_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return bronze_all(list(derive_all(spark, folder).values()))
 
@@ -530,6 +617,11 @@ QUERIES: dict[str, Query] = {
     **{spec.model.removeprefix("stg_").replace("empresa", "std"): standardized(*key) for key, spec in SPECS.items()},
     "union_clientes": _union_query("clientes"),
     "union_fornecedores": _union_query("fornecedores"),
+    "iso_dates": iso_events,
+    "bronze_batch": stored_batch,
+    "landed_csv": landed_csv,
+    "landed_documents": landed_documents,
+    "landed_pages": landed_pages,
     "bronze_all": all_bronze,
     "email_to_cluster": owners,
     "cluster_clientes": clustered("clientes"),
@@ -558,6 +650,8 @@ QUERIES: dict[str, Query] = {
     "resolve_entity_all": company_all,
     "health": table_health,
     "metrics_listing": metrics_listing,
+    "sql_normalizers": sql_normalizers,
+    "sql_views": sql_views,
     "sql_unique": unique_customers,
     "sql_shared_suppliers": shared_suppliers,
     "sql_by_uf": customers_per_uf,

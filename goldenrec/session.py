@@ -46,10 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder for the intermediate tables of this application: remove it as a whole afterwards."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/goldenrec/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back (a layer boundary)."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4()}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,13 +89,13 @@ _PAGE = T.StructType(
 )
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Records of landed page files ``{page, per_page, total, has_next, data[]}``, as ``doc`` VARIANT.
+def read_pages(spark: SparkSession, path: str, file_per_page: bool = True) -> DataFrame:
+    """Records of landed pages ``{page, per_page, total, has_next, data[]}``, as ``doc`` VARIANT.
 
-    Pages behind the first one that says ``has_next = false`` are stale and not read. Each file
-    is one page, so a whole file per record is small.
+    Pages are files of their own, or lines of larger files. Those behind the first one that says
+    ``has_next = false`` are stale and not read.
     """
-    pages = spark.read.schema(_PAGE).option("multiLine", True).json(path)
+    pages = spark.read.schema(_PAGE).option("multiLine", file_per_page).json(path)
     last = pages.where(~F.col("has_next")).agg(F.min("page")).first()[0]
     kept = pages if last is None else pages.where(F.col("page") <= last)
     return kept.select(F.explode("data").alias("doc"))
@@ -206,18 +207,32 @@ def bronze_all(frames: list[DataFrame]) -> DataFrame:
     return union
 
 
+_OBJECTS = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modificationTime", T.TimestampType()),
+    ]
+)
+
+
 def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """``path, length, modificationTime`` of every file below ``path``; contents are not read.
 
-    Files without content, and those whose name starts with ``_`` or ``.``, are not listed.
+    A folder that does not exist has no files. Files without content, and those whose name starts
+    with ``_`` or ``.``, are not listed.
     """
-    return (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(path)
-        .select("path", "length", "modificationTime")
     )
+    try:
+        return reader.load(path).select(_OBJECTS.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _OBJECTS)
 
 
 def read_model(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:

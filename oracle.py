@@ -500,6 +500,18 @@ from ({rows(D, f'"Documento", {doc("Documento")} as d')}) x""",
     **{f"std_{source[-1]}_{registry_}": std((source, registry_)) for source, registry_ in BRONZE},
     "union_clientes": with_(f"select {SILVER_OUT} from silver_c", "silver_c"),
     "union_fornecedores": with_(f"select {SILVER_OUT} from silver_f", "silver_f"),
+    "iso_dates": """select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S')
+  || case when microsecond(ts) % 1000000 = 0 then '' else strftime(ts, '.%f') end as ts from events""",
+    "bronze_batch": rows(
+        A,
+        "* exclude (_source, _ingested_at, _batch_id) replace (null::varchar as endereco_rua), 'empresa_a' as _source, "
+        "'2024-01-03T00:00:00+00:00' as _ingested_at, 'lote-1' as _batch_id",
+    ),
+    "landed_csv": rows(D, "* exclude (_source, _ingested_at, _batch_id)"),
+    "landed_documents": """select cast(event_id as varchar) as _id, event_type as tipo,
+  case when event_type <> 'click' then value end as valor,
+  case when user_id % 2 = 0 then replace(props, ' ', '') end as props from events""",
+    "landed_pages": "select * from customer",
     "bronze_all": bronze_union(),
     "email_to_cluster": with_("select email, owner as cluster_via_email from owner_c", "owner_c"),
     "cluster_clientes": with_(f"select {SILVER_OUT}, cluster_key, match_method from cluster_c", "cluster_c"),
@@ -580,6 +592,16 @@ where cluster_key = '{COMPANY_KEY}'""",
         "golden_f",
     ),
     "metrics_listing": with_("select * from metrics", "metrics"),
+    "sql_normalizers": f"""select "Nome", {name('"Nome"')} as nome, d as doc, {kind("d")} as kind, {valid("d")} as valido,
+  {person("d")} as tipo, {phone('"Fone"')} as fone, {email('"Email"')} as mail,
+  {uf('right(trim("Endereco"), 2)')} as uf, md5('empresa_d|' || d) as id
+from (select *, {doc('"Documento"')} as d from ({bronze(D)}) b) x""",
+    "sql_views": with_(
+        """select c.uf, count(distinct g.id_golden) as clientes, max(g.score_completude) as melhor
+from golden_c g join cluster_c c on g.cluster_key is not distinct from c.cluster_key
+where g.total_fontes > 1 and (c.cidade is not null or c.uf is not null) group by c.uf""",
+        "golden_c",
+    ),
     "sql_unique": with_(
         "select count(*) as clientes_unicos, count(*) filter (total_fontes > 1) as em_mais_de_uma_subsidiaria from golden_c",
         "golden_c",

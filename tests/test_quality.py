@@ -139,7 +139,7 @@ def test_report_isolates_failures(spark, tmp_path):
             ("no quarantine", "Pipeline", lambda: Q.quarantine_check(files.limit(0))),
             ("age", "Pipeline", lambda: Q.age_check(files, NOW)),
             ("recent", "Pipeline", lambda: Q.age_check(files, NOW - timedelta(hours=30))),
-            ("missing", "Pipeline", lambda: Q.age_check(files.limit(0), NOW)),
+            ("missing", "Pipeline", lambda: Q.age_check(list_objects(spark, f"{tmp_path}/none"), NOW)),
             ("broken", "Pipeline", broken),
         ],
         NOW,

@@ -90,6 +90,16 @@ def test_detail(clustered):
     assert search.detail(golden, "missing") is None
 
 
+def test_lists_elsewhere_are_not_shown_as_empty(tables):
+    ana = find(tables, doc=DOC).data.first()
+    moved = not tables.lists.isEmpty()
+    assert ana.emails == (None if moved else ["ana2@x.y", "ana@x.y"])
+    row = search.detail(tables.golden, ana.id_golden, tables.lists)
+    assert (row.atributos_por_fonte is None) == moved and row.metodos_match == ["doc_match"]
+    lone = find(tables, q="back").data.first()
+    assert (lone.emails, lone.telefones) == ([], [])
+
+
 def test_company_in_both_registries(spark, clustered):
     customers = build_golden(clustered, RUN_TS).golden
     suppliers = customers.where(F.col("cpf_cnpj") == DOC).withColumn("nome_razao_social", F.lit("fornecedor"))
