@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldenrec.operators.joins import shuffled_alone
 from goldenrec.operators.latest import latest_per_key
 
 
@@ -38,7 +39,9 @@ def source_records(golden: DataFrame, bronze: Mapping[str, tuple[DataFrame, Colu
         newest = latest_per_key(raw, ["_key"])
         payload = F.to_json(F.struct(*sorted(table.columns)), {"ignoreNullFields": "false"})
         rows = newest.select(F.col("_key").alias("id_origem"), payload.alias("registro"))
-        parts.append(refs.where(F.col("fonte") == source).join(rows, "id_origem"))
+        # many golden records may point to one placeholder id
+        wanted = refs.where(F.col("fonte") == source)
+        parts.append(wanted.join(shuffled_alone(rows, "id_origem"), "id_origem"))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

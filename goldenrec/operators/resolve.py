@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldenrec.operators.joins import shuffled_alone
 from goldenrec.schemas import CLUSTER
 
 # Match methods, strongest first, and the key prefixes.
@@ -52,7 +53,7 @@ def resolve_entities(silver: DataFrame) -> DataFrame:
     owner = F.col("cluster_via_email")
     by_email = (
         silver.where(undocumented & email.isNotNull())
-        .join(email_owners(silver), "email", "left")
+        .join(shuffled_alone(email_owners(silver), "email"), "email", "left")
         .withColumns(
             {
                 "cluster_key": F.coalesce(owner, alone),

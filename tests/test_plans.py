@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from goldenrec.operators import search
 from goldenrec.operators.golden import build_golden
 from goldenrec.operators.latest import latest_per_key
+from goldenrec.operators.lineage import source_records
 from goldenrec.operators.resolve import resolve_entities
 from goldenrec.plans.queries import QUERIES, lake, silver
+from goldenrec.schemas import SILVER
 from goldenrec.session import stage
-from helpers import RUN_TS
+from helpers import DEFAULTS, RUN_TS
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +44,62 @@ def test_rows_with_a_document_skip_the_lookup_shuffle(spark):
     assert "PushedFilters" in text and "IsNotNull(email)" in text
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+}
+
+
+@pytest.fixture
+def small_skew(spark):
+    """Thresholds at which a few thousand rows already count as a hot partition."""
+    before = {key: spark.conf.get(key, None) for key in SKEW}
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def hot_rows(spark, **values):
+    """Silver-like rows over eight files; a third of them share one value."""
+    number = F.col("id")
+    base = {name: F.lit(value) for name, value in DEFAULTS.items()}
+    base.update(id_unicad=F.md5(number.cast("string")), id_origem=number.cast("string"), **values)
+    rows = spark.range(0, 30_000, 1, 8)
+    return stage(rows.select([base[f.name].cast(f.dataType).alias(f.name) for f in SILVER]), "hot")
+
+
+def test_a_shared_address_is_split_over_tasks(spark, small_skew):
+    number = F.col("id")
+    doc = F.when(number % 3 == 1, F.lpad(number.cast("string"), 11, "9"))
+    email = F.when(number % 3 == 0, F.lit("hot@x.y")).otherwise(F.concat(number.cast("string"), F.lit("@x.y")))
+    rows = hot_rows(spark, cpf_cnpj=doc, cpf_cnpj_valido=doc.isNotNull(), email=email)
+    resolved = resolve_entities(rows)
+    assert len(resolved.collect()) == 30_000
+    assert "SortMergeJoin(skew=true)" in plan(resolved)
+
+
+def test_a_placeholder_source_id_is_split_over_tasks(spark, small_skew):
+    key = F.when(F.col("id") % 3 == 0, "0").otherwise(F.col("id").cast("string"))
+    golden = spark.range(0, 30_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("id_golden"),
+        F.create_map(F.lit("empresa_d"), key).alias("ids_origem"),
+    )
+    bronze = spark.range(0, 30_000, 1, 8).select(
+        key.alias("Documento"), F.lit("2024").alias("_ingested_at"), F.lit("b").alias("_batch_id")
+    )
+    found = source_records(golden, {"empresa_d": (bronze, F.col("Documento"))})
+    assert len(found.collect()) == 30_000
+    assert "SortMergeJoin(skew=true)" in plan(found)
+
+
 def test_golden_is_one_shuffle_by_cluster(spark):
     clustered = stage(resolve_entities(stage(silver(spark, SF, "empresa_a", "clientes"), "plan")), "plan")
     text = plan(build_golden(clustered, RUN_TS).golden)
