@@ -62,14 +62,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = schemas.CSV_COLUMNS
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...] = schemas.CSV_COLUMNS,
+    line_breaks: bool = True,
 ) -> DataFrame:
-    """CSV with a header, every field as the text it was; empty fields are '' and not NULL."""
+    """CSV with a header, every field as the text it was; empty fields are '' and not NULL.
+
+    Fields may hold line breaks, so a file is read by one task; set ``line_breaks`` to false for
+    large files known to have none, which Spark then splits.
+    """
     layout = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     frame = (
         spark.read.schema(layout)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -131,14 +138,10 @@ def _document_keys(documents: DataFrame, doc: str) -> list[str]:
 
 
 def _variant_field(doc: str, name: str, kind: T.DataType | None) -> Column:
-    path = "$['" + name.replace("'", "\\'") + "']"
-    value = F.variant_get(F.col(doc), path, "variant")
-    nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
-    if kind is not None and not isinstance(kind, T.StringType):
-        return F.try_variant_get(F.col(doc), path, kind.simpleString())
-    return F.when(nested, F.to_json(value)).otherwise(
-        F.try_variant_get(F.col(doc), path, "string")
-    )
+    """One key as text (objects and arrays as JSON), or as the scalar type asked for."""
+    quote = '"' if "'" in name else "'"
+    target = "string" if kind is None else kind.simpleString()
+    return F.try_variant_get(F.col(doc), f"$[{quote}{name}{quote}]", target)
 
 
 def iso_dates(frame: DataFrame) -> DataFrame:

@@ -40,6 +40,20 @@ def test_documents_of_any_shape(spark, tmp_path):
     assert (rows["b"].observacoes, rows["b"].novo, rows["b"].endereco, rows["c"].novo) == ("oi", "3", None, None)
 
 
+def test_keys_with_quotes(spark, tmp_path):
+    path = tmp_path / "odd.ndjson"
+    path.write_text(json.dumps({"d'água": 1, "a b": True, "x.y": [1]}), encoding="utf-8")
+    row = R.flatten_documents(R.read_documents(spark, str(path))).first()
+    assert row.asDict() == {"a b": "true", "d'água": "1", "x.y": "[1]"}
+
+
+def test_csv_without_line_breaks_splits(spark, tmp_path):
+    path = tmp_path / "wide.csv"
+    path.write_text("Nome,Documento,Fone,Email,Endereco,Obs\n" + " a ,1,,,,\n" * 10)
+    rows = R.read_csv_text(spark, str(path), line_breaks=False).collect()
+    assert [tuple(r) for r in rows] == [(" a ", "1", "", "", "", "")] * 10
+
+
 def test_too_many_keys_is_an_error(spark, monkeypatch, tmp_path):
     path = tmp_path / "wide.ndjson"
     path.write_text("\n".join(json.dumps({f"k{i}": 1}) for i in range(5)))
