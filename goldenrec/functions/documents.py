@@ -73,9 +73,9 @@ def strip_punct(value: Column | str) -> Column:
 
 
 def _accent_table() -> tuple[str, str]:
-    """Every BMP letter whose canonical decomposition is one base letter plus marks."""
+    """Every character whose canonical decomposition is one base character plus marks."""
     source, target = [], []
-    for code in range(0xC0, 0x2000):
+    for code in (c for c in range(0xC0, 0x30000) if not 0xD800 <= c < 0xE000):
         letter = chr(code)
         base = [c for c in unicodedata.normalize("NFD", letter) if unicodedata.category(c) != "Mn"]
         if len(base) == 1 and base[0] != letter:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +16,18 @@ COUNTRY_CODE = "55"
 EMAIL_PATTERN = r"\A[^@\s]+@[^@\s]+\.[^@\s]+\z"
 ADDRESS_UF_PATTERN = r"-\s*([A-Za-z]{2})\s*\z"
 ADDRESS_CITY_PATTERN = r",\s*([^,]+?)\s*-\s*[A-Za-z]{2}\s*\z"
+# What trimming takes off: every Unicode space separator, no-break space included, but not tabs.
+BLANKS = "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) == "Zs")
 
 
 def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def trimmed(value: Column | str) -> Column:
+    return F.btrim(as_column(value), F.lit(BLANKS))
+
+
 def digits(value: Column | str) -> Column:
     return F.regexp_replace(as_column(value), "[^0-9]", "")
 
@@ -60,18 +68,18 @@ def to_e164(value: Column | str) -> Column:
 
 
 def clean_email(value: Column | str) -> Column:
-    email = F.lower(F.trim(as_column(value)))
+    email = F.lower(trimmed(value))
     return F.when(email.rlike(EMAIL_PATTERN), email)
 
 
 def clean_name(value: Column | str) -> Column:
     """Outer blanks off, inner whitespace runs to one blank; letter case is left as it is."""
-    return F.nullif(F.regexp_replace(F.trim(as_column(value)), r"\s+", " "), F.lit(""))
+    return F.nullif(F.regexp_replace(trimmed(value), r"\s+", " "), F.lit(""))
 
 
 def clean_uf(value: Column | str) -> Column:
-    uf = F.upper(F.trim(as_column(value)))
-    return F.when(F.length(uf) == 2, uf)
+    uf = trimmed(value)
+    return F.when(F.length(uf) == 2, F.upper(uf))
 
 
 def record_id(tag: str, key: Column | str) -> Column:
@@ -106,6 +114,8 @@ def pack_json(*columns: Column) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
+_TRIMMED = "btrim(s, '" + "".join(f"\\u{ord(c):04x}" for c in BLANKS) + "')"
+
 # The same normalisers for SQL users: name -> (parameters, result type, expression).
 _SQL_FUNCTIONS: dict[str, tuple[str, str, str]] = {
     "clean_doc": ("s STRING", "STRING", "nullif(regexp_replace(s, '[^0-9]', ''), '')"),
@@ -130,13 +140,17 @@ _SQL_FUNCTIONS: dict[str, tuple[str, str, str]] = {
     "clean_email": (
         "s STRING",
         "STRING",
-        f"case when lower(trim(s)) rlike r'{EMAIL_PATTERN}' then lower(trim(s)) end",
+        f"case when lower({_TRIMMED}) rlike r'{EMAIL_PATTERN}' then lower({_TRIMMED}) end",
+    ),
+    "clean_nome": (
+        "s STRING",
+        "STRING",
+        rf"nullif(regexp_replace({_TRIMMED}, r'\s+', ' '), '')",
     ),
-    "clean_nome": ("s STRING", "STRING", r"nullif(regexp_replace(trim(s), r'\s+', ' '), '')"),
     "clean_uf": (
         "s STRING",
         "STRING",
-        "case when length(trim(s)) = 2 then upper(trim(s)) end",
+        f"case when length({_TRIMMED}) = 2 then upper({_TRIMMED}) end",
     ),
     "id_unicad": ("tag STRING, id STRING", "STRING", "md5(concat(tag, '|', id))"),
     "tipo_pessoa_from_doc": (

@@ -47,11 +47,11 @@ def phone(x: str) -> str:
 
 def email(x: str) -> str:
     e = f"lower(trim({x}))"
-    return f"case when regexp_full_match({e}, '[^@\\s]+@[^@\\s]+\\.[^@\\s]+') then {e} end"
+    return f"case when regexp_full_match({e}, '[^@[:space:]]+@[^@[:space:]]+\\.[^@[:space:]]+') then {e} end"
 
 
 def name(x: str) -> str:
-    return f"nullif(regexp_replace(trim({x}), '\\s+', ' ', 'g'), '')"
+    return f"nullif(regexp_replace(trim({x}), '[[:space:]]+', ' ', 'g'), '')"
 
 
 def uf(x: str) -> str:
@@ -59,11 +59,11 @@ def uf(x: str) -> str:
 
 
 def address_uf(x: str) -> str:
-    return f"regexp_extract({x}, '-\\s*([a-zA-Z][a-zA-Z])\\s*$', 1)"
+    return f"regexp_extract({x}, '-[[:space:]]*([a-zA-Z][a-zA-Z])[[:space:]]*$', 1)"
 
 
 def address_city(x: str) -> str:
-    return f"regexp_extract({x}, ',\\s*([^,]+?)\\s*-\\s*[a-zA-Z][a-zA-Z]\\s*$', 1)"
+    return f"regexp_extract({x}, ',[[:space:]]*([^,]+?)[[:space:]]*-[[:space:]]*[a-zA-Z][a-zA-Z][[:space:]]*$', 1)"
 
 
 def packed(names: dict[str, str]) -> str:

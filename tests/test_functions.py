@@ -49,6 +49,7 @@ CASES = [
         "clean_email",
         {
             " A@B.com ": "a@b.com",
+            "\u00a0a@b.com\u3000": "a@b.com",
             "a@b": None,
             "a@b.c\n": None,
             "a b@c.d": None,
@@ -60,12 +61,12 @@ CASES = [
     (
         N.clean_name,
         "clean_nome",
-        {"  A   B ": "A B", "": None, "   ": None, "\tA": " A", "A\n\tB": "A B", "joão": "joão", None: None},
+        {"  A   B ": "A B", "": None, "   ": None, "\tA": " A", "A\n\tB": "A B", "\u00a0 A\u00a0B\u2003": "A\u00a0B", "joão": "joão", None: None},
     ),
     (
         N.clean_uf,
         "clean_uf",
-        {" sp ": "SP", "SPO": None, "XX": "XX", "": None, None: None},
+        {" sp ": "SP", "sp\u00a0": "SP", "SPO": None, "XX": "XX", "": None, None: None},
     ),
 ]
 
