@@ -16,7 +16,7 @@ from goldenrec.sources.readers import bronze_all
 def register_views(spark: SparkSession, base: str) -> list[str]:
     """``bronze_all`` and one view per stored model, plus the normalisers as SQL functions."""
     views = {
-        "bronze_all": bronze_all(list(read_all_bronze(spark, base).values())),
+        "bronze_all": bronze_all(list(read_all_bronze(spark, base, every_column=True).values())),
         **open_lake(spark, base),
     }
     for name, frame in views.items():

@@ -67,8 +67,8 @@ def write_model(frame: DataFrame, base: str, model: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def read_all_bronze(spark: SparkSession, base: str) -> dict[tuple[str, str], DataFrame]:
-    return {key: read_bronze(spark, f"{base.rstrip('/')}/bronze", *key) for key in SPECS}
+def read_all_bronze(spark: SparkSession, base: str, **options: object) -> dict[tuple[str, str], DataFrame]:
+    return {key: read_bronze(spark, f"{base.rstrip('/')}/bronze", *key, **options) for key in SPECS}
 
 
 def build_lake(

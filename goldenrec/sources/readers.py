@@ -162,16 +162,26 @@ def iso_dates(frame: DataFrame) -> DataFrame:
 
 
 def read_bronze(
-    spark: SparkSession, base: str, source: str, kind: str, since: tuple[int, int] | None = None
+    spark: SparkSession,
+    base: str,
+    source: str,
+    kind: str,
+    since: tuple[int, int] | None = None,
+    every_column: bool = False,
 ) -> DataFrame:
-    """All batches of one source and registry type; ``since=(year, month)`` prunes older folders."""
-    layout = schemas.BRONZE[source, kind]
-    parts = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
-    frame = (
-        spark.read.schema(T.StructType(layout.fields + parts.fields))
-        .option("basePath", f"{base}/{source}/{kind}")
-        .parquet(f"{base}/{source}/{kind}")
-    )
+    """All batches of one source and registry type; ``since=(year, month)`` prunes older folders.
+
+    The columns are those of the contract, without looking into any file. ``every_column`` adds
+    what single batches have beyond them, at the price of reading all file footers.
+    """
+    folder = f"{base}/{source}/{kind}"
+    reader = spark.read.option("basePath", folder)
+    if every_column:
+        frame = reader.option("mergeSchema", True).parquet(folder)
+    else:
+        parts = [T.StructField(name, T.IntegerType()) for name in ("year", "month")]
+        layout = T.StructType([*schemas.BRONZE[source, kind].fields, *parts])
+        frame = reader.schema(layout).parquet(folder)
     if since is not None:
         year, month = since
         frame = frame.where(

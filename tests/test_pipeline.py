@@ -11,7 +11,9 @@ from goldenrec.operators.quality import CONTRACT
 from goldenrec.plans import catalog
 from goldenrec.plans.pipeline import run_pipeline
 from goldenrec.sources import bronze as B
+from goldenrec.schemas import BRONZE
 from goldenrec.sources.fixtures import Universe
+from goldenrec.sources.readers import read_bronze
 from helpers import RUN_TS, as_set
 
 FIRST, SECOND = (datetime(2024, month, 3, tzinfo=UTC) for month in (1, 2))
@@ -169,7 +171,12 @@ def test_search_on_stored_gold(spark, lake):
     assert page.total >= len(page.data.collect()) == min(page.total, 100)
 
 
-def test_lenient_bronze_with_more_columns(spark, tmp_path):
-    frame = Universe(spark).crm().withColumn("novo", F.lit("x"))
-    B.ingest({"clientes": frame}, "empresa_b", str(tmp_path), B.Batch.new(FIRST))
-    assert spark.read.parquet(str(tmp_path)).columns.count("novo") == 1
+def test_batches_with_more_columns(spark, tmp_path):
+    crm = Universe(spark).crm()
+    B.ingest({"clientes": crm}, "empresa_b", str(tmp_path), B.Batch.new(FIRST))
+    B.ingest({"clientes": crm.withColumn("novo", F.lit("x"))}, "empresa_b", str(tmp_path), B.Batch.new(SECOND))
+    contract = read_bronze(spark, str(tmp_path), "empresa_b", "clientes")
+    assert contract.columns == BRONZE["empresa_b", "clientes"].names and contract.count() == 200
+    whole = read_bronze(spark, str(tmp_path), "empresa_b", "clientes", every_column=True)
+    assert set(whole.columns) == {*contract.columns, "novo"}
+    assert whole.where("novo = 'x'").count() == whole.where("novo is null").count() == 100
