@@ -63,9 +63,14 @@ def silver_union(spark: SparkSession, folder: str, registry: str) -> DataFrame:
     return union_registry([silver(spark, folder, *key) for key in SPECS if key[1] == registry])
 
 
+def stored_union(spark: SparkSession, folder: str, registry: str) -> DataFrame:
+    """Silver as a stored table: later steps read it more than once, and their filters then apply to
+    its columns instead of repeating the expressions behind them."""
+    return stage(silver_union(spark, folder, registry), f"union-{registry}")
+
+
 def cluster(spark: SparkSession, folder: str, registry: str) -> DataFrame:
-    """Clustered registry over a stored union: resolution reads the union more than once."""
-    return resolve_entities(stage(silver_union(spark, folder, registry), f"union-{registry}"))
+    return resolve_entities(stored_union(spark, folder, registry))
 
 
 def gold(spark: SparkSession, folder: str, registry: str, **options: object) -> Golden:
@@ -310,7 +315,7 @@ def all_bronze(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def owners(spark: SparkSession, folder: str) -> DataFrame:
-    return email_owners(silver_union(spark, folder, "clientes"))
+    return email_owners(stored_union(spark, folder, "clientes"))
 
 
 def clustered(registry: str) -> Query:
@@ -362,7 +367,7 @@ def quality_table(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics straight from bronze: every layer before them is rebuilt."""
 
     def layers(registry: str) -> tuple[DataFrame, DataFrame]:
-        union = stage(silver_union(spark, folder, registry), f"union-{registry}")
+        union = stored_union(spark, folder, registry)
         clusters = stage(resolve_entities(union), f"cluster-{registry}")
         return union, build_golden(clusters, RUN_TS).golden
 
