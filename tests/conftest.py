@@ -9,7 +9,7 @@ from goldenrec.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[8]",
@@ -17,7 +17,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
