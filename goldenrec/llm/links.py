@@ -6,22 +6,41 @@ its lineage in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from goldenrec.session import checkpoint_dir
+from goldenrec.session import run_folder, stage
 
 
-def saved(frame: DataFrame) -> DataFrame:
-    """``frame`` computed once into the shared checkpoint folder."""
-    checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+class Scratch:
+    """Tables of a loop, written to the shared folder and removed together when it is done.
+
+    Written tables cut the lineage and have true sizes; checkpointed frames keep estimated ones, which a loop
+    multiplies up until planning takes longer than the work.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folder = f"{run_folder(spark)}/loop-{uuid.uuid4()}"
+        self.count = 0
+
+    def saved(self, frame: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def clear(self) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, saved: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``id, component`` for every id of ``links(a, b)``: the smallest id of its connected group.
 
     Each round takes the smallest label among the neighbours (combined before the shuffle, so a hub
@@ -68,6 +87,8 @@ def star_groups(
     bucket that could still join two groups is tested, pairs inside a group are not, and a bucket of
     n members around a common text costs about n pairs instead of n * n / 2.
     """
+    scratch = Scratch(members.sparkSession)
+    saved = scratch.saved
     range_ = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     shared = range_.where("low < high").select("bucket", "low")
     live = saved(members.join(shared, "bucket").select("bucket", "low", "id", "info").distinct())
@@ -79,7 +100,7 @@ def star_groups(
     live, found = live.drop("low"), [links]
     tested: list[DataFrame] = []
     width = 1
-    groups = components(links)
+    groups = components(links, saved)
     while True:
         placed = (
             live.drop("component")
@@ -100,7 +121,9 @@ def star_groups(
             outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width).drop("turn")
         )
         if centres.isEmpty():
-            return groups, reduce(DataFrame.unionAll, found)
+            result = stage(groups, "groups"), stage(reduce(DataFrame.unionAll, found), "links")
+            scratch.clear()
+            return result
         mine = centres.select(
             "bucket",
             F.col("id").alias("centre"),
@@ -120,7 +143,7 @@ def star_groups(
         links = saved(confirm(pairs))
         if not links.isEmpty():
             found.append(links)
-            groups = components(reduce(DataFrame.unionAll, found))
+            groups = components(reduce(DataFrame.unionAll, found), saved)
         used = used.unionAll(centres.select("bucket", "id"))
         live = live.drop("main")
         width *= 2
