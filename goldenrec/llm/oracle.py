@@ -51,7 +51,141 @@ select w.doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::b
 from w left join texts using (doc_id)
 """
 
+
+OP1_RULES = (
+    ("assign", """(?i)(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("repository_token", r"gh[opsu]_[A-Za-z0-9]{30,}", 0, 1),
+    ("chat_token", r"xox[abps]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+)
+_OP1_EACH = " union all ".join(
+    f"""
+  select doc_id, {rank} as rank, '{kind}' as kind, unnest(string_split_regex(t, '{pattern}')) as gap,
+    unnest(regexp_extract_all(t, '{pattern}', 0) || ['']) as found,
+    unnest(regexp_extract_all(t, '{pattern}', {group}) || ['']) as own,
+    unnest(range(len(regexp_extract_all(t, '{pattern}', 0)) + 1)) as i, {least} as least
+  from d"""
+    for rank, (kind, pattern, group, least) in enumerate(OP1_RULES)
+)
+OP1 = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents
+), parts as ({_OP1_EACH}
+), placed as (
+  select *, sum(length(gap) + length(found)) over (partition by doc_id, rank order by i) as stop from parts
+), spans as (
+  select doc_id, rank, kind, (stop - length(found))::bigint as start, stop::bigint as stop
+  from placed where length(own) >= least and found <> ''
+), per_doc as (
+  select doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank = 1) as n_access,
+    count(*) filter (rank = 2) as n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (rank < 3) as base,
+    string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans
+  from spans group by doc_id
+)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+  coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join per_doc using (doc_id)
+"""
+
+_OP2_WORDS = rf"regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP2 = f"""
+with items as (select item_id, {_OP2_WORDS} as words from benchmark
+), item_windows as (
+  select distinct item_id, size, list_slice(words, i, i + size - 1) as win from (
+    select item_id, words, least(len(words), 10) as size, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i
+    from items where len(words) > 0)
+), w as (select doc_id, {_OP2_WORDS} as words from documents
+), sizes as (select distinct size from item_windows
+), doc_windows as (
+  select doc_id, size, i, list_slice(words, i, i + size - 1) as win
+  from (select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as i
+        from w, sizes where len(words) >= size)
+), hits as (
+  select doc_id, item_id, i, d.size from doc_windows d join item_windows b on d.size = b.size and d.win = b.win
+), covered as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + size)) as p from hits) group by 1
+), found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item_id::varchar as item from hits) group by 1
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join covered using (doc_id) left join found using (doc_id)
+"""
+
+OP6_FROM = """
+with recursive sizes as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size
+  from {table}
+), totals as (select source, sum(size)::bigint as source_size from sizes group by source
+), ranked as (
+  select *, ((row_number() over (order by source is null, source) - 1) % 3 + 1)::bigint as weight,
+    3 * source_size as cap from totals
+), placed as (
+  select *, row_number() over r as place,
+    sum(source_size) over () - coalesce(sum(cap) over (r rows between unbounded preceding and 1 preceding), 0) as rest,
+    sum(weight) over () - coalesce(sum(weight) over (r rows between unbounded preceding and 1 preceding), 0) as others
+  from ranked window r as (order by cap::double / weight::double, source is null, source)
+), level as (
+  select place as p, rest, others from placed where cap * others >= rest * weight order by place limit 1
+), targets as (
+  select source, source_size,
+    case when place < p then cap::double else (weight * level.rest)::double / level.others::double end as target,
+    greatest(least(source_size // 256, 32), 1)::bigint as block
+  from placed, level
+), facts as (
+  select *, ceil(source_size / block)::bigint as blocks, target / block::double as slots from targets
+), edges as (
+  select *, floor(sum(slots) over (o rows between unbounded preceding and current row)
+      / sum(slots) over (o rows between unbounded preceding and unbounded following) * 1099511627776.0)::bigint as upper
+  from facts where slots > 0 window o as (order by source is null, source)
+), shares as (
+  select *, lag(upper, 1, 0) over (order by source is null, source) as lower from edges
+), slots as (
+  select slot, ((slot::hugeint * 679535556991) % 1099511627776)::bigint as point
+  from (select unnest(range((select ceil(sum(slots))::bigint from facts))) as slot)
+), chosen as (
+  select source, blocks, row_number() over (partition by source order by slot) - 1 as rank
+  from slots join shares on point >= lower and point < upper
+), times as (
+  select source, rank % blocks as number, count(*) as times from chosen where rank < 3 * blocks group by 1, 2
+), laid as (
+  select s.doc_id, s.source, s.size, f.source_size, f.target, f.block,
+    sum(size) over (partition by s.source order by md5(coalesce(s.doc_id::varchar, '')), s.doc_id, size
+      rows between unbounded preceding and current row) - size as start
+  from sizes s join facts f on s.source is not distinct from f.source
+), pieces as (
+  select *, unnest(range((start // block)::bigint, ((start + size - 1) // block + 1)::bigint)) as number from laid where size > 0
+), taken as (
+  select p.doc_id, p.source, p.start,
+    sum((least(start + size, (p.number + 1) * block) - greatest(start, p.number * block)) * coalesce(times, 0)) as taken
+  from pieces p left join times t on t.source is not distinct from p.source and t.number = p.number group by 1, 2, 3
+)
+select l.doc_id, l.source, l.size, l.source_size, l.target, coalesce(t.taken, 0)::bigint as taken
+from laid l left join taken t on l.size > 0 and t.doc_id is not distinct from l.doc_id
+  and t.source is not distinct from l.source and t.start = l.start
+"""
+OP6 = OP6_FROM.format(table="documents")
+
+OP7 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages
+), f as (select *, min(page_id) over (partition by payload_digest) as first from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes < 100 or page_id = first then 'response' else 'revisit' end as record_type,
+  case when payload_bytes < 100 or page_id = first then null else first end as refers_to
+from f
+"""
+
 ORACLE = {
+    "op1_secret_scan": OP1,
+    "op2_decontamination": OP2,
     "op5_near_duplicates": OP5,
+    "op6_source_mix": OP6,
+    "op7_web_archive": OP7,
     "op9_substring_dedup": OP9,
 }

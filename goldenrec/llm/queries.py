@@ -2,29 +2,98 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldenrec.llm.decontam import find_contamination
+from goldenrec.llm.language import identify, learn
+from goldenrec.llm.line_dedup import dedup_lines
+from goldenrec.llm.mixing import mix
 from goldenrec.llm.near_dup import near_duplicates
+from goldenrec.llm.secrets import BASE, find_secrets, spelled
 from goldenrec.llm.substrings import remove_repeats
+from goldenrec.llm.warc import read_archive, write_archive
+from goldenrec.session import run_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda span: span["rank"] < len(BASE))
+
+    def count(rank: int):
+        return F.size(F.filter("spans", lambda span: span["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"),
+        spelled(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return identify(docs, learn(docs))
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
+
+
+def op7_web_archive(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{run_folder(spark)}/warc-{uuid.uuid4()}"
+    write_archive(table(spark, folder, "pages"), path)
+    records = read_archive(spark, path)
+    return records.select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_decontamination": op2_decontamination,
+    "op3_language": op3_language,
+    "op4_line_dedup": op4_line_dedup,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_source_mix": op6_source_mix,
+    "op7_web_archive": op7_web_archive,
     "op9_substring_dedup": op9_substring_dedup,
 }
