@@ -181,6 +181,20 @@ select page_id, payload_bytes, payload_digest,
 from f
 """
 
+_ESCAPED = r"replace(replace(replace({}, '\', '\\'), '<', '\('), '[', '\{{')"
+OP10 = f"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(23 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}))::bigint as formatted_chars
+from c group by conv_id
+"""
+
 ORACLE = {
     "op1_secret_scan": OP1,
     "op2_decontamination": OP2,
@@ -188,4 +202,5 @@ ORACLE = {
     "op6_source_mix": OP6,
     "op7_web_archive": OP7,
     "op9_substring_dedup": OP9,
+    "op10_chat_format": OP10,
 }
