@@ -8,18 +8,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldenrec.llm.decontam import find_contamination
+from goldenrec.llm.language import UNKNOWN, identify, learn
+from goldenrec.llm.line_dedup import dedup_lines
+from goldenrec.llm.mixing import mix
 from goldenrec.llm.near_dup import near_duplicates
 from goldenrec.session import run_folder
 
+# A text whose words agree less than this on any language is no prose in one of the languages known.
+LANGUAGE_SCORE = 0.4
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a language that the labelled ones teach.
+
+    NULL texts and texts without letters go; so does all if no label is known.
+    """
+    labelled = identify(docs, learn(docs))
+    clear = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)
+    return labelled.where(clear).select(docs.columns)
+
+
+def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document has; those left without any word go."""
+    rest = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return rest.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(docs.columns)
+
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    """One document of each group of near duplicates: the one with the smallest doc_id.
+
+    Of rows that repeat doc_id and text one stays.
+    """
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
+    joined = docs.join(kept.distinct(), same)
+    return joined.dropDuplicates(["_id", "_version"]).select(docs.columns)
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_contamination(docs, items).where("n_hit = 0").select(docs.columns)
+
+
+def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the words taken of each."""
+    return mix(docs).where("taken > 0")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", known_language),
+    ("line dedup", unique_lines),
     ("near duplicates", near_copies),
+    ("decontamination", clean_of_benchmark),
+    ("source mix", weighted_mix),
 ]
 
 # The language model and the SimHash stages have no SQL form; tests/llm holds brute-force versions.

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldenrec.llm.words import (
     ALNUM,
@@ -37,7 +38,7 @@ BLOCK_WINDOWS = 100_000
 
 _U = np.uint64
 WINDOWS = "item string, words int, hash long, text string, shingles array<long>"
-HITS = "doc_id long, version long, n_words long, hits array<struct<item:string,first:int,last:int>>"
+HITS = "n_words long, hits array<struct<item:string,first:int,last:int>>"
 
 
 def _own_words(part: Slice, words: Words, first: np.ndarray, size: np.ndarray) -> list[str]:
@@ -166,29 +167,23 @@ def _hits(part: Slice, words: Words, block: Block) -> tuple[np.ndarray, ...]:
     return row[begins], item[begins], first[begins], last[ends]
 
 
-def _find(shared) -> Callable:
-    """Task function: one row per document with the windows of the block that occur in it."""
+def _find(shared, names: list[str]) -> Callable:
+    """Task function: documents with the windows of the block that occur in them; the last column is the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        names = pa.array(block.items, pa.string())
+        items = pa.array(block.items, pa.string())
         for batch in batches:
-            for part in slices(batch.column(2)):
+            for part in slices(batch.column(batch.num_columns - 1)):
                 words = find_words(part, ALNUM, LOWER)
                 row, item, first, last = _hits(part, words, block)
                 entries = pa.StructArray.from_arrays(
-                    [names.take(pa.array(item)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+                    [items.take(pa.array(item)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
                     ["item", "first", "last"],
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(part.first, part.rows),
-                        batch.column(1).slice(part.first, part.rows),
-                        pa.array(words.count.astype(np.int64)),
-                        list_array(np.bincount(row, minlength=part.rows), entries),
-                    ],
-                    ["doc_id", "version", "n_words", "hits"],
-                )
+                own = batch.slice(part.first, part.rows)
+                found = [pa.array(words.count.astype(np.int64)), list_array(np.bincount(row, minlength=part.rows), entries)]
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], *found], [*names, "n_words", "hits"])
 
     return run
 
@@ -236,41 +231,39 @@ def _covered(hits: Column) -> Column:
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, hits`` for every row of ``docs(doc_id, text)``.
+    """``docs`` with ``n_words, n_hit, items, hits``; ``items(item_id, text)`` are the benchmark.
 
-    ``items(item_id, text)`` are the benchmark. Words are lower-cased runs of letters, digits and
-    non-ASCII characters. ``hits`` are word ranges ``(item, first, last)`` under windows that occur,
-    ``items`` the ids found, sorted as text, and ``n_hit`` the words under any range.
+    Words are lower-cased runs of letters, digits and non-ASCII characters. ``hits`` are word ranges
+    ``(item, first, last)`` under windows that occur, ``items`` the ids found, sorted as text, and ``n_hit`` the
+    words under any range.
 
     NULL text: no words, no hits. An item without words has no window. NULL item_id: reported as ''.
     Repeated items count once, repeated documents each. NULL doc_id: an id like any other. An empty
-    benchmark hits nothing. Other columns are ignored.
+    benchmark hits nothing. Other columns pass through; input columns with a result's name are replaced.
 
     Windows reach the tasks in blocks of about ``block_windows``; each block is a pass over the documents to
-    count its shingles and one to find them.
+    count its shingles and one to find them. Only further blocks need a join of what they found.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), "text")
+    kept = docs.drop("n_words", "n_hit", "items", "hits", "_version").withColumn("_version", F.xxhash64("text"))
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     found = stage(named.mapInArrow(_item_windows, WINDOWS).dropDuplicates(["item", "text"]), "item-windows")
     blocks = max(-(-found.count() // block_windows), 1)
-    parts = []
-    for number in range(blocks):
+
+    def search(number: int, source: DataFrame) -> DataFrame:
         own = found.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
-        shared = _block(spark, own, source.select("text"))
-        parts.append(source.mapInArrow(_find(shared), HITS))
-    result = parts[0]
-    for number, part in enumerate(parts[1:]):
-        more = part.where(F.size("hits") > 0).dropDuplicates(["doc_id", "version"])
-        more = more.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("hits").alias("_hits"))
-        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+        shared = _block(spark, own, docs.select("text"))
+        schema = T.StructType([*source.schema.fields, *T.DataType.fromDDL(HITS).fields])
+        return source.select("*", F.col("text").alias("_text")).mapInArrow(_find(shared, source.columns), schema)
+
+    result = search(0, kept)
+    for number in range(1, blocks):
+        part = search(number, docs.select("doc_id", F.xxhash64("text").alias("_v"), "text")).drop("text", "n_words")
+        more = part.where(F.size("hits") > 0).dropDuplicates(["doc_id", "_v"])
+        more = more.withColumnsRenamed({"doc_id": "_id", "hits": "_hits"})
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_v"))
         joined = result.join(more, same, "left")
         both = F.when(F.col("_hits").isNull(), F.col("hits")).otherwise(F.concat("hits", "_hits"))
-        result = joined.select("doc_id", "version", "n_words", both.alias("hits"))
-    return result.select(
-        "doc_id",
-        "n_words",
-        _covered(F.col("hits")).alias("n_hit"),
-        F.array_sort(F.array_distinct(F.transform("hits", lambda hit: hit["item"]))).alias("items"),
-        "hits",
-    )
+        result = joined.withColumn("hits", both).drop("_id", "_v", "_hits")
+    names = F.array_sort(F.array_distinct(F.transform("hits", lambda hit: hit["item"])))
+    return result.drop("_version").withColumns({"n_hit": _covered(F.col("hits")), "items": names})

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldenrec.llm.words import LOWER, Slice, Words, find_words, mix64, row_starts, slices
 
@@ -247,30 +248,24 @@ def label_shares(part: Slice, model: Model) -> np.ndarray:
     return shares / np.maximum(words.count, 1)[:, None]
 
 
-def _predict(shared) -> Callable:
+def _predict(shared, names: list[str]) -> Callable:
+    """Task function: the last two columns are ``lettered`` and the text; the others pass through."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        wide = len(model.labels) if model else 1
         for batch in batches:
-            for part in slices(batch.column(3), (1 << 23) // max(len(model.labels) if model else 1, 4)):
+            for part in slices(batch.column(batch.num_columns - 1), (1 << 23) // max(wide, 4)):
                 own = batch.slice(part.first, part.rows)
-                lettered = np.asarray(own.column(2))
+                lettered = np.asarray(own.column(own.num_columns - 2))
+                best, score = np.full(part.rows, UNKNOWN, object), np.zeros(part.rows)
                 if model:
                     shares = label_shares(part, model)
-                    best = shares.argmax(axis=1)
-                    names = np.array(model.labels, object)[best]
-                    score = np.clip(shares[np.arange(part.rows), best], 0.0, 1.0)
-                else:
-                    names, score = np.full(part.rows, UNKNOWN, object), np.zeros(part.rows)
-                names = np.where(lettered, names, UNKNOWN)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        own.column(0),
-                        own.column(1),
-                        pa.array(names, pa.string()),
-                        pa.array(np.where(lettered, score, 0.0)),
-                    ],
-                    ["doc_id", "held_out", "lang_pred", "score"],
-                )
+                    top = shares.argmax(axis=1)
+                    best = np.where(lettered, np.array(model.labels, object)[top], UNKNOWN)
+                    score = np.where(lettered, np.clip(shares[np.arange(part.rows), top], 0.0, 1.0), 0.0)
+                found = [pa.array(best, pa.string()), pa.array(score)]
+                yield pa.RecordBatch.from_arrays([*own.columns[:-2], *found], [*names, "lang_pred", "score"])
 
     return run
 
@@ -304,15 +299,16 @@ def learn(docs: DataFrame) -> Model | None:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every row of ``docs(doc_id, text)``.
+    """``docs`` with ``held_out, lang_pred, score``, in one pass and without a shuffle.
 
     NULL text, or one without any letter: ``und`` with score 0, as everything is without a model. The
     score is the mean marginal of the label over all words. NULL doc_id: not held out, not learned
-    from. Repeated rows are labelled each. Other columns are ignored.
+    from. Repeated rows are labelled each. Other columns pass through; input columns with one of the
+    three names are replaced.
     """
+    kept = docs.drop("held_out", "lang_pred", "score").withColumn("held_out", held_out())
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), lettered.alias("lettered"), "text"
-    )
+    source = kept.select("*", lettered.alias("_lettered"), F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return source.mapInArrow(_predict(shared), "doc_id long, held_out boolean, lang_pred string, score double")
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return source.mapInArrow(_predict(shared, kept.columns), schema)

@@ -36,6 +36,8 @@ BINS = BANDS * BAND_ROWS
 # Probes of an empty bin before the next filled one is taken; one filled bin of 128 needs 128 on average.
 PROBES = 2048
 
+SIGNED = "doc_id long, n_shingles long, node long, bands array<long>, version long"
+
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -117,8 +119,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(size.astype(np.int64)),
                     pa.array(signed(node), mask=size == 0),
                     list_array(np.where(size > 0, BANDS, 0), pa.array(signed(bands))),
+                    batch.column(2).slice(part.first, part.rows),
                 ],
-                ["doc_id", "n_shingles", "node", "bands"],
+                ["doc_id", "n_shingles", "node", "bands", "version"],
             )
 
 
@@ -161,7 +164,7 @@ def shingle_rows(column: pa.Array) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
+    """``doc_id, n_shingles, component_id, kept, version`` for every row of ``docs(doc_id, text)``.
 
     Two texts link when the sets of their distinct lower-cased 5-word shingles (64-bit hashes) have
     100 * intersection >= 75 * union; texts of one to four words have one shingle, the whole sequence.
@@ -170,13 +173,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets. ``component_id`` is the smallest doc_id reachable; ``kept`` marks the row that has it.
 
     NULL, empty or blank text: no shingles, linked with nothing, kept. NULL doc_id: takes part, counts
-    as no id; kept only where its group has no other. Rows repeating a doc_id are judged by their own
-    text. Other columns are ignored.
+    as no id; one text of a group without any id is kept. Rows repeating a doc_id are judged by their own
+    text, told apart by its hash ``version``. Other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
-    signed_docs = stage(
-        docs.mapInArrow(_sign, "doc_id long, n_shingles long, node long, bands array<long>"), "minhash"
-    )
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed_docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version")).mapInArrow(_sign, SIGNED)
+    signed_docs = stage(signed_docs, "minhash")
     nodes = signed_docs.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first"), F.max("n_shingles").alias("info"), F.first("bands").alias("bands")
     )
@@ -206,13 +208,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups, _ = star_groups(members, close, confirm, prepare)
     grouped = nodes.select("node", "first").join(groups.withColumnRenamed("id", "node"), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
-    heads = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_node = grouped.join(heads, "component").select("node", "component_id")
+    # an id comes before none; without any id the smallest node stands for the group
+    order = F.struct(F.col("first").isNull(), F.col("first").alias("id"), F.col("node").alias("node"))
+    heads = grouped.groupBy("component").agg(F.min(order).alias("head"))
+    by_node = grouped.join(heads, "component").select("node", F.col("head.id").alias("component_id"), F.col("head.node").alias("head"))
+    mine = F.when(F.col("doc_id").isNull(), F.col("component_id").isNull() & (F.col("node") == F.col("head"))).otherwise(
+        F.col("doc_id") == F.col("component_id")
+    )
+    alone = F.col("node").isNull()
     return signed_docs.drop("bands").join(by_node, "node", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(F.col("node").isNull(), F.lit(True))
-        .otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.lit(True)).otherwise(F.coalesce(mine, F.lit(False))).alias("kept"),
+        "version",
     )

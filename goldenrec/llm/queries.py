@@ -43,7 +43,8 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_contamination(documents, table(spark, folder, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
@@ -56,7 +57,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return identify(docs, learn(docs))
+    return identify(docs.select("doc_id", "text"), learn(docs)).drop("text")
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,7 +65,7 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents")).drop("version")
 
 
 def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
