@@ -10,12 +10,16 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from goldenrec.session import run_folder, stage
 
 
+# Factor from one round's number of centres per bucket to the next.
+GROWTH = 4
+
+
 class Scratch:
     """Tables of a loop, written to the shared folder and removed together when it is done.
 
@@ -34,38 +38,40 @@ class Scratch:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def counted(self, frame: DataFrame, what: Column) -> tuple[DataFrame, int]:
+        """The table, and how many of its rows ``what`` holds for, counted while it is written."""
+        seen = Observation()
+        return self.saved(frame.observe(seen, F.count_if(what).alias("n"))), seen.get["n"]
+
     def clear(self) -> None:
         context = self.spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def components(links: DataFrame, saved: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, component`` for every id of ``links(a, b)``: the smallest id of its connected group.
 
     Each round takes the smallest label among the neighbours (combined before the shuffle, so a hub
     costs one row per task) and then the label of that label, so long chains halve every round.
     """
-    both = saved(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = saved(both.groupBy("a").agg(F.min("b").alias("n")).select(
-        F.col("a").alias("id"), F.least("a", "n").alias("component")
-    ))
+    both = scratch.saved(links.select("a", "b").union(links.select("b", "a")).distinct())
+    labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+    labels = labels.withColumn("component", F.least("id", "component"))
     while True:
         near = (
             both.join(labels.withColumnRenamed("id", "b"), "b")
-            .groupBy("a")
+            .groupBy(F.col("a").alias("id"))
             .agg(F.min("component").alias("near"))
-            .withColumnRenamed("a", "id")
         )
         hooked = labels.join(near, "id").select(
             "id", F.col("component").alias("old"), F.least("component", "near").alias("next")
         )
         target = hooked.select(F.col("id").alias("next"), F.col("next").alias("far"))
-        jumped = saved(
-            hooked.join(target, "next").select("id", "old", F.least("next", "far").alias("component"))
-        )
+        jumped = hooked.join(target, "next").select("id", "old", F.least("next", "far").alias("component"))
+        jumped, changed = scratch.counted(jumped, F.col("component") < F.col("old"))
         labels = jumped.select("id", "component")
-        if jumped.where(F.col("component") < F.col("old")).isEmpty():
+        if not changed:
             return labels
 
 
@@ -82,7 +88,7 @@ def star_groups(
     buckets with more than one, before the first pair is confirmed.
 
     Candidates are stars: in each round some members of a bucket, its centres, are compared with all
-    members of other groups. One centre per bucket first, then 1, 2, 4, ... of those outside the
+    members of other groups. One centre per bucket first, then 1, 4, 16, ... of those outside the
     bucket's largest group, until every one of these has been a centre. So each pair of ids in one
     bucket that could still join two groups is tested, pairs inside a group are not, and a bucket of
     n members around a common text costs about n pairs instead of n * n / 2.
@@ -100,7 +106,7 @@ def star_groups(
     live, found = live.drop("low"), [links]
     tested: list[DataFrame] = []
     width = 1
-    groups = components(links, saved)
+    groups = components(links, scratch)
     while True:
         placed = (
             live.drop("component")
@@ -117,10 +123,9 @@ def star_groups(
         live = saved(placed.join(largest, "bucket"))
         outside = live.where(F.col("component") != F.col("main")).join(used, ["bucket", "id"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
-        centres = saved(
-            outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width).drop("turn")
-        )
-        if centres.isEmpty():
+        centres = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)
+        centres, count = scratch.counted(centres.drop("turn"), F.lit(True))
+        if not count:
             result = stage(groups, "groups"), stage(reduce(DataFrame.unionAll, found), "links")
             scratch.clear()
             return result
@@ -140,10 +145,10 @@ def star_groups(
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = saved(pairs)
         tested.append(pairs)
-        links = saved(confirm(pairs))
-        if not links.isEmpty():
+        links, count = scratch.counted(confirm(pairs), F.lit(True))
+        if count:
             found.append(links)
-            groups = components(reduce(DataFrame.unionAll, found), saved)
+            groups = components(reduce(DataFrame.unionAll, found), scratch)
         used = used.unionAll(centres.select("bucket", "id"))
         live = live.drop("main")
-        width *= 2
+        width *= GROWTH
