@@ -17,7 +17,7 @@ from goldenrec.session import run_folder, stage
 
 
 # Factor from one round's number of centres per bucket to the next.
-GROWTH = 4
+GROWTH = 16
 
 
 class Scratch:
@@ -80,15 +80,18 @@ def star_groups(
     close: Callable[[Column, Column], Column],
     confirm: Callable[[DataFrame], DataFrame],
     prepare: Callable[[DataFrame], None] = lambda ids: None,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Connected groups of ids that share a bucket and pass ``confirm``; (groups, links).
 
     ``members(bucket, id, info)``; ``close(info, info)`` is a cheap necessary test, ``confirm`` takes
     ``pairs(a, b)`` with a < b and returns those that are links; ``prepare`` gets the ids of all
-    buckets with more than one, before the first pair is confirmed.
+    buckets with more than one, before the first pair is confirmed. ``refine`` may give the ids that are
+    left after the first round a sharper info (``id, info``): what it knows of them it may measure among
+    these ids alone, since all that can still be a partner is one of them.
 
     Candidates are stars: in each round some members of a bucket, its centres, are compared with all
-    members of other groups. One centre per bucket first, then 1, 4, 16, ... of those outside the
+    members of other groups. One centre per bucket first, then 1, 16, 256, ... of those outside the
     bucket's largest group, until every one of these has been a centre. So each pair of ids in one
     bucket that could still join two groups is tested, pairs inside a group are not, and a bucket of
     n members around a common text costs about n pairs instead of n * n / 2.
@@ -103,7 +106,7 @@ def star_groups(
     star = live.where(F.col("id") > F.col("low")).join(info, "bucket").where(close(F.col("info"), F.col("other")))
     links = saved(confirm(star.select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()))
     used = live.where(F.col("id") == F.col("low")).select("bucket", "id")
-    live, found = live.drop("low"), [links]
+    live, found, sharper = live.drop("low"), [links], refine
     tested: list[DataFrame] = []
     width = 1
     groups = components(links, scratch)
@@ -121,6 +124,9 @@ def star_groups(
             .select("bucket", F.col("top.component").alias("main"))
         )
         live = saved(placed.join(largest, "bucket"))
+        if sharper:
+            known = sharper(live.select("id").distinct())
+            live, sharper = saved(live.drop("info").join(known, "id")), None
         outside = live.where(F.col("component") != F.col("main")).join(used, ["bucket", "id"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
         centres = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)

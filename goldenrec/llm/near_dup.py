@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldenrec.llm.links import star_groups
@@ -154,6 +154,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select([0, 1]).filter(pa.array(similar))
 
 
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per distinct shingle of each text."""
+    for batch in batches:
+        for part in cut(batch, [1]):
+            both = shingle_rows(part.column(1))
+            node = part.column(0).take(pa.array(both[:, 0].astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(both[:, 1])), node], ["shingle", "node"])
+
+
 def shingle_rows(column: pa.Array) -> np.ndarray:
     """(row of the batch, shingle hash) of every distinct shingle."""
     found = [np.zeros((0, 2), _U)]
@@ -180,10 +189,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed_docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version")).mapInArrow(_sign, SIGNED)
     signed_docs = stage(signed_docs, "minhash")
     nodes = signed_docs.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.max("n_shingles").alias("info"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
     nodes = stage(nodes, "minhash-nodes")
-    members = nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), "info")
+    info = F.struct("n", F.lit(0).cast("long").alias("own")).alias("info")
+    members = nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), info)
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
@@ -201,11 +211,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         return joined.mapInArrow(_compare, "a long, b long")
 
-    def close(one, other):
-        """Sets whose sizes are too far apart cannot be similar."""
-        return 100 * F.least(one, other) >= SIMILAR * F.greatest(one, other)
-
-    groups, _ = star_groups(members, close, confirm, prepare)
+    def close(one: Column, other: Column) -> Column:
+        """No pair can share more than either has in common with any other text."""
+        common = F.least(one["n"] - one["own"], other["n"] - other["own"])
+        return 100 * common >= SIMILAR * (one["n"] + other["n"] - common)
+
+    def refine(ids: DataFrame) -> DataFrame:
+        """Info with the number of shingles that no other of these texts has."""
+        left = texts[0].join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "text")
+        alone = left.mapInArrow(_spell, "shingle long, node long").groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("nodes"), F.min("node").alias("id")
+        )
+        alone = alone.where("nodes = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        sized = ids.join(nodes.select(F.col("node").alias("id"), "n"), "id").join(alone, "id", "left")
+        return sized.select("id", F.struct("n", F.coalesce("own", F.lit(0).cast("long")).alias("own")).alias("info"))
+
+    groups, _ = star_groups(members, close, confirm, prepare, refine)
     grouped = nodes.select("node", "first").join(groups.withColumnRenamed("id", "node"), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     # an id comes before none; without any id the smallest node stands for the group
