@@ -5,7 +5,7 @@ every document probes it. Any 13 consecutive words contain a whole block of thei
 repeat that is not hit by a probe cannot have 13 words. Hits are extended: of the windows around
 them, those found at an earlier document are the maximal exact repeats.
 
-Blocks and probes travel packed, about 8 bytes each: rows of (part, bytes), one per part and slice of
+Blocks and probes travel packed, about 5 bytes each: rows of (part, bytes), one per part and slice of
 text, where the part is a function of the block's hash. One part is worked on as arrays in one task, so
 ``parts`` (the session's shuffle partitions) is to be set like that of any shuffle. Equal blocks
 of a hundred documents are a hundred entries; nothing is paired.
@@ -14,6 +14,7 @@ of a hundred documents are a hundred entries; nothing is paired.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,11 @@ BLOCK_WORDS = 7
 _U = np.uint64
 PACKED = "part int, entries binary"
 PLACES = "d long, version long, places array<int>"
-# Bytes of the two hashes that travel with an entry. An anchor may be wrong (it only marks windows to
-# look at), so 40 bits and the part do; a window decides, so it has 96 bits.
-ANCHOR_BYTES = (5, 0)
-WINDOW_BYTES = (8, 4)
+# Bytes of the two hashes that travel with an entry, beside its part, which is as good as more bits of the
+# first. An anchor may be wrong: it only marks windows to look at, and as parts grow with the data the share
+# of wrong ones does not. A window decides, so it has 72 bits and the part.
+ANCHOR_BYTES = (4, 0)
+WINDOW_BYTES = (7, 2)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -56,44 +58,56 @@ def _unplane(data: memoryview, count: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, count).T).view(kind).reshape(-1)
 
 
-def _pack(
-    d: np.ndarray,
-    version: np.ndarray,
-    row: np.ndarray,
-    place: np.ndarray,
-    flag: np.ndarray,
-    first: np.ndarray,
-    second: np.ndarray | None,
-    parts: int,
-    widths: tuple[int, int],
-) -> pa.RecordBatch:
-    """Entries of a slice, one row per part. ``d``, ``version`` per document, the rest per entry."""
-    part = (first % _U(parts)).astype(np.int32)
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    return values.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _wide(data: memoryview, count: int, width: int) -> np.ndarray:
+    whole = np.zeros((count, 8), np.uint8)
+    whole[:, :width] = np.frombuffer(data, np.uint8).reshape(count, width)
+    return whole.view(_U).reshape(-1)
+
+
+class Entries(NamedTuple):
+    """Places in documents; ``flag`` and the two hashes are empty where nobody asks for them."""
+
+    d: np.ndarray
+    version: np.ndarray
+    place: np.ndarray
+    flag: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+
+    def at(self, chosen: np.ndarray) -> Entries:
+        return Entries(*(column[chosen] if len(column) else column for column in self))
+
+
+_NO_FLAG, _NO_HASH = np.zeros(0, bool), np.zeros(0, _U)
+
+
+def _pack(entries: Entries, part: np.ndarray, parts: int, widths: tuple[int, int]) -> pa.RecordBatch:
+    """One row per part. Entries of a document follow each other in the order of their places."""
     order = np.argsort(part, kind="stable")
-    row, place, flag, first = row[order], place[order], flag[order], first[order] // _U(parts)
-    second = None if second is None else second[order]
+    entries = entries.at(order)
     borders = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
     numbers, packed = [], []
     for number in np.flatnonzero(np.diff(borders)):
-        here = slice(borders[number], borders[number + 1])
-        own, at = row[here], place[here].astype(np.uint32)
-        count = len(own)
-        begins = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        gap = at.copy()
-        gap[1:] -= at[:-1]
-        gap[begins] = at[begins]
-        runs = np.diff(np.concatenate([begins, [count]])).astype(np.uint32)
+        d, version, place, flag, first, second = entries.at(slice(borders[number], borders[number + 1]))
+        fresh = np.ones(len(d), bool)
+        fresh[1:] = (d[1:] != d[:-1]) | (version[1:] != version[:-1]) | (place[1:] < place[:-1])
+        begins = np.flatnonzero(fresh)
+        gap = place.astype(np.uint32)
+        gap[1:][~fresh[1:]] -= place[:-1][~fresh[1:]].astype(np.uint32)
         pieces = [
-            np.array([count, len(begins)], np.uint32).tobytes(),
-            _planes(d[own[begins]]),
-            _planes(version[own[begins]]) if widths[1] else b"",
-            _planes(runs),
+            np.array([len(d), len(begins)], np.uint32).tobytes(),
+            _planes(d[begins]),
+            _planes(version[begins]),
+            _planes(np.diff(np.concatenate([begins, [len(d)]])).astype(np.uint32)),
             _planes(gap),
-            np.packbits(flag[here]).tobytes(),
-            first[here].view(np.uint8).reshape(-1, 8)[:, : widths[0]].tobytes(),
         ]
-        if second is not None:
-            pieces.append(second[here].view(np.uint8).reshape(-1, 8)[:, : widths[1]].tobytes())
+        if len(flag):
+            pieces.append(np.packbits(flag).tobytes())
+        pieces += [_narrow(values, width) for values, width in ((first, widths[0]), (second, widths[1])) if width]
         numbers.append(number)
         packed.append(b"".join(pieces))
     return pa.RecordBatch.from_arrays(
@@ -101,14 +115,7 @@ def _pack(
     )
 
 
-def _wide(data: memoryview, count: int, width: int) -> np.ndarray:
-    whole = np.zeros((count, 8), np.uint8)
-    whole[:, :width] = np.frombuffer(data, np.uint8).reshape(count, width)
-    return whole.view(_U).reshape(-1)
-
-
-def _unpack(data: bytes, widths: tuple[int, int]) -> tuple[np.ndarray, ...]:
-    """(d, version, place, flag, first hash, second hash) per entry."""
+def _unpack(data: bytes, widths: tuple[int, int], flagged: bool) -> Entries:
     view, at = memoryview(data), 8
     count, documents = np.frombuffer(view[:8], np.uint32).astype(int)
 
@@ -118,61 +125,60 @@ def _unpack(data: bytes, widths: tuple[int, int]) -> tuple[np.ndarray, ...]:
         return view[at - size : at]
 
     d = _unplane(take(8 * documents), documents, np.int64)
-    version = _unplane(take(8 * documents), documents, np.int64) if widths[1] else np.zeros(documents, np.int64)
+    version = _unplane(take(8 * documents), documents, np.int64)
     runs = _unplane(take(4 * documents), documents, np.uint32)
     gap = _unplane(take(4 * count), count, np.uint32).astype(np.int64)
-    flag = np.unpackbits(np.frombuffer(take((count + 7) // 8), np.uint8), count=count).astype(bool)
-    first = _wide(take(widths[0] * count), count, widths[0])
-    second = _wide(take(widths[1] * count), count, widths[1]) if widths[1] else np.zeros(0, _U)
+    flag = np.unpackbits(np.frombuffer(take((count + 7) // 8), np.uint8), count=count).astype(bool) if flagged else _NO_FLAG
+    first, second = (_wide(take(width * count), count, width) if width else _NO_HASH for width in widths)
     sums = np.cumsum(gap)
     begins = np.cumsum(runs.astype(np.int64)) - runs
     place = sums - np.repeat(sums[begins] - gap[begins], runs)
-    return np.repeat(d, runs), np.repeat(version, runs), place.astype(np.int32), flag, first, second
+    return Entries(np.repeat(d, runs), np.repeat(version, runs), place.astype(np.int32), flag, first, second)
+
+
+def _partition(batches: Iterator[pa.RecordBatch], widths: tuple[int, int], flagged: bool) -> Iterator[Entries]:
+    """All entries of each part of a partition."""
+    gathered: dict[int, list[Entries]] = {}
+    for batch in batches:
+        for number, entries in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            gathered.setdefault(number, []).append(_unpack(entries.as_py(), widths, flagged))
+    while gathered:
+        _, own = gathered.popitem()
+        yield Entries(*(np.concatenate(column) for column in zip(*own, strict=True)))
 
 
-def _resolve(widths: tuple[int, int], choose: Callable) -> Callable:
-    """Task function: all entries of a partition, grouped by hash; ``choose`` marks those to report."""
+def _resolve(parts: int, widths: tuple[int, int], flagged: bool, choose: Callable) -> Callable:
+    """Task function: entries of a part grouped by hash; those that ``choose`` marks go to their documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            for number, entries in zip(numbers, batch.column(1), strict=True):
-                found = _unpack(entries.as_py(), widths)
-                gathered.append((np.full(len(found[0]), number, np.int32), *found))
-        if not gathered:
-            return
-        columns = [np.concatenate(column) for column in zip(*gathered, strict=True)]
-        gathered.clear()
-        for number in np.unique(columns[0]):
-            here = columns[0] == number
-            d, version, place, flag, first = (column[here] for column in columns[1:6])
-            keys = [first, columns[6][here]] if widths[1] else [first]
+        for entries in _partition(batches, widths, flagged):
+            keys = [entries.first, entries.second] if widths[1] else [entries.first]
             order = np.lexsort(keys)
             keys = [key[order] for key in keys]
-            d, version, place, flag = d[order], version[order], place[order], flag[order]
-            fresh = np.ones(len(d), bool)
+            fresh = np.ones(len(order), bool)
             fresh[1:] = np.logical_or.reduce([key[1:] != key[:-1] for key in keys])
-            begins = np.flatnonzero(fresh)
-            chosen = choose(d, flag, begins, np.cumsum(fresh) - 1)
-            yield from _by_document(d[chosen], version[chosen], place[chosen])
+            flag = entries.flag[order] if flagged else _NO_FLAG
+            chosen = order[choose(entries.d[order], flag, np.flatnonzero(fresh), np.cumsum(fresh) - 1)]
+            found = Entries(entries.d[chosen], entries.version[chosen], entries.place[chosen], _NO_FLAG, _NO_HASH, _NO_HASH)
+            found = found.at(np.lexsort((found.place, found.version, found.d)))
+            part = (mix64(found.d.view(_U)) % _U(parts)).astype(np.int32)
+            yield _pack(found, part, parts, (0, 0))
 
     return run
 
 
-def _by_document(d: np.ndarray, version: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-    if not len(d):
-        return
-    order = np.lexsort((place, version, d))
-    d, version, place = d[order], version[order], place[order]
-    fresh = np.ones(len(d), bool)
-    fresh[1:] = (d[1:] != d[:-1]) | (version[1:] != version[:-1])
-    begins = np.flatnonzero(fresh)
-    lengths = np.diff(np.concatenate([begins, [len(d)]]))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(d[begins]), pa.array(version[begins]), list_array(lengths, pa.array(place))],
-        ["d", "version", "places"],
-    )
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with all its places."""
+    for entries in _partition(batches, (0, 0), False):
+        d, version, place = entries.at(np.lexsort((entries.place, entries.version, entries.d)))[:3]
+        fresh = np.ones(len(d), bool)
+        fresh[1:] = (d[1:] != d[:-1]) | (version[1:] != version[:-1])
+        begins = np.flatnonzero(fresh)
+        lengths = np.diff(np.concatenate([begins, [len(d)]]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(d[begins]), pa.array(version[begins]), list_array(lengths, pa.array(place))],
+            ["d", "version", "places"],
+        )
 
 
 def _shared_anchor(d, flag, begins, group):
@@ -201,11 +207,11 @@ def _blocks(parts: int) -> Callable:
                 words = find_words(part, SPACED)
                 first, hashes = windows(words, BLOCK_WORDS)
                 place = _place(words, first)
-                here = slice(part.first, part.first + part.rows)
-                yield _pack(
-                    ids[here], versions[here], words.row[first], place, place % BLOCK_WORDS == 0,
-                    hashes, None, parts, ANCHOR_BYTES,
-                )
+                row = words.row[first] + part.first
+                entries = Entries(
+                    ids[row], versions[row], place, place % BLOCK_WORDS == 0, hashes // _U(parts), _NO_HASH
+                )
+                yield _pack(entries, (hashes % _U(parts)).astype(np.int32), parts, ANCHOR_BYTES)
 
     return run
 
@@ -247,11 +253,9 @@ def _candidates(parts: int) -> Callable:
                 again = sequence_hash(mix64(words.hash ^ _U(0x5EED5EED)), WINDOW_WORDS)[first]
                 wanted = marked[first]
                 first, hashes, again = first[wanted], hashes[wanted], again[wanted]
-                here = slice(part.first, part.first + part.rows)
-                yield _pack(
-                    ids[here], versions[here], words.row[first], _place(words, first),
-                    np.zeros(len(first), bool), hashes, again, parts, WINDOW_BYTES,
-                )
+                row = words.row[first] + part.first
+                entries = Entries(ids[row], versions[row], _place(words, first), _NO_FLAG, hashes // _U(parts), again)
+                yield _pack(entries, (hashes % _U(parts)).astype(np.int32), parts, WINDOW_BYTES)
 
     return run
 
@@ -292,10 +296,10 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _gathered(packed: DataFrame, parts: int, widths: tuple[int, int], choose: Callable) -> DataFrame:
+def _gathered(packed: DataFrame, parts: int, widths: tuple[int, int], flagged: bool, choose: Callable) -> DataFrame:
     """(d, version, places) of the chosen entries, one row per document."""
-    found = packed.repartitionById(parts, "part").mapInArrow(_resolve(widths, choose), PLACES)
-    return found.groupBy("d", "version").agg(F.flatten(F.collect_list("places")).alias("places"))
+    chosen = packed.repartitionById(parts, "part").mapInArrow(_resolve(parts, widths, flagged, choose), PACKED)
+    return chosen.repartitionById(parts, "part").mapInArrow(_by_document, PLACES)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -319,9 +323,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         text_hash.alias("version"),
         "text",
     )
-    anchors = _gathered(keyed.mapInArrow(_blocks(parts), PACKED), parts, ANCHOR_BYTES, _shared_anchor)
+    # the version of an anchor is not asked: its places may belong to any text with this id
+    anchors = _gathered(keyed.mapInArrow(_blocks(parts), PACKED), parts, ANCHOR_BYTES, True, _shared_anchor)
     around = keyed.join(anchors.select("d", "places"), "d").select("d", "doc_id", "version", "text", "places")
-    repeats = _gathered(around.mapInArrow(_candidates(parts), PACKED), parts, WINDOW_BYTES, _not_first)
+    repeats = _gathered(around.mapInArrow(_candidates(parts), PACKED), parts, WINDOW_BYTES, False, _not_first)
     repeats = repeats.select("d", F.col("version").alias("_version"), "places")
     # not an equality of two columns: the join is by d alone, as the first one
     same_text = F.col("version").bitwiseXOR(F.col("_version")) == 0
