@@ -3,30 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldenrec.operators.standardize import run_stamp
-from goldenrec.schemas import GOLDEN, GOLDEN_LISTS
+from goldenrec.schemas import GOLDEN
 
-# A cluster up to this many records carries its lists inside its golden row.
-LIST_LIMIT = 10_000
-# Keys of larger clusters are broadcast up to this many, joined as a table beyond.
-BROADCAST_KEYS = 100_000
 LIST_COLUMNS = ("emails", "telefones", "enderecos", "atributos_por_fonte")
-
-
-class Golden(NamedTuple):
-    """``golden``: one row per cluster. ``lists``: list entries of clusters above the list limit.
-
-    A cluster is in one form only: its four list columns are complete in ``golden``, or they are
-    NULL there and every entry is a row of ``lists``. All other columns are exact in both cases.
-    """
-
-    golden: DataFrame
-    lists: DataFrame
+# Internal key of the rows without a cluster key; real keys are never empty.
+NO_KEY = ""
 
 
 def _person_type() -> Column:
@@ -57,39 +43,60 @@ def _facts() -> list[Column]:
     ]
 
 
-def _has_address() -> Column:
-    return F.col("cidade").isNotNull() | F.col("uf").isNotNull()
+def _entries(keyed: DataFrame) -> DataFrame:
+    """List entries as rows, distinct per cluster and list; ``n`` counts their records.
 
+    Grouping by cluster *and* value spreads one large cluster over all tasks, and equal entries of a
+    task are one row before the shuffle.
+    """
+    none = F.lit(None).cast("string")
 
-def _none_if_empty(values: Column) -> Column:
-    return F.when(F.size(values) > 0, values)
-
+    def entry(name: str, wanted: Column, **values: Column) -> Column:
+        fields = [F.lit(name).alias("lista")]
+        for column in ("valor", "cidade", "uf", "fonte"):
+            fields.append(values.get(column, none).alias(column))
+        return F.when(wanted, F.struct(*fields))
 
-def _address() -> Column:
-    return F.struct("cidade", "uf", "fonte")
+    has_address = F.col("cidade").isNotNull() | F.col("uf").isNotNull()
+    fonte = F.col("fonte")
+    parts = F.array(
+        entry("emails", F.col("email").isNotNull(), valor=F.col("email")),
+        entry("telefones", F.col("telefone_principal").isNotNull(), valor=F.col("telefone_principal")),
+        entry("enderecos", has_address, cidade=F.col("cidade"), uf=F.col("uf"), fonte=fonte),
+        entry("atributos_por_fonte", F.lit(True), valor=F.col("atributos_extras"), fonte=fonte),
+        entry("ids", F.lit(True), valor=F.col("id_origem"), fonte=fonte),
+    )
+    rows = keyed.select("key", F.explode(F.array_compact(parts)).alias("entry")).select("key", "entry.*")
+    return rows.groupBy("key", "lista", "valor", "cidade", "uf", "fonte").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _attributes() -> Column:
-    return F.struct("fonte", F.col("atributos_extras").alias("atributos"))
+def list_entries(clustered: DataFrame) -> DataFrame:
+    """``id_golden, cluster_key, lista, valor, cidade, uf, fonte, registros``: the entries of all lists
+    as rows, each once per cluster with the number of records that have it."""
+    keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
+    key = F.when(F.col("key") != NO_KEY, F.col("key"))
+    return _entries(keyed).where(F.col("lista") != "ids").select(
+        F.md5(key).alias("id_golden"), key.alias("cluster_key"), "lista", "valor", "cidade", "uf", "fonte", F.col("n").alias("registros")
+    )
 
 
 def _lists() -> list[Column]:
+    def of(name: str, value: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("lista") == name, value)))
+
+    valor, fonte = F.col("valor"), F.col("fonte")
+    attributes = F.struct(F.struct(fonte, valor.alias("atributos")).alias("entry"), F.col("n").cast("int").alias("n"))
     return [
-        _none_if_empty(F.array_sort(F.collect_set("email"))).alias("emails"),
-        _none_if_empty(F.array_sort(F.collect_set("telefone_principal"))).alias("telefones"),
-        _none_if_empty(
-            F.array_sort(F.collect_set(F.when(_has_address(), _address())))
-        ).alias("enderecos"),
-        F.array_sort(F.collect_list(_attributes())).alias("atributos_por_fonte"),
-        F.collect_set(F.struct("fonte", "id_origem")).alias("_ids"),
+        of("emails", valor).alias("emails"),
+        of("telefones", valor).alias("telefones"),
+        of("enderecos", F.struct("cidade", "uf", "fonte")).alias("enderecos"),
+        of("atributos_por_fonte", attributes).alias("_attributes"),
+        of("ids", F.struct("fonte", F.col("valor").alias("id"))).alias("_ids"),
     ]
 
 
-def _checked(ids: Column, clash: Column, strict: bool) -> Column:
-    if not strict:
-        return ids
-    problem = F.concat(F.lit("several source ids for one source in cluster "), F.col("cluster_key"))
-    return F.when(clash, F.raise_error(F.coalesce(problem, F.lit("NULL cluster")))).otherwise(ids)
+def _none_if_empty(name: str) -> Column:
+    return F.when(F.size(name) > 0, F.col(name))
 
 
 def _ids_by_source(strict: bool) -> Column:
@@ -97,34 +104,49 @@ def _ids_by_source(strict: bool) -> Column:
 
     def smallest(source: Column) -> Column:
         own = F.filter("_ids", lambda pair: pair["fonte"].eqNullSafe(source))
-        return F.struct(source, F.array_min(F.transform(own, lambda pair: pair["id_origem"])))
+        return F.struct(source, F.array_min(F.transform(own, lambda pair: pair["id"])))
 
     ids = F.map_from_entries(F.transform("fontes", smallest))
-    return _checked(ids, F.size("_ids") > F.size("fontes"), strict)
+    if not strict:
+        return ids
+    problem = F.concat(F.lit("several source ids for one source in cluster "), F.col("cluster_key"))
+    clash = F.size("_ids") > F.size("fontes")
+    return F.when(clash, F.raise_error(F.coalesce(problem, F.lit("NULL cluster")))).otherwise(ids)
 
 
-def _score(has_email: Column, has_phone: Column, has_address: Column) -> Column:
+def _score() -> Column:
     """Share of the 8 completeness dimensions that hold; the records' attributes always do."""
-    dimensions = [
-        F.col("nome_razao_social").isNotNull(),
-        F.col("cpf_cnpj").isNotNull(),
-        has_email,
-        has_phone,
-        has_address,
-        F.col("tipo_pessoa").isNotNull(),
-        F.size("fontes") > 1,
-        F.lit(True),
-    ]
+    dimensions = [F.col(name).isNotNull() for name in ("nome_razao_social", "cpf_cnpj", *LIST_COLUMNS[:3], "tipo_pessoa")]
+    dimensions += [F.size("fontes") > 1, F.lit(True)]
     points = sum((flag.cast("int") for flag in dimensions), F.lit(0))
     return points.cast("double") / F.lit(8.0)
 
 
-def _finish(frame: DataFrame, score: Column, run_ts: datetime | None) -> DataFrame:
+def build_golden(clustered: DataFrame, run_ts: datetime | None = None, *, strict: bool = False) -> DataFrame:
+    """Golden records of a clustered registry, with all lists complete at every cluster size.
+
+    Facts and list entries are aggregated apart, both combined before their shuffle; only the distinct
+    entries of a cluster come together, in its row. ``strict`` fails when one source brings several ids
+    into a cluster; see ``id_conflicts`` for the report. Lists beyond what one row can hold are an error.
+    """
+    keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
+    facts = keyed.groupBy("key").agg(*_facts())
+    lists = _entries(keyed).groupBy("key").agg(*_lists())
+    # both sides are already partitioned by the key, which is never NULL
+    frame = facts.join(lists, "key").withColumn("cluster_key", F.when(F.col("key") != NO_KEY, F.col("key")))
+    repeated = F.transform("_attributes", lambda one: F.array_repeat(one["entry"], one["n"]))
+    frame = frame.withColumns(
+        {
+            **{name: _none_if_empty(name) for name in LIST_COLUMNS[:3]},
+            "atributos_por_fonte": F.flatten(repeated),
+            "ids_origem": _ids_by_source(strict),
+        }
+    )
     computed = frame.withColumns(
         {
             "id_golden": F.md5("cluster_key"),
             "total_fontes": F.size("fontes").cast("bigint"),
-            "score_completude": score,
+            "score_completude": _score(),
             "versao": F.lit(1),
             "_processed_at": run_stamp(run_ts),
         }
@@ -132,108 +154,6 @@ def _finish(frame: DataFrame, score: Column, run_ts: datetime | None) -> DataFra
     return computed.select([F.col(c.name).cast(c.dataType).alias(c.name) for c in GOLDEN])
 
 
-def _regular(clustered: DataFrame, run_ts: datetime | None, strict: bool) -> DataFrame:
-    """Golden rows with their lists, for clusters of bounded size.
-
-    The lists keep nearly every value and most clusters have a few records, so combining before
-    the shuffle would shrink nothing: rows are brought together first and aggregated once. That
-    halves the time against an aggregation on both sides of the shuffle.
-    """
-    together = clustered.repartition("cluster_key")
-    frame = together.groupBy("cluster_key").agg(*_facts(), *_lists())
-    frame = frame.withColumn("ids_origem", _ids_by_source(strict))
-    present = (F.col(name).isNotNull() for name in LIST_COLUMNS[:3])
-    return _finish(frame, _score(*present), run_ts)
-
-
-def _large(clustered: DataFrame, run_ts: datetime | None, strict: bool) -> DataFrame:
-    """Golden rows without lists: every aggregate combines on the map side in bounded state."""
-    flags = [
-        F.max(F.col("email").isNotNull()).alias("_email"),
-        F.max(F.col("telefone_principal").isNotNull()).alias("_phone"),
-        F.max(_has_address()).alias("_address"),
-    ]
-    facts = clustered.groupBy("cluster_key").agg(*_facts(), *flags)
-    smallest, greatest = F.min("id_origem"), F.max("id_origem")
-    missing = (F.count("id_origem") > 0) & (F.count("id_origem") < F.count(F.lit(1)))
-    clash = F.coalesce(smallest != greatest, F.lit(False)) | missing
-    ids = (
-        clustered.groupBy("cluster_key", "fonte")
-        .agg(_checked(smallest, clash, strict).alias("id"))
-        .groupBy("cluster_key")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("fonte", "id")))).alias("ids_origem"))
-        .withColumnRenamed("cluster_key", "_key")
-    )
-    frame = facts.join(ids, F.col("cluster_key").eqNullSafe(F.col("_key"))).withColumns(
-        {
-            "emails": F.lit(None),
-            "telefones": F.lit(None),
-            "enderecos": F.lit(None),
-            "atributos_por_fonte": F.lit(None),
-        }
-    )
-    return _finish(frame, _score(F.col("_email"), F.col("_phone"), F.col("_address")), run_ts)
-
-
-def _entries(clustered: DataFrame) -> DataFrame:
-    """List entries as rows, distinct per cluster and list; ``registros`` counts their records.
-
-    Grouping by cluster *and* value spreads one large cluster over all tasks.
-    """
-    none = F.lit(None).cast("string")
-
-    def entry(name: str, wanted: Column, **values: Column) -> Column:
-        fields = [F.lit(name).alias("lista")]
-        for column in ("valor", "cidade", "uf", "fonte"):
-            fields.append(values.get(column, none).alias(column))
-        return F.when(wanted, F.struct(*fields))
-
-    parts = F.array(
-        entry("emails", F.col("email").isNotNull(), valor=F.col("email")),
-        entry("telefones", F.col("telefone_principal").isNotNull(), valor=F.col("telefone_principal")),
-        entry("enderecos", _has_address(), cidade=F.col("cidade"), uf=F.col("uf"), fonte=F.col("fonte")),
-        entry("atributos_por_fonte", F.lit(True), valor=F.col("atributos_extras"), fonte=F.col("fonte")),
-    )
-    keys = ["cluster_key", "lista", "valor", "cidade", "uf", "fonte"]
-    return (
-        clustered.select("cluster_key", F.explode(F.array_compact(parts)).alias("entry"))
-        .select("cluster_key", "entry.*")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("registros"))
-        .withColumn("id_golden", F.md5("cluster_key"))
-        .select(GOLDEN_LISTS.fieldNames())
-    )
-
-
-def build_golden(
-    clustered: DataFrame,
-    run_ts: datetime | None = None,
-    *,
-    strict: bool = False,
-    list_limit: int = LIST_LIMIT,
-) -> Golden:
-    """Golden records of a clustered registry.
-
-    Cluster sizes are counted first (one narrow, pre-aggregated pass). Normally none is above
-    ``list_limit`` and everything is one aggregation by cluster. Otherwise the large clusters take
-    a path on which no task ever holds a whole cluster. ``strict`` fails when one source brings
-    several ids into a cluster; see ``id_conflicts`` for the report.
-    """
-    sizes = clustered.groupBy("cluster_key").agg(F.count(F.lit(1)).alias("records"))
-    large = sizes.where(F.col("records") > list_limit).select(F.col("cluster_key").alias("_large"))
-    found = large.limit(BROADCAST_KEYS + 1).collect()
-    if not found:
-        nothing = clustered.sparkSession.createDataFrame([], GOLDEN_LISTS)
-        return Golden(_regular(clustered, run_ts, strict), nothing)
-    if len(found) <= BROADCAST_KEYS:
-        large = F.broadcast(clustered.sparkSession.createDataFrame(found, large.schema))
-    same = F.col("cluster_key").eqNullSafe(F.col("_large"))
-    few = clustered.join(large, same, "left_anti")
-    many = clustered.join(large, same, "left_semi")
-    golden = _regular(few, run_ts, strict).unionByName(_large(many, run_ts, strict))
-    return Golden(golden, _entries(many))
-
-
 def id_conflicts(clustered: DataFrame) -> DataFrame:
     """Clusters in which one source has several ids: the ids the golden map had to leave out."""
     return (
@@ -245,22 +165,7 @@ def id_conflicts(clustered: DataFrame) -> DataFrame:
     )
 
 
-def list_rows(tables: Golden, column: str) -> DataFrame:
-    """One list column of all golden records as rows, whichever form the record has.
-
-    ``id_golden`` plus ``valor`` (e-mails, phones), ``cidade, uf, fonte`` (addresses) or
-    ``fonte, atributos`` with the number of equal ``registros`` (attributes).
-    """
-    rows = tables.golden.select("id_golden", F.explode(column).alias("entry"))
-    large = tables.lists.where(F.col("lista") == column)
-    if column == "enderecos":
-        names = ["id_golden", "cidade", "uf", "fonte"]
-        return rows.select("id_golden", "entry.*").unionByName(large.select(names))
-    if column == "atributos_por_fonte":
-        own = rows.select("id_golden", "entry.*", F.lit(1).cast("bigint").alias("registros"))
-        return own.unionByName(
-            large.select("id_golden", "fonte", F.col("valor").alias("atributos"), "registros")
-        )
-    return rows.select("id_golden", F.col("entry").alias("valor")).unionByName(
-        large.select("id_golden", "valor")
-    )
+def list_rows(golden: DataFrame, column: str) -> DataFrame:
+    """One list column as rows: ``id_golden`` plus ``valor``, or the fields of its entries."""
+    rows = golden.select("id_golden", F.explode(column).alias("valor"))
+    return rows.select("id_golden", "valor.*") if column in LIST_COLUMNS[2:] else rows

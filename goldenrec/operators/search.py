@@ -10,8 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from goldenrec.operators.golden import LIST_COLUMNS
-from goldenrec.operators.paging import in_order, page_of
+from goldenrec.operators.paging import page_of
 
 # Page sizes.
 DEFAULT_PER_PAGE = 25
@@ -69,29 +68,9 @@ def _scalar_filters(q: str | None, doc: str | None) -> list[Column]:
     return filters
 
 
-def _list_filters(
-    email: str | None, telefone: str | None, cidade: str | None, uf: str | None
-) -> list[tuple[str, object]]:
-    """(list column, test of one entry given a field reader) for each filter that is set."""
-    filters: list[tuple[str, object]] = []
-    if email:
-        filters.append(("emails", lambda entry: _contains(entry("valor"), email.lower())))
-    if number := only_digits(telefone):
-        filters.append(("telefones", lambda entry: entry("valor").contains(number)))
-    if cidade:
-        filters.append(("enderecos", lambda entry: _contains(entry("cidade"), cidade)))
-    if uf:
-        filters.append(("enderecos", lambda entry: entry("uf") == uf.upper()))
-    return filters
-
-
-def _in_row(column: str, test) -> Column:
-    """Some entry of the golden row's own list passes; no list means no."""
-
-    def check(item: Column) -> Column:
-        return test(lambda name: item if name == "valor" else item[name])
-
-    return F.coalesce(F.exists(column, check), F.lit(False))
+def _some(column: str, test) -> Column:
+    """Some entry of a list passes; no list means no."""
+    return F.coalesce(F.exists(column, test), F.lit(False))
 
 
 def search_matches(
@@ -103,27 +82,21 @@ def search_matches(
     telefone: str | None = None,
     cidade: str | None = None,
     uf: str | None = None,
-    lists: DataFrame | None = None,
 ) -> DataFrame:
     """Golden rows that pass every filter that is set.
 
-    Empty filters, and document or phone texts without any digit, do not apply. ``lists`` adds the
-    entries of clusters whose lists live outside the golden row.
+    Empty filters, and document or phone texts without any digit, do not apply.
     """
     filters = _scalar_filters(q, doc)
-    on_lists = _list_filters(email, telefone, cidade, uf)
-    if lists is None or not on_lists:
-        filters += [_in_row(column, test) for column, test in on_lists]
-        return golden.where(reduce(and_, filters)) if filters else golden
-    flags = [
-        F.max((F.col("lista") == column) & F.coalesce(test(F.col), F.lit(False))).alias(f"_hit{place}")
-        for place, (column, test) in enumerate(on_lists)
-    ]
-    hits = lists.groupBy(F.col("id_golden").alias("_id")).agg(*flags)
-    joined = golden.join(hits, F.col("id_golden").eqNullSafe(F.col("_id")), "left")
-    for place, (column, test) in enumerate(on_lists):
-        filters.append(_in_row(column, test) | F.coalesce(F.col(f"_hit{place}"), F.lit(False)))
-    return joined.where(reduce(and_, filters)).select(golden.columns)
+    if email:
+        filters.append(_some("emails", lambda entry: _contains(entry, email.lower())))
+    if number := only_digits(telefone):
+        filters.append(_some("telefones", lambda entry: entry.contains(number)))
+    if cidade:
+        filters.append(_some("enderecos", lambda entry: _contains(entry["cidade"], cidade)))
+    if uf:
+        filters.append(_some("enderecos", lambda entry: entry["uf"] == uf.upper()))
+    return golden.where(reduce(and_, filters)) if filters else golden
 
 
 def check_page(page: int, per_page: int, uf: str | None) -> None:
@@ -135,25 +108,13 @@ def check_page(page: int, per_page: int, uf: str | None) -> None:
         raise ValueError("uf must have 2 letters")
 
 
-def present(
-    golden: DataFrame, columns: tuple[str, ...], lists: DataFrame | None = None
-) -> DataFrame:
-    """Result columns with absent lists and maps shown as empty, and the two instants as timestamps.
-
-    With ``lists``, the list columns of a record whose entries live there stay NULL: not empty, but
-    to be read from ``lists``.
-    """
-    here = F.lit(True)
-    if lists is not None:
-        moved = lists.select(F.col("id_golden").alias("_id")).distinct().withColumn("_moved", F.lit(True))
-        golden = golden.join(moved, F.col("id_golden").eqNullSafe(F.col("_id")), "left")
-        here = F.col("_moved").isNull()
+def present(golden: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Result columns with absent lists and maps shown as empty, and the two instants as timestamps."""
 
     def shown(name: str) -> Column:
         kind = golden.schema[name].dataType
         if kind.typeName() == "array":
-            empty = F.when(here, F.array().cast(kind)) if name in LIST_COLUMNS else F.array().cast(kind)
-            return F.coalesce(F.col(name), empty).alias(name)
+            return F.coalesce(F.col(name), F.array().cast(kind)).alias(name)
         if kind.typeName() == "map":
             return F.coalesce(F.col(name), F.create_map().cast(kind)).alias(name)
         if name in ("primeira_aparicao", "ultima_atualizacao"):
@@ -171,7 +132,6 @@ def search(
     *,
     page: int = 1,
     per_page: int = DEFAULT_PER_PAGE,
-    lists: DataFrame | None = None,
     **filters: str | None,
 ) -> Page:
     """One page of matching summaries, best score first, then by name (none last), then by id.
@@ -179,23 +139,19 @@ def search(
     Filters are those of ``search_matches``.
     """
     check_page(page, per_page, filters.get("uf") or None)
-    matches = search_matches(golden, lists=lists, **filters)
+    matches = search_matches(golden, **filters)
     total = matches.count()
     rows = page_of(matches, page, per_page, "id_golden", RANKING)
-    data = present(rows, SUMMARY, lists)
-    if lists is not None:
-        # the join above need not keep the order of the page
-        data = data.orderBy(*[in_order(*key) for key in [*RANKING, ("id_golden", False)]])
-    return Page(total, page, per_page, page * per_page < total, data)
+    return Page(total, page, per_page, page * per_page < total, present(rows, SUMMARY))
 
 
-def detail_rows(golden: DataFrame, id_golden: str, lists: DataFrame | None = None) -> DataFrame:
+def detail_rows(golden: DataFrame, id_golden: str) -> DataFrame:
     """The 17 detail columns of one golden record: one row, or none."""
-    return present(golden.where(F.col("id_golden") == id_golden), DETAIL, lists)
+    return present(golden.where(F.col("id_golden") == id_golden), DETAIL)
 
 
-def detail(golden: DataFrame, id_golden: str, lists: DataFrame | None = None) -> Row | None:
-    return detail_rows(golden, id_golden, lists).first()
+def detail(golden: DataFrame, id_golden: str) -> Row | None:
+    return detail_rows(golden, id_golden).first()
 
 
 def resolve_entity_rows(golden_c: DataFrame, golden_f: DataFrame, id_golden: str) -> DataFrame:

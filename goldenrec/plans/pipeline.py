@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldenrec.operators.golden import LIST_LIMIT, build_golden
+from goldenrec.operators.golden import build_golden
 from goldenrec.operators.metrics import quality_metrics
 from goldenrec.operators.quality import run_contract
 from goldenrec.operators.resolve import resolve_entities
@@ -31,8 +31,6 @@ GOLD_MODELS = (
     "golden_fornecedores",
     "metricas_qualidade",
 )
-# List entries of clusters too large for one golden row.
-LIST_MODELS = ("golden_clientes_listas", "golden_fornecedores_listas")
 
 
 class Lake(NamedTuple):
@@ -49,7 +47,7 @@ def staging_union(tables: dict[str, DataFrame], registry: str) -> DataFrame:
 
 
 def layer_of(model: str) -> str:
-    return "ouro" if model in GOLD_MODELS or model.startswith("golden_") else "prata"
+    return "ouro" if model in GOLD_MODELS else "prata"
 
 
 def write_model(frame: DataFrame, base: str, model: str) -> DataFrame:
@@ -77,7 +75,6 @@ def build_lake(
     run_ts: datetime | None = None,
     *,
     strict: bool = False,
-    list_limit: int = LIST_LIMIT,
 ) -> Lake:
     """Silver and gold from bronze tables, stored below ``base``, then the data checks.
 
@@ -100,9 +97,7 @@ def build_lake(
         silver = staging_union(tables, registry)
         tables[union_model(registry)] = silver
         clustered = store(f"int_{registry}_cluster", resolve_entities(silver))
-        gold = build_golden(clustered, run_ts, strict=strict, list_limit=list_limit)
-        store(f"golden_{registry}", gold.golden)
-        store(f"golden_{registry}_listas", gold.lists)
+        store(f"golden_{registry}", build_golden(clustered, run_ts, strict=strict))
 
     concurrently([partial(stored_staging, key) for key in SPECS if key in bronze])
     concurrently([partial(stored_gold, registry) for registry in REGISTRIES])
@@ -127,7 +122,7 @@ def run_pipeline(
 
 def open_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The silver and gold tables by name."""
-    names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS) + list(LIST_MODELS)
+    names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS)
     tables = {name: read_model(spark, base.rstrip("/"), layer_of(name), name) for name in names}
     unions = {union_model(registry): staging_union(tables, registry) for registry in REGISTRIES}
-    return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS + LIST_MODELS}
+    return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS}

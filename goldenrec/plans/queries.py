@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 from goldenrec.functions import documents as D
 from goldenrec.functions import normalize as N
 from goldenrec.operators import dirty, lineage, metrics, quality, search
-from goldenrec.operators.golden import Golden, build_golden, id_conflicts, list_rows
+from goldenrec.operators.golden import build_golden, id_conflicts, list_entries, list_rows
 from goldenrec.operators.latest import latest_per_key
 from goldenrec.operators.paging import page_envelopes, page_of
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
 from goldenrec.plans.catalog import run_sql
 from goldenrec.plans.pipeline import REGISTRIES, Lake, build_lake
+from goldenrec.schemas import SILVER
 from goldenrec.session import concurrently, run_folder, stage
 from goldenrec.sources.bronze import Batch, ingest
 from goldenrec.sources.readers import (
@@ -73,9 +74,9 @@ def cluster(spark: SparkSession, folder: str, registry: str) -> DataFrame:
     return resolve_entities(stored_union(spark, folder, registry))
 
 
-def gold(spark: SparkSession, folder: str, registry: str, **options: object) -> Golden:
+def gold(spark: SparkSession, folder: str, registry: str) -> DataFrame:
     clustered = stage(cluster(spark, folder, registry), f"cluster-{registry}")
-    return build_golden(clustered, RUN_TS, **options)
+    return build_golden(clustered, RUN_TS)
 
 
 _lakes: dict[tuple[str, str], Lake] = {}
@@ -198,8 +199,7 @@ def standardized(source: str, registry: str) -> Query:
 def searching(page: int = 1, per_page: int = search.DEFAULT_PER_PAGE, **filters: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         golden = model(spark, folder, "golden_clientes")
-        lists = model(spark, folder, "golden_clientes_listas")
-        found = search.search(golden, page=page, per_page=per_page, lists=lists, **filters)
+        found = search.search(golden, page=page, per_page=per_page, **filters)
         more = [F.lit(found.total).cast("bigint").alias("total"), F.lit(found.has_next).alias("has_next")]
         return flat_summary(found.data, *more)
 
@@ -295,15 +295,13 @@ def sql_normalizers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_views(spark: SparkSession, folder: str) -> DataFrame:
-    """A user's SQL over the named views of a stored lake, large clusters included."""
+    """A user's SQL over the named views of a stored lake."""
     for name, frame in lake(spark, folder).tables.items():
         frame.createOrReplaceTempView(name)
     return run_sql(
         spark,
         """with places as (
-             select id_golden, e.uf from golden_clientes lateral view explode(enderecos) t as e
-             union all
-             select id_golden, uf from golden_clientes_listas where lista = 'enderecos')
+             select id_golden, e.uf from golden_clientes lateral view explode(enderecos) t as e)
            select p.uf, count(distinct g.id_golden) as clientes, max(g.score_completude) as melhor
            from golden_clientes g join places p on g.id_golden = p.id_golden
            where g.total_fontes > 1 group by p.uf""",
@@ -323,23 +321,62 @@ def clustered(registry: str) -> Query:
 
 
 def golden(registry: str) -> Query:
-    return lambda spark, folder: flat_golden(gold(spark, folder, registry).golden)
+    return lambda spark, folder: flat_golden(gold(spark, folder, registry))
 
 
 def golden_score(spark: SparkSession, folder: str) -> DataFrame:
-    tables = gold(spark, folder, "clientes")
-    return tables.golden.select("id_golden", "total_fontes", "score_completude")
+    golden = gold(spark, folder, "clientes")
+    return golden.select("id_golden", "total_fontes", "score_completude")
 
 
 def golden_ids(spark: SparkSession, folder: str) -> DataFrame:
-    tables = gold(spark, folder, "fornecedores")
-    return tables.golden.select("cluster_key", F.explode("ids_origem").alias("fonte", "id_origem"))
+    golden = gold(spark, folder, "fornecedores")
+    return golden.select("cluster_key", F.explode("ids_origem").alias("fonte", "id_origem"))
+
+
+def golden_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as records of which all returned ones carry one placeholder document.
+
+    That cluster has a quarter of all rows; its lists are as complete as those of any other.
+    """
+    lines = table(spark, folder, "lineitem")
+    doc = F.when(F.col("l_returnflag") == "R", F.lit("00000000191")).otherwise(
+        F.lpad(F.col("l_suppkey").cast("string"), 11, "5")
+    )
+    own = {
+        "id_unicad": F.concat_ws("-", "l_orderkey", "l_linenumber"),
+        "fonte": F.concat(F.lit("empresa_"), F.lower("l_linestatus")),
+        "id_origem": F.col("l_orderkey").cast("string"),
+        "tipo_pessoa": F.when(F.col("l_linenumber") > 1, "PF"),
+        "nome_razao_social": F.concat(F.lit("Item "), F.col("l_partkey").cast("string")),
+        "cpf_cnpj": doc,
+        "cpf_cnpj_kind": F.lit("CPF"),
+        "cpf_cnpj_valido": F.lit(True),
+        "email": F.concat(F.lit("p"), F.col("l_partkey").cast("string"), F.lit("@x.com")),
+        "uf": F.col("l_linestatus"),
+        "atributos_extras": F.col("l_quantity").cast("int").cast("string"),
+        "_ingested_at": F.col("l_shipdate").cast("string"),
+    }
+    rows = lines.select([own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER])
+    golden = build_golden(stage(resolve_entities(rows), "hot-clusters"), RUN_TS)
+    places = F.array_join(F.transform("enderecos", lambda e: F.concat_ws(":", e["fonte"], e["uf"])), "|")
+    values = F.transform("atributos_por_fonte", lambda e: e["atributos"].cast("bigint"))
+    return golden.select(
+        "cluster_key",
+        F.size("emails").cast("bigint").alias("emails"),
+        F.md5(F.array_join("emails", "|")).alias("emails_md5"),
+        places.alias("enderecos"),
+        F.size("atributos_por_fonte").cast("bigint").alias("atributos"),
+        F.aggregate(values, F.lit(0).cast("bigint"), lambda total, one: total + one).alias("soma"),
+        ids_text(),
+        "nome_razao_social",
+        "score_completude",
+    )
 
 
 def golden_large(spark: SparkSession, folder: str) -> DataFrame:
-    """Golden heads when every cluster above a few records takes the large-cluster path."""
-    tables = gold(spark, folder, "clientes", list_limit=LARGE_FROM)
-    return tables.golden.select(
+    """Golden heads, marked where a cluster has more than a few records."""
+    return gold(spark, folder, "clientes").select(
         *GOLDEN_HEAD,
         joined("fontes"),
         joined("metodos_match"),
@@ -347,16 +384,21 @@ def golden_large(spark: SparkSession, folder: str) -> DataFrame:
         "score_completude",
         "primeira_aparicao",
         "ultima_atualizacao",
-        F.col("atributos_por_fonte").isNull().alias("em_listas"),
+        (F.size("atributos_por_fonte") > LARGE_FROM).alias("em_listas"),
     )
 
 
 def golden_large_lists(spark: SparkSession, folder: str) -> DataFrame:
-    return gold(spark, folder, "clientes", list_limit=LARGE_FROM).lists
+    """List entries, with their number of records, of clusters with more than a few records."""
+    clusters = stage(cluster(spark, folder, "clientes"), "cluster-clientes")
+    large = clusters.groupBy(F.col("cluster_key").alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+    large = large.where(F.col("n") > LARGE_FROM)
+    same = F.col("cluster_key").eqNullSafe(F.col("_key"))
+    return list_entries(clusters).join(large, same, "left_semi")
 
 
 def golden_addresses(spark: SparkSession, folder: str) -> DataFrame:
-    return list_rows(gold(spark, folder, "clientes", list_limit=LARGE_FROM), "enderecos")
+    return list_rows(gold(spark, folder, "clientes"), "enderecos")
 
 
 def conflicts(spark: SparkSession, folder: str) -> DataFrame:
@@ -369,7 +411,7 @@ def quality_table(spark: SparkSession, folder: str) -> DataFrame:
     def layers(registry: str) -> tuple[DataFrame, DataFrame]:
         union = stored_union(spark, folder, registry)
         clusters = stage(resolve_entities(union), f"cluster-{registry}")
-        return union, build_golden(clusters, RUN_TS).golden
+        return union, build_golden(clusters, RUN_TS)
 
     (silver_c, golden_c), (silver_f, golden_f) = concurrently(
         [partial(layers, registry) for registry in REGISTRIES]
@@ -426,10 +468,7 @@ def shared_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers_per_uf(spark: SparkSession, folder: str) -> DataFrame:
-    stored = Golden(
-        model(spark, folder, "golden_clientes"), model(spark, folder, "golden_clientes_listas")
-    )
-    counts = lineage.entities_per_uf(list_rows(stored, "enderecos"))
+    counts = lineage.entities_per_uf(list_rows(model(spark, folder, "golden_clientes"), "enderecos"))
     return counts.orderBy(F.desc("clientes"), F.asc_nulls_last("uf")).limit(5)
 
 
@@ -637,6 +676,7 @@ QUERIES: dict[str, Query] = {
     "golden_ids_origem": golden_ids,
     "golden_large_clusters": golden_large,
     "golden_large_lists": golden_large_lists,
+    "golden_hot_cluster": golden_hot,
     "golden_list_rows": golden_addresses,
     "id_conflicts": conflicts,
     "metricas_qualidade": quality_table,

@@ -61,18 +61,6 @@ GOLDEN = _struct(
     _processed_at=T.TimestampType(),
 )
 
-# One row per list entry of the clusters whose lists are too long for one golden row.
-GOLDEN_LISTS = _struct(
-    id_golden=_STR,
-    cluster_key=_STR,
-    lista=_STR,
-    valor=_STR,
-    cidade=_STR,
-    uf=_STR,
-    fonte=_STR,
-    registros=T.LongType(),
-)
-
 METRICS = _struct(
     tipo_cadastro=_STR,
     fonte=_STR,

@@ -541,6 +541,24 @@ from ({rows(D, f'"Documento", {doc("Documento")} as d')}) x""",
         + ") l",
         "cluster_c",
     ),
+    "golden_hot_cluster": """
+with r as (
+  select case when l_returnflag = 'R' then '00000000191' else lpad(l_suppkey::varchar, 11, '5') end as doc,
+    'empresa_' || lower(l_linestatus) as fonte, l_orderkey::varchar as id, 'p' || l_partkey || '@x.com' as email,
+    l_linestatus as uf, l_quantity::int as q, 'Item ' || l_partkey as nome, l_linenumber as n
+  from lineitem
+), ids as (select doc, fonte, min(id) as id from r group by 1, 2
+), mails as (select doc, count(*) as n, md5(string_agg(email, '|' order by email)) as m
+  from (select distinct doc, email from r) group by 1
+)
+select 'doc:' || r.doc as cluster_key, any_value(mails.n)::bigint as emails, any_value(m) as emails_md5,
+  (select string_agg(fonte || ':' || upper(fonte[9:]), '|' order by upper(fonte[9:])) from ids i where i.doc = r.doc) as enderecos,
+  count(*)::bigint as atributos, sum(q)::bigint as soma,
+  (select string_agg(fonte || '=' || id, '|' order by fonte) from ids i where i.doc = r.doc) as ids_origem,
+  max_by(nome, length(nome)::varchar || nome) as nome_razao_social,
+  (6 + (count(distinct fonte) > 1)::int + (count(*) filter (r.n > 1) > 0)::int - 1)::double / 8.0 as score_completude
+from r join mails on r.doc = mails.doc group by r.doc
+""",
     "golden_list_rows": with_(
         "select distinct md5(cluster_key) as id_golden, cidade, uf, fonte from cluster_c "
         "where cidade is not null or uf is not null",

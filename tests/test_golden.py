@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from goldenrec.operators.golden import LIST_COLUMNS, build_golden, id_conflicts, list_rows
+from goldenrec.operators.golden import LIST_COLUMNS, build_golden, id_conflicts, list_entries, list_rows
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.schemas import CLUSTER, GOLDEN
 from helpers import FAILED_QUERY, RUN_TS, as_set, silver
@@ -85,7 +85,7 @@ def sample(spark):
 
 
 def test_golden_values(spark):
-    golden = build_golden(sample(spark), RUN_TS).golden
+    golden = build_golden(sample(spark), RUN_TS)
     assert [(f.name, f.dataType) for f in golden.schema] == [(f.name, f.dataType) for f in GOLDEN]
     rows = {r.cluster_key: r for r in golden.collect()}
     ana = rows["doc:" + DOC1]
@@ -106,43 +106,51 @@ def test_golden_values(spark):
     assert (nobody.score_completude, len(nobody.atributos_por_fonte)) == (0.625, 2)
 
 
-@pytest.mark.parametrize("limit", [1, 3, 200])
-def test_large_clusters_lose_nothing(spark, limit):
-    """The large-cluster path agrees with the plain one, whichever clusters take it."""
-    clustered = sample(spark)
-    plain, split = build_golden(clustered, RUN_TS), build_golden(clustered, RUN_TS, list_limit=limit)
-    assert as_set(split.golden, *LIST_COLUMNS) == as_set(plain.golden, *LIST_COLUMNS)
-    moved = split.golden.where(F.col("atributos_por_fonte").isNull()).count()
-    assert moved == clustered.groupBy("cluster_key").count().where(F.col("count") > limit).count() > 0
-    for column in LIST_COLUMNS:
-        ours, theirs = list_rows(split, column), list_rows(plain, column)
-        if column == "atributos_por_fonte":
-            ours, theirs = (
-                f.groupBy("id_golden", "fonte", "atributos").agg(F.sum("registros").alias("n")) for f in (ours, theirs)
-            )
-        assert as_set(ours) == as_set(theirs)
-
-
-def test_broadcast_bound_falls_back_to_a_join(spark, monkeypatch):
+@pytest.mark.parametrize("records", [8, 50_000])
+def test_lists_are_complete_at_every_size(spark, records):
+    """One placeholder document on many records: same columns filled, nothing left out."""
+    rows = spark.range(records).select(
+        F.concat(F.lit("u"), "id").alias("id_unicad"),
+        F.concat(F.lit("m"), F.col("id") % 7, F.lit("@x.y")).alias("email"),
+        F.concat(F.lit("{"), F.col("id") % 3, F.lit("}")).alias("atributos_extras"),
+        F.col("id").cast("string").alias("telefone_principal"),
+    )
+    base = silver(spark, {"cpf_cnpj": DOC1, "uf": "SP"}).drop(*rows.columns)
+    golden = build_golden(resolve_entities(rows.crossJoin(base)), RUN_TS)
+    row = golden.first()
+    assert golden.count() == 1
+    assert (len(row.emails), len(row.telefones), len(row.atributos_por_fonte)) == (7, records, records)
+    assert row.emails == sorted(row.emails) and len(row.enderecos) == 1
+    first = sum(e.atributos == "{0}" for e in row.atributos_por_fonte)
+    assert first == -(-records // 3)
+    # the plain text of a user finds it
+    golden.createOrReplaceTempView("g")
+    sql = "select e.uf, count(distinct id_golden) n from g lateral view explode(enderecos) t as e group by 1"
+    assert [tuple(r) for r in spark.sql(sql).collect()] == [("SP", 1)]
+
+
+def test_list_entries_and_rows(spark):
     clustered = sample(spark)
-    plain = as_set(build_golden(clustered, RUN_TS).golden, *LIST_COLUMNS)
-    monkeypatch.setattr("goldenrec.operators.golden.BROADCAST_KEYS", 1)
-    assert as_set(build_golden(clustered, RUN_TS, list_limit=1).golden, *LIST_COLUMNS) == plain
+    golden = build_golden(clustered, RUN_TS)
+    entries = list_entries(clustered)
+    assert entries.where("lista = 'emails'").count() == list_rows(golden, "emails").count()
+    assert entries.where("lista = 'enderecos'").count() == list_rows(golden, "enderecos").count()
+    attributes = entries.where("lista = 'atributos_por_fonte'").agg(F.sum("registros")).first()[0]
+    assert attributes == list_rows(golden, "atributos_por_fonte").count() == clustered.count()
 
 
 def test_gold_does_not_depend_on_the_layout(spark):
     clustered = sample(spark)
-    one = as_set(build_golden(clustered.repartition(1), RUN_TS).golden)
-    many = as_set(build_golden(clustered.repartition(17), RUN_TS).golden)
+    one = as_set(build_golden(clustered.repartition(1), RUN_TS))
+    many = as_set(build_golden(clustered.repartition(17), RUN_TS))
     assert one == many
 
 
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_id_conflicts(spark, limit):
+def test_id_conflicts(spark):
     clustered = sample(spark)
     found = id_conflicts(clustered).collect()
     assert [(r.cluster_key, r.fonte, r.ids, r.id_mantido) for r in found] == [("doc:" + DOC1, "empresa_a", 2, "a-first")]
     with pytest.raises(FAILED_QUERY, match="several source ids"):
-        build_golden(clustered, RUN_TS, strict=True, list_limit=limit).golden.collect()
+        build_golden(clustered, RUN_TS, strict=True).collect()
     clean = clustered.where(F.col("id_origem").isNull() | (F.col("id_origem") != "a-first"))
-    assert build_golden(clean, RUN_TS, strict=True, list_limit=limit).golden.count() == 4
+    assert build_golden(clean, RUN_TS, strict=True).count() == 4

@@ -100,10 +100,16 @@ def test_a_placeholder_source_id_is_split_over_tasks(spark, small_skew):
     assert "SortMergeJoin(skew=true)" in plan(found)
 
 
-def test_golden_is_one_shuffle_by_cluster(spark):
+def test_golden_combines_before_every_shuffle(spark):
+    """Facts once, list entries by cluster and value and then by cluster; the join needs no other."""
     clustered = stage(resolve_entities(stage(silver(spark, SF, "empresa_a", "clientes"), "plan")), "plan")
-    text = plan(build_golden(clustered, RUN_TS).golden)
-    assert text.count("Exchange") == 1 and "hashpartitioning(cluster_key" in text
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(build_golden(clustered, RUN_TS))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("partial_count(1)") == 1
+    assert "SortMergeJoin" in text and "partial_collect_list" in text and "BroadcastExchange" not in text
 
 
 def test_lookups_reach_the_files(spark):

@@ -163,7 +163,7 @@ def test_metrics(spark):
         {"fonte": "empresa_b", "cpf_cnpj_valido": False},
     )
     nothing = customers.limit(0)
-    golden = build_golden(resolve_entities(customers), RUN_TS).golden
+    golden = build_golden(resolve_entities(customers), RUN_TS)
     empty = golden.limit(0)
     table = metrics.quality_metrics(customers, nothing, golden, empty)
     rows = [r.asDict() for r in table.collect()]

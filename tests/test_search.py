@@ -24,13 +24,13 @@ def clustered(spark):
     return resolve_entities(silver(spark, *rows)).cache()
 
 
-@pytest.fixture(scope="module", params=[50_000, 1], ids=["in_rows", "in_lists"])
-def tables(request, clustered):
-    return build_golden(clustered, RUN_TS, list_limit=request.param)
+@pytest.fixture(scope="module")
+def tables(clustered):
+    return build_golden(clustered, RUN_TS)
 
 
 def find(tables, **options):
-    return search.search(tables.golden, lists=tables.lists, **options)
+    return search.search(tables, **options)
 
 
 def names(page):
@@ -80,7 +80,7 @@ def test_bad_parameters(tables, options):
 
 
 def test_detail(clustered):
-    golden = build_golden(clustered, RUN_TS).golden
+    golden = build_golden(clustered, RUN_TS)
     ana = search.search(golden, doc=DOC).data.first()
     row = search.detail(golden, ana.id_golden)
     assert list(row.asDict()) == list(search.DETAIL)
@@ -90,18 +90,8 @@ def test_detail(clustered):
     assert search.detail(golden, "missing") is None
 
 
-def test_lists_elsewhere_are_not_shown_as_empty(tables):
-    ana = find(tables, doc=DOC).data.first()
-    moved = not tables.lists.isEmpty()
-    assert ana.emails == (None if moved else ["ana2@x.y", "ana@x.y"])
-    row = search.detail(tables.golden, ana.id_golden, tables.lists)
-    assert (row.atributos_por_fonte is None) == moved and row.metodos_match == ["doc_match"]
-    lone = find(tables, q="back").data.first()
-    assert (lone.emails, lone.telefones) == ([], [])
-
-
 def test_company_in_both_registries(spark, clustered):
-    customers = build_golden(clustered, RUN_TS).golden
+    customers = build_golden(clustered, RUN_TS)
     suppliers = customers.where(F.col("cpf_cnpj") == DOC).withColumn("nome_razao_social", F.lit("fornecedor"))
     key = suppliers.first().id_golden
     assert search.resolve_entity(customers, suppliers, key).nome_razao_social == "Ana Araújo"
