@@ -263,13 +263,14 @@ def nearest(vectors: DataFrame, queries: Column) -> DataFrame:
     found = stage(_ranked(found), "neighbours")
     wanted = min(NEAREST, known.count() - 1)
     counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= wanted)
-    short = stage(asked.join(counts, F.col("vec_id") == F.col("query_id"), "left_anti"), "short-queries")
+    short = asked.withColumnRenamed("vec_id", "query_id").join(counts, "query_id", "left_anti")
+    short = stage(short, "short-queries")
     blocks = -(-short.count() // EXACT_BLOCK) if wanted > 0 else 0
-    result = found.join(short, F.col("query_id") == F.col("vec_id"), "left_anti") if blocks else found
+    result = found.join(short, "query_id", "left_anti") if blocks else found
     for block in range(blocks):
-        rows = short.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).collect()
+        rows = short.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).collect()
         if rows:
-            value = (np.array([r.vec_id for r in rows], np.int64), np.array([r.embedding for r in rows], np.float64))
+            value = (np.array([r.query_id for r in rows], np.int64), np.array([r.embedding for r in rows], np.float64))
             shared = spark.sparkContext.broadcast(value)
             result = result.unionByName(_ranked(entries.mapInArrow(_rank_all(shared), FOUND)))
     return result
