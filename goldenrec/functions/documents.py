@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,10 +27,11 @@ def mask_doc(doc: Column | str) -> Column:
     return F.when(size == CPF_LENGTH, cpf).when(size == CNPJ_LENGTH, cnpj).otherwise(doc)
 
 
-def _weighted(number: Column, weights: Sequence[int]) -> Column:
-    """Weighted digit sum; characters count by their distance from '0', so nothing is parsed."""
-    terms = [F.ascii(F.substring(number, i, 1)) * w for i, w in enumerate(weights, start=1)]
-    return reduce(add, terms) - ord("0") * sum(weights)
+def _weighted(digits: Column, weights: Sequence[int]) -> Column:
+    """Dot product of the leading digits with the weights."""
+    fixed = F.array(*[F.lit(w) for w in weights])
+    terms = F.zip_with(F.slice(digits, 1, len(weights)), fixed, lambda digit, weight: digit * weight)
+    return F.aggregate(terms, F.lit(0), lambda total, term: total + term)
 
 
 def _mod11(total: Column) -> Column:
@@ -40,17 +39,25 @@ def _mod11(total: Column) -> Column:
     return (11 - total % 11) % 11 % 10
 
 
-def _check_pair(base: Column, first: Sequence[int], second: Sequence[int]) -> Column:
+def _check_pair(digits: Column, first: Sequence[int], second: Sequence[int]) -> Column:
     """Both check digits of a base, as one number 0..99."""
-    one = _mod11(_weighted(base, first))
-    return one * 10 + _mod11(_weighted(base, second) + one * LAST_WEIGHT)
+
+    def both(sums: Column) -> Column:
+        one = _mod11(sums["first"])
+        return one * 10 + _mod11(sums["second"] + one * LAST_WEIGHT)
+
+    sums = F.struct(_weighted(digits, first).alias("first"), _weighted(digits, second).alias("second"))
+    # an array of one, so that the sums are computed once and named
+    return F.get(F.transform(F.array(sums), both), F.lit(0))
 
 
 def expected_check_digits(doc: Column | str) -> Column:
     """The two check digits the leading digits call for; NULL for texts that are not a document."""
     doc = as_column(doc)
-    pair = F.when(doc.rlike(r"\A[0-9]{11}\z"), _check_pair(doc, CPF_FIRST, CPF_SECOND)).when(
-        doc.rlike(r"\A[0-9]{14}\z"), _check_pair(doc, CNPJ_FIRST, CNPJ_SECOND)
+    # digits become an array once; everything behind it works on small arrays, not on generated code per digit
+    digits = F.transform(F.split(doc, ""), lambda sign: F.ascii(sign) - ord("0"))
+    pair = F.when(doc.rlike(r"\A[0-9]{11}\z"), _check_pair(digits, CPF_FIRST, CPF_SECOND)).when(
+        doc.rlike(r"\A[0-9]{14}\z"), _check_pair(digits, CNPJ_FIRST, CNPJ_SECOND)
     )
     return F.lpad(pair.cast("string"), 2, "0")
 
@@ -61,10 +68,13 @@ def complete_doc(base: Column | str) -> Column:
     return F.concat(base, expected_check_digits(F.concat(base, F.lit("00"))))
 
 
-def check_digits_ok(doc: Column | str) -> Column:
-    """True when the last two digits are the expected ones; NULL for NULL, false for other lengths."""
+def check_digits_ok(doc: Column | str, expected: Column | str | None = None) -> Column:
+    """True when the last two digits are the expected ones; NULL for NULL, false for other lengths.
+
+    ``expected`` is a column that holds ``expected_check_digits`` already.
+    """
     doc = as_column(doc)
-    good = F.right(doc, F.lit(2)) == expected_check_digits(doc)
+    good = F.right(doc, F.lit(2)) == (expected_check_digits(doc) if expected is None else as_column(expected))
     return F.when(doc.isNotNull(), F.coalesce(good, F.lit(False)))
 
 

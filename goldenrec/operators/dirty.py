@@ -10,34 +10,27 @@ from goldenrec.functions.normalize import as_column
 
 
 def phone_spelling(phone: Column | str, variant: Column) -> Column:
-    """One of five notations of a 13-digit phone; the last one has no area code."""
+    """One of four notations of a 13-digit phone; the last one has no area code."""
     phone = as_column(phone)
     area = F.substring(phone, 3, 2)
-    head, tail = F.substring(phone, 5, 5), F.substring(phone, 10, 4)
-    local = F.concat(head, F.lit("-"), tail)
-    with_area = F.concat(F.lit("("), area, F.lit(") "), local)
-    choice = F.pmod(variant, F.lit(5))
+    digits = F.substring(phone, 5, 9)
+    blocks = F.concat_ws(" ", *[F.substring(phone, start, 3) for start in (5, 8, 11)])
     return (
-        F.when(choice == 0, with_area)
-        .when(choice == 1, F.concat(area, F.lit(" "), head, tail))
-        .when(choice == 2, F.concat(area, head, tail))
-        .when(choice == 3, F.concat(F.lit("+55 "), with_area))
-        .otherwise(local)
+        F.when(variant % 4 == 0, F.concat_ws(".", area, digits))
+        .when(variant % 4 == 1, F.concat(F.lit("tel +55"), area, digits))
+        .when(variant % 4 == 2, F.concat_ws("/", area, blocks))
+        .otherwise(blocks)
     )
 
 
-# Shares of the spellings of a text, in percent.
-UPPER_BELOW, PLAIN_BELOW, PADDED_BELOW = 20, 35, 50
-
-
 def text_spelling(text: Column | str, percent: Column) -> Column:
-    """Upper case, without accents, padded, or as it is, by ``percent`` in 0..99."""
+    """As it is, in small letters, with doubled spaces, or without accents and spaced, a quarter each."""
     text = as_column(text)
     return (
-        F.when(percent < UPPER_BELOW, F.upper(text))
-        .when(percent < PLAIN_BELOW, deaccent(text))
-        .when(percent < PADDED_BELOW, F.concat(F.lit("  "), text, F.lit(" ")))
-        .otherwise(text)
+        F.when(percent < 25, text)
+        .when(percent < 50, F.lower(text))
+        .when(percent < 75, F.replace(text, F.lit(" "), F.lit("  ")))
+        .otherwise(F.concat(F.lit(" "), deaccent(text), F.lit("   ")))
     )
 
 

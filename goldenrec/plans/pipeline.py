@@ -14,7 +14,7 @@ from goldenrec.operators.quality import run_contract
 from goldenrec.operators.resolve import resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
 from goldenrec.session import concurrently
-from goldenrec.sources.readers import read_bronze, read_model
+from goldenrec.sources.readers import empty_bronze, read_bronze, read_model
 
 REGISTRIES = ("clientes", "fornecedores")
 
@@ -79,9 +79,12 @@ def build_lake(
     """Silver and gold from bronze tables, stored below ``base``, then the data checks.
 
     Each step reads the stored step before it, so nothing upstream is computed twice and a lost
-    executor costs only the running step. Independent steps run side by side.
+    executor costs only the running step. Independent steps run side by side. Sources that are not given
+    are empty ones: their tables exist without rows.
     """
     run_ts = run_ts or datetime.now(UTC)
+    spark = next(iter(bronze.values())).sparkSession
+    bronze = {key: bronze[key] if key in bronze else empty_bronze(spark, *key) for key in SPECS}
     tables: dict[str, DataFrame] = {
         f"{source}_{registry}": frame for (source, registry), frame in bronze.items()
     }
@@ -99,7 +102,7 @@ def build_lake(
         clustered = store(f"int_{registry}_cluster", resolve_entities(silver))
         store(f"golden_{registry}", build_golden(clustered, run_ts, strict=strict))
 
-    concurrently([partial(stored_staging, key) for key in SPECS if key in bronze])
+    concurrently([partial(stored_staging, key) for key in SPECS])
     concurrently([partial(stored_gold, registry) for registry in REGISTRIES])
     store(
         "metricas_qualidade",
@@ -114,10 +117,19 @@ def build_lake(
 
 
 def run_pipeline(
-    spark: SparkSession, base: str, run_ts: datetime | None = None, **options: object
+    spark: SparkSession,
+    base: str,
+    run_ts: datetime | None = None,
+    *,
+    since: tuple[int, int] | None = None,
+    **options: object,
 ) -> Lake:
-    """Rebuild silver and gold of a lake from everything its bronze folder holds."""
-    return build_lake(read_all_bronze(spark, base), base, run_ts, **options)
+    """Rebuild silver and gold of a lake from what its bronze folder holds.
+
+    ``since=(year, month)`` leaves the folders of earlier months unread: right when every source delivers
+    its whole registry at least once from then on.
+    """
+    return build_lake(read_all_bronze(spark, base, since=since), base, run_ts, **options)
 
 
 def open_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:

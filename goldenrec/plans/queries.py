@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from datetime import UTC, datetime
-from functools import partial
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from goldenrec.operators.paging import page_envelopes, page_of
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
 from goldenrec.plans.catalog import run_sql
-from goldenrec.plans.pipeline import REGISTRIES, Lake, build_lake
+from goldenrec.plans.pipeline import GOLD_MODELS, REGISTRIES, SILVER_MODELS, Lake, build_lake, run_pipeline
 from goldenrec.schemas import SILVER
 from goldenrec.session import concurrently, run_folder, stage
 from goldenrec.sources.bronze import Batch, ingest
@@ -419,6 +419,20 @@ def quality_table(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.quality_metrics(silver_c, silver_f, golden_c, golden_f)
 
 
+def partial_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per model of a lake into which two of the seven registries were ever loaded."""
+    base = f"{run_folder(spark)}/partial-{uuid4()}"
+    for source, kind in (("empresa_a", "clientes"), ("empresa_c", "fornecedores")):
+        rows = derive_registry(spark, folder, source, kind).drop(*META)
+        ingest({kind: rows}, source, f"{base}/bronze", Batch.new(NOW, "lote-1"))
+    tables = run_pipeline(spark, base, RUN_TS, since=(NOW.year, NOW.month)).tables
+    counts = [
+        tables[name].agg(F.lit(name).alias("modelo"), F.count(F.lit(1)).alias("registros"))
+        for name in (*SILVER_MODELS, *GOLD_MODELS[:4])
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.overlap_histogram(model(spark, folder, "golden_clientes"))
 
@@ -585,11 +599,11 @@ def dirty_spellings(spark: SparkSession, folder: str) -> DataFrame:
     spelt = customers.select(
         "c_custkey",
         dirty.text_spelling(name, percent).alias("Nome"),
-        dirty.doc_spelling(doc, percent, 20).alias("Documento"),
+        dirty.doc_spelling(doc, percent, 33).alias("Documento"),
         dirty.phone_spelling(phone, key).alias("Fone"),
-        dirty.blank_some(F.concat(F.lit("c"), key.cast("string"), F.lit("@x.com")), percent, 15).alias("Email"),
+        dirty.blank_some(F.concat(F.lit("c"), key.cast("string"), F.lit("@x.com")), percent, 12).alias("Email"),
     )
-    return dirty.repeat_rows(spelt, F.pmod(F.col("c_custkey") * 37, F.lit(100)), 8)
+    return dirty.repeat_rows(spelt, F.pmod(F.col("c_custkey") * 37, F.lit(100)), 5)
 
 
 def _union_query(registry: str) -> Query:
@@ -604,11 +618,8 @@ CONTRACT_RULES = {
 def check_digits(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned document is a column of its own: the digit arithmetic refers to it many times."""
     lines = derive_registry(spark, folder, "empresa_d", "clientes").withColumn("doc", N.clean_doc("Documento"))
-    return lines.select(
-        "Documento",
-        D.expected_check_digits("doc").alias("digitos"),
-        D.check_digits_ok("doc").alias("confere"),
-    )
+    lines = lines.withColumn("digitos", D.expected_check_digits("doc"))
+    return lines.select("Documento", "digitos", D.check_digits_ok("doc", "digitos").alias("confere"))
 
 
 def packed_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -681,6 +692,7 @@ QUERIES: dict[str, Query] = {
     "id_conflicts": conflicts,
     "metricas_qualidade": quality_table,
     "overlap_histogram": histogram,
+    "lake_of_two_sources": partial_lake,
     "search_name": searching(q="customer 00000"),
     "search_doc": searching(doc=DOC_TEXT),
     "search_email": searching(email="CLIENTE12"),

@@ -172,16 +172,22 @@ def read_bronze(
     """All batches of one source and registry type; ``since=(year, month)`` prunes older folders.
 
     The columns are those of the contract, without looking into any file. ``every_column`` adds
-    what single batches have beyond them, at the price of reading all file footers.
+    what single batches have beyond them, at the price of reading all file footers. A source that never
+    had a batch has no folder and no rows.
     """
     folder = f"{base}/{source}/{kind}"
     reader = spark.read.option("basePath", folder)
-    if every_column:
-        frame = reader.option("mergeSchema", True).parquet(folder)
-    else:
-        parts = [T.StructField(name, T.IntegerType()) for name in ("year", "month")]
-        layout = T.StructType([*schemas.BRONZE[source, kind].fields, *parts])
-        frame = reader.schema(layout).parquet(folder)
+    try:
+        if every_column:
+            frame = reader.option("mergeSchema", True).parquet(folder)
+        else:
+            parts = [T.StructField(name, T.IntegerType()) for name in ("year", "month")]
+            layout = T.StructType([*schemas.BRONZE[source, kind].fields, *parts])
+            frame = reader.schema(layout).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_bronze(spark, source, kind)
     if since is not None:
         year, month = since
         frame = frame.where(
@@ -190,6 +196,11 @@ def read_bronze(
     return frame.drop("year", "month")
 
 
+def empty_bronze(spark: SparkSession, source: str, kind: str) -> DataFrame:
+    """A source without batches, in the columns of its contract."""
+    return spark.createDataFrame([], schemas.BRONZE[source, kind])
+
+
 def read_batch(spark: SparkSession, base: str, source: str, kind: str, batch_id: str) -> DataFrame:
     """Rows of one stored batch, to verify it."""
     return read_bronze(spark, base, source, kind).where(F.col("_batch_id") == batch_id)

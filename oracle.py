@@ -453,14 +453,44 @@ def spelt() -> str:
     d = "lpad(cast(c_custkey * 48271 as varchar), 11, '0')"
     m = f"regexp_replace({d}, '^(...)(...)(...)(..)$', '\\1.\\2.\\3-\\4')"
     number = "('9' || lpad(cast(c_custkey as varchar), 8, '0'))"
-    local = f"{number}[1:5] || '-' || {number}[6:9]"
-    return f"""select c_custkey, case when {p} < 20 then upper({full}) when {p} < 35 then strip_accents({full})
-    when {p} < 50 then '  ' || {full} || ' ' else {full} end as "Nome",
-  case when {p} < 20 then {d} else {m} end as "Documento",
-  case c_custkey % 5 when 0 then '(11) ' || {local} when 1 then '11 ' || {number} when 2 then '11' || {number}
-    when 3 then '+55 (11) ' || {local} else {local} end as "Fone",
-  case when {p} < 15 then '' else 'c' || cast(c_custkey as varchar) || '@x.com' end as "Email"
-from (select * from customer union all select * from customer where (c_custkey * 37) % 100 < 8) c"""
+    blocks = f"{number}[1:3] || ' ' || {number}[4:6] || ' ' || {number}[7:9]"
+    return f"""select c_custkey, case when {p} < 25 then {full} when {p} < 50 then lower({full})
+    when {p} < 75 then replace({full}, ' ', '  ') else ' ' || strip_accents({full}) || '   ' end as "Nome",
+  case when {p} < 33 then {d} else {m} end as "Documento",
+  case c_custkey % 4 when 0 then '11.' || {number} when 1 then 'tel +5511' || {number}
+    when 2 then '11/' || {blocks} else {blocks} end as "Fone",
+  case when {p} < 12 then '' else 'c' || cast(c_custkey as varchar) || '@x.com' end as "Email"
+from (select * from customer union all select * from customer where (c_custkey * 37) % 100 < 5) c"""
+
+
+def two_source_lake() -> str:
+    """Row counts when only company A's customers and company C's suppliers were loaded, in one batch each."""
+    parts = []
+    for key in (CUSTOMERS[0], SUPPLIERS[1]):
+        source, registry_ = key
+        stamped = (
+            "select * replace ('2024-01-03T00:00:00+00:00' as _ingested_at, 'lote-1' as _batch_id) "
+            f"from ({bronze(key)}) z"
+        )
+        layer = silver(key).replace(bronze(key), stamped)
+        owners = "select email, min(cpf_cnpj) as d from s where cpf_cnpj_valido and email is not null group by email"
+        own = (
+            "case when cpf_cnpj_valido and cpf_cnpj is not null then 'doc:' || cpf_cnpj "
+            "when o.d is not null then 'doc:' || o.d else 'lone:' || id_unicad end"
+        )
+        counts = f"""(with s as ({layer}), o as ({owners})
+  select count(*) as n, count(distinct {own}) as g from s left join o on s.email = o.email)"""
+        for model, count in (
+            (f"stg_{source}_{registry_}", "n"),
+            (f"int_{registry_}_padronizados", "n"),
+            (f"int_{registry_}_cluster", "n"),
+            (f"golden_{registry_}", "g"),
+        ):
+            parts.append(f"select '{model}' as modelo, {count}::bigint as registros from {counts} c")
+    for source, registry_ in BRONZE:
+        if (source, registry_) not in (CUSTOMERS[0], SUPPLIERS[1]):
+            parts.append(f"select 'stg_{source}_{registry_}' as modelo, 0::bigint as registros")
+    return " union all ".join(parts)
 
 
 A, B, C, D, E = CUSTOMERS[0], CUSTOMERS[1], SUPPLIERS[1], CUSTOMERS[2], CUSTOMERS[3]
@@ -570,6 +600,7 @@ from cluster_c group by cluster_key, fonte having count(distinct coalesce(id_ori
         "cluster_c",
     ),
     "metricas_qualidade": with_("select * from metrics", "metrics"),
+    "lake_of_two_sources": two_source_lake(),
     "overlap_histogram": with_(
         "select total_fontes, count(*) as entidades from golden_c group by total_fontes", "golden_c"
     ),

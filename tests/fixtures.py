@@ -28,7 +28,7 @@ PLAN: dict[tuple[str, str, str], list[tuple[int, int]]] = {
     ("empresa_e", "clientes", "PF"): [(0, 20), (135, 180), (60, 65)],
     ("empresa_e", "clientes", "PJ"): [(150, 180)],
 }
-# Preferred channels. The other texts below are samples of our own.
+# Preferred channels.
 CHANNELS = ("email", "whatsapp", "instagram", "twitter")
 GIVEN = ("Ana", "Bruno", "Caleb", "Débora", "Élton", "Flávia", "João", "Luísa", "Márcio", "Zoé")
 FAMILY = ("Araújo", "Conceição", "da Costa", "Garcia", "Leão", "Monteiro", "Oliveira", "Vargas")
@@ -36,9 +36,9 @@ FORMS = ("Ltda.", "S.A.", "- ME", "e Filhos")
 CITIES = (("Ji-Paraná", "RO"), ("São Paulo", "SP"), ("Belém", "PA"), ("Embu-Guaçu", "SP"))
 AREAS = (11, 19, 48, 69, 91)
 TAGS = ("novo", "parceiro", "premium", "teste")
-CERTIFICATES = ("ISO9001", "ISO14001", "ISO27001", "ISO45001")
-CATEGORIES = ("TI", "embalagens", "fretes", "química")
-NOTES = ("", "", "VIP", "Ligar antes", "endereço novo")
+CERTIFICATES = ("selo azul", "selo verde", "auditoria 2022", "norma interna 7")
+CATEGORIES = ("parafusos", "tecidos", "tintas", "vidro")
+NOTES = ("", "", "prefere carta", "telefone da loja", "nome conferido")
 FIRST_DAY = "2023-01-01"
 
 
@@ -139,9 +139,9 @@ class Universe:
             F.col("name").alias("full_name"),
             "email",
             "phone",
-            self.sometimes("instagram", 90, handle).alias("instagram_handle"),
-            self.sometimes("twitter", 60, handle).alias("twitter_handle"),
-            self.sometimes("facebook", 40, F.concat(F.lit("https://facebook.com/"), F.substr(handle, F.lit(2)))).alias(
+            self.sometimes("instagram", 75, handle).alias("instagram_handle"),
+            self.sometimes("twitter", 50, handle).alias("twitter_handle"),
+            self.sometimes("facebook", 25, F.concat(F.lit("https://facebook.com/"), F.substr(handle, F.lit(2)))).alias(
                 "facebook_url"
             ),
             self.pick("channel", CHANNELS).alias("preferred_channel"),
@@ -172,10 +172,10 @@ class Universe:
             F.slice(F.concat(self.some("categories", CATEGORIES, 3), F.array(F.lit("TI"))), 1, 3).alias("categorias"),
             ((self.draw("rating", 251) + 250) / F.lit(100.0)).alias("avaliacao_media"),
             self.day("since", 1500).cast("string").alias("data_cadastro"),
-            self.sometimes("certified", 80, self.some("certificates", CERTIFICATES, 3)).alias("certificacoes"),
-            self.sometimes("address", 85, address).alias("endereco"),
-            self.sometimes("bank", 60, bank).alias("dados_bancarios"),
-            self.sometimes("note", 30, F.lit("Em homologação.")).alias("observacoes"),
+            self.sometimes("certified", 66, self.some("certificates", CERTIFICATES, 3)).alias("certificacoes"),
+            self.sometimes("address", 77, address).alias("endereco"),
+            self.sometimes("bank", 45, bank).alias("dados_bancarios"),
+            self.sometimes("note", 22, F.lit("Aguarda contrato.")).alias("observacoes"),
         )
         return self.members("empresa_c", "fornecedores").select(F.to_json(body).alias("value"))
 
@@ -186,11 +186,11 @@ class Universe:
             "street", F.lit(", "), "house", F.lit(" - "), "quarter", F.lit(", "), "city", F.lit(" - "), "state"
         )
         rows = self.members("empresa_d", registry).withColumn("again", self.draw("again", 100))
-        rows = dirty.repeat_rows(rows, F.col("again"), 8)
+        rows = dirty.repeat_rows(rows, F.col("again"), 11)
         return rows.select(
             dirty.text_spelling("name", self.draw("spelling", 100)).alias("Nome"),
             dirty.doc_spelling("doc", self.draw("mask", 100), unmasked).alias("Documento"),
-            dirty.phone_spelling("phone", self.draw("notation", 5)).alias("Fone"),
+            dirty.phone_spelling("phone", self.draw("notation", 4)).alias("Fone"),
             dirty.blank_some("email", self.draw("no email", 100), blank).alias("Email"),
             address.alias("Endereco"),
             self.pick("note", NOTES).alias("Obs"),

@@ -12,7 +12,7 @@ from goldenrec.plans import catalog
 from goldenrec.plans.pipeline import run_pipeline
 from goldenrec.sources import bronze as B
 from goldenrec.schemas import BRONZE
-from goldenrec.sources.fixtures import Universe
+from fixtures import Universe
 from goldenrec.sources.readers import read_bronze
 from helpers import RUN_TS, as_set
 
@@ -180,3 +180,16 @@ def test_batches_with_more_columns(spark, tmp_path):
     whole = read_bronze(spark, str(tmp_path), "empresa_b", "clientes", every_column=True)
     assert set(whole.columns) == {*contract.columns, "novo"}
     assert whole.where("novo = 'x'").count() == whole.where("novo is null").count() == 100
+
+
+def test_lake_with_one_source_only(spark, tmp_path):
+    """What the README example does on a fresh lake: the other six registries have no folder."""
+    base = str(tmp_path / "lake")
+    nobody = spark.createDataFrame([], "client_id long")
+    sources = {"empresa_a": {"clientes": Universe(spark).relational("clientes")}, "empresa_b": {"clientes": nobody}}
+    B.ingest_all(sources, f"{base}/bronze", FIRST)
+    tables = run_pipeline(spark, base, RUN_TS).tables
+    assert tables["golden_clientes"].count() > 0 and tables["golden_fornecedores"].count() == 0
+    assert tables["stg_empresa_e_clientes"].count() == 0
+    assert "bronze_all" in catalog.register_views(spark, base)
+    assert run_pipeline(spark, base, RUN_TS, since=(FIRST.year + 1, 1)).tables["golden_clientes"].count() == 0
