@@ -17,10 +17,13 @@ from goldenrec.session import stage
 # Lines of fewer words are left alone: headings, blank lines, list marks.
 LINE_WORDS = 3
 # Lines link when their SimHashes differ in at most DISTANCE of 64 bits and their edit similarity holds.
-DISTANCE = 3
+DISTANCE = 2
 EDIT_SIMILARITY = 0.85
-# With DISTANCE differing bits in BLOCKS blocks, BLOCKS - DISTANCE blocks are equal: 10 keys of 25 bits.
-BLOCKS = 5
+# With DISTANCE differing bits in BLOCKS blocks, BLOCKS - DISTANCE blocks are equal: 6 keys of 32 bits.
+BLOCKS = 4
+# Bits of the table that tells most documents without a wanted line from the others: 2 MB at any size of
+# the corpus. Chance hits, more of them as it fills, only send documents through a join that finds nothing.
+MARK_BITS = 24
 
 _U = np.uint64
 # Digits count as one sign, so that page numbers and dates do not make a line new.
@@ -123,14 +126,35 @@ def _text_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _spot(frame: DataFrame) -> DataFrame:
+    """Adds the word and the bit of a document's mark."""
+    mark = F.pmod(F.xxhash64("doc_id", "version"), F.lit(1 << MARK_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (mark % 64).cast("int"))
+    return frame.withColumns({"_word": F.floor(mark / 64), "_bit": bit})
+
+
+def _marks(keys: DataFrame) -> DataFrame:
+    """Marks of the documents ``keys(doc_id, version)``: at most 2**18 rows of 64 bits."""
+    return _spot(keys).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+
+
+def _marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``docs(doc_id, version, ...)`` plus ``_hit``: false is certain, true may be chance."""
+    # bounded by MARK_BITS however large the corpus is
+    joined = _spot(docs).join(F.broadcast(marks), "_word", "left")
+    hit = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return joined.withColumn("_hit", hit).drop("_word", "_bit", "_bits")
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, plus ``n_lines, n_removed``.
 
     Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their
-    SimHashes over words differ in at most 3 of 64 bits and their edit similarity, 1 - distance / longer length,
+    SimHashes over words differ in at most 2 of 64 bits and their edit similarity, 1 - distance / longer length,
     is 0.85 or more. Links are found by joining on pigeonhole blocks in star rounds
     (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
-    number) stays in the whole table; all others go. Lines of fewer than 3 words always stay.
+    number) stays in the whole table; all others go. Lines of fewer than 3 words always stay. Only documents
+    that lose a line, and those whose lines are compared, are shuffled with their text.
 
     NULL text: no lines, stays NULL. NULL doc_id: comes before all ids. Rows repeating doc_id and text
     are one document and get the same result. Other columns pass through; ``n_lines`` and
@@ -144,7 +168,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("info").alias("info")
     )
     lines = stage(lines, "distinct-lines")
-    members = lines.select(F.explode(_block_keys(F.col("info"))).alias("bucket"), "id", "info")
+    members = lines.select(F.explode(_block_keys(F.col("info"))).alias("bucket"), "id")
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
@@ -152,9 +176,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         wanted = lines.join(ids, "id", "left_semi").select("id", "first.*").groupBy("doc_id", "version").agg(
             F.collect_list(F.struct("line", "id")).alias("wanted")
         )
+        wanted = stage(wanted, "wanted-lines")
+        holders = _marked(source, _marks(wanted)).where("_hit")
         wanted = wanted.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
-        cut = source.join(wanted, same).select("wanted", _text_lines(F.col("text")).alias("cut"))
+        cut = holders.join(wanted, same).select("wanted", _text_lines(F.col("text")).alias("cut"))
         each = F.transform(
             "wanted", lambda one: F.struct(one["id"].alias("id"), F.get("cut", one["line"]).alias("text"))
         )
@@ -170,7 +196,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     def close(one: Column, other: Column) -> Column:
         return F.bit_count(one.bitwiseXOR(other)) <= DISTANCE
 
-    groups, _ = star_groups(members, close, confirm, prepare)
+    groups, _ = star_groups(members, lines.select("id", "info"), close, confirm, prepare)
     grouped = lines.join(groups, "id", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
     heads = grouped.groupBy("component").agg(F.min("first").alias("head"))
@@ -178,19 +204,26 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = (
         seen.join(decided, "id")
         .where(~place.eqNullSafe(F.col("head")))
-        .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+        .groupBy("doc_id", "version")
         .agg(F.array_distinct(F.collect_list("line")).alias("_gone"))
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (version == F.col("_version"))
-    joined = docs.drop("n_lines", "n_removed").join(gone, same, "left")
+    gone = stage(gone, "repeated-lines")
+    kept = docs.drop("n_lines", "n_removed", "version").withColumn("version", version)
+    kept = _marked(kept.withColumn("doc_id", F.col("doc_id").cast("long")), _marks(gone))
+    gone = gone.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
+    touched = kept.where("_hit").join(gone, same, "left").drop("_id", "_version")
+    # documents that lose nothing stay where they are
+    whole = kept.where(~F.col("_hit")).withColumn("_gone", F.lit(None).cast("array<int>"))
+    joined = touched.unionByName(whole)
     removed = F.coalesce("_gone", F.array().cast("array<int>"))
     cut = _text_lines(F.col("text"))
     rest = F.filter(cut, lambda line, number: ~F.array_contains(removed, number))
     text = F.when(F.size(removed) > 0, F.array_join(rest, "\n")).otherwise(F.col("text"))
     return joined.withColumns(
         {
-            "n_lines": F.coalesce(F.size(cut).cast("long"), F.lit(0).cast("long")),
+            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(cut)).cast("long"),
             "n_removed": F.size(removed).cast("long"),
             "text": text,
         }
-    ).drop("_id", "_version", "_gone")
+    ).drop("_gone", "_hit", "version")

@@ -77,6 +77,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
 def star_groups(
     members: DataFrame,
+    infos: DataFrame,
     close: Callable[[Column, Column], Column],
     confirm: Callable[[DataFrame], DataFrame],
     prepare: Callable[[DataFrame], None] = lambda ids: None,
@@ -84,8 +85,8 @@ def star_groups(
 ) -> tuple[DataFrame, DataFrame]:
     """Connected groups of ids that share a bucket and pass ``confirm``; (groups, links).
 
-    ``members(bucket, id, info)``; ``close(info, info)`` is a cheap necessary test, ``confirm`` takes
-    ``pairs(a, b)`` with a < b and returns those that are links; ``prepare`` gets the ids of all
+    ``members(bucket, id)`` and ``infos(id, info)``; ``close(info, info)`` is a cheap necessary test,
+    ``confirm`` takes ``pairs(a, b)`` with a < b and returns those that are links; ``prepare`` gets the ids of all
     buckets with more than one, before the first pair is confirmed. ``refine`` may give the ids that are
     left after the first round a sharper info (``id, info``): what it knows of them it may measure among
     these ids alone, since all that can still be a partner is one of them.
@@ -100,7 +101,9 @@ def star_groups(
     saved = scratch.saved
     range_ = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     shared = range_.where("low < high").select("bucket", "low")
-    live = saved(members.join(shared, "bucket").select("bucket", "low", "id", "info").distinct())
+    # info joins what is left: most ids share no bucket with another
+    live = members.join(shared, "bucket").select("bucket", "low", "id").distinct()
+    live = saved(live.join(infos, "id").select("bucket", "low", "id", "info"))
     prepare(live.select("id").distinct())
     info = live.where(F.col("id") == F.col("low")).select("bucket", F.col("info").alias("other"))
     star = live.where(F.col("id") > F.col("low")).join(info, "bucket").where(close(F.col("info"), F.col("other")))

@@ -192,8 +192,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("first"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
     nodes = stage(nodes, "minhash-nodes")
-    info = F.struct("n", F.lit(0).cast("long").alias("own")).alias("info")
-    members = nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"), info)
+    members = nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"))
+    infos = nodes.select(F.col("node").alias("id"), F.struct("n", F.lit(0).cast("long").alias("own")).alias("info"))
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sized = ids.join(nodes.select(F.col("node").alias("id"), "n"), "id").join(alone, "id", "left")
         return sized.select("id", F.struct("n", F.coalesce("own", F.lit(0).cast("long")).alias("own")).alias("info"))
 
-    groups, _ = star_groups(members, close, confirm, prepare, refine)
+    groups, _ = star_groups(members, infos, close, confirm, prepare, refine)
     grouped = nodes.select("node", "first").join(groups.withColumnRenamed("id", "node"), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     # an id comes before none; without any id the smallest node stands for the group

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from goldenrec.llm.links import Scratch, components, star_groups
 from goldenrec.llm.near_dup import near_duplicates
 
@@ -66,14 +68,15 @@ def test_components_of_a_long_chain_and_a_hub(spark):
 def test_star_rounds_lose_no_group(spark):
     """Bucket members that are like their neighbours but not like the first centre."""
     size = 40
-    members = spark.createDataFrame([(1, i, 0) for i in range(size)] + [(2, 7, 0), (2, 99, 0)], "bucket long, id long, info long")
+    members = spark.createDataFrame([(1, i) for i in range(size)] + [(2, 7), (2, 99)], "bucket long, id long")
+    infos = spark.range(100).withColumn("info", F.lit(0))
     asked = []
 
     def confirm(pairs):
         asked.append(pairs.count())
         return pairs.where("b - a = 2")
 
-    groups, _ = star_groups(members, lambda one, other: one == other, confirm)
+    groups, _ = star_groups(members, infos, lambda one, other: one == other, confirm)
     found = {r.id: r.component for r in groups.collect()}
     assert found == {i: i % 2 for i in range(size)}
     assert sum(asked) <= size * size / 2
