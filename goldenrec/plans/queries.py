@@ -24,7 +24,7 @@ from goldenrec.plans.catalog import run_sql
 from goldenrec.plans.pipeline import GOLD_MODELS, REGISTRIES, SILVER_MODELS, Lake, build_lake, run_pipeline
 from goldenrec.schemas import SILVER
 from goldenrec.session import concurrently, run_folder, stage
-from goldenrec.sources.bronze import Batch, ingest
+from goldenrec.sources.bronze import Batch, ingest, quarantine_path
 from goldenrec.sources.readers import (
     bronze_all,
     flatten_documents,
@@ -280,6 +280,26 @@ def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_documents(read_pages(spark, path, file_per_page=False), layout)
 
 
+def landed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as documents of which some lines are cut short: what was kept, what was set aside."""
+    base = f"{run_folder(spark)}/quarantine-{uuid4()}"
+    rows = derive_registry(spark, folder, "empresa_d", "clientes").drop(*META)
+    line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    broken = F.endswith("Fone", F.lit("7"))
+    rows.select(F.when(broken, F.left(line, F.length(line) - 1)).otherwise(line)).write.text(f"{base}/landing")
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in rows.columns])
+    frame = flatten_documents(read_documents(spark, f"{base}/landing", corrupt=True), layout)
+    batch = Batch.new(NOW, "lote-1")
+    written = ingest({"clientes": frame}, "empresa_d", f"{base}/bronze", batch)["clientes"]
+    held = spark.read.parquet(quarantine_path(f"{base}/bronze", "empresa_d", "clientes", batch))
+    kept = read_batch(spark, f"{base}/bronze", "empresa_d", "clientes", batch.batch_id)
+    counts = kept.agg(F.count(F.lit(1)).alias("gravados")).crossJoin(
+        held.groupBy("_source", "_batch_id", "motivo").agg(F.count("registro").alias("quarentena"))
+    )
+    told = (F.lit(written.rows).cast("bigint") == F.col("gravados")) & (F.col("quarentena") == written.quarantined)
+    return counts.withColumn("confere", told)
+
+
 def sql_normalizers(spark: SparkSession, folder: str) -> DataFrame:
     """The normalisers called from SQL."""
     N.register_sql_functions(spark)
@@ -677,6 +697,7 @@ QUERIES: dict[str, Query] = {
     "landed_csv": landed_csv,
     "landed_documents": landed_documents,
     "landed_pages": landed_pages,
+    "landed_quarantine": landed_quarantine,
     "bronze_all": all_bronze,
     "email_to_cluster": owners,
     "cluster_clientes": clustered("clientes"),

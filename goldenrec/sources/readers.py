@@ -56,9 +56,31 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Newline-delimited documents of any shape, one VARIANT column ``doc``."""
-    return spark.read.option("singleVariantColumn", "doc").json(path)
+# Column that carries the text of a record that could not be read; NULL for all others.
+CORRUPT = "_corrupt"
+
+
+def _sound(frame: DataFrame, corrupt: bool) -> DataFrame:
+    """Keeps the corrupt column for the quarantine, or fails at the first record that has one."""
+    if corrupt:
+        return frame
+    wrong = F.raise_error(F.concat(F.lit("unreadable record: "), F.left(CORRUPT, F.lit(200))))
+    checked = F.when(F.col(CORRUPT).isNotNull(), wrong.cast("boolean")).otherwise(F.lit(True))
+    return frame.where(checked).drop(CORRUPT)
+
+
+def read_documents(spark: SparkSession, path: str, corrupt: bool = False) -> DataFrame:
+    """Newline-delimited documents of any shape, one VARIANT column ``doc``; blank lines are skipped.
+
+    A line that is no JSON object fails the read; with ``corrupt`` it becomes a row without document
+    and with its text in ``_corrupt``.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.try_parse_json("value").alias("doc"))
+    whole = F.coalesce(F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT")), F.lit(False))
+    return _sound(
+        parsed.select(F.when(whole, F.col("doc")).alias("doc"), F.when(~whole, F.col("value")).alias(CORRUPT)), corrupt
+    )
 
 
 def read_csv_text(
@@ -66,13 +88,16 @@ def read_csv_text(
     path: str,
     columns: tuple[str, ...] = schemas.CSV_COLUMNS,
     line_breaks: bool = True,
+    corrupt: bool = False,
 ) -> DataFrame:
     """CSV with a header, every field as the text it was; empty fields are '' and not NULL.
 
+    A line with more or fewer fields than columns fails the read; with ``corrupt`` its text is in ``_corrupt``.
+
     Fields may hold line breaks, so a file is read by one task; set ``line_breaks`` to false for
     large files known to have none, which Spark then splits.
     """
-    layout = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, CORRUPT)])
     frame = (
         spark.read.schema(layout)
         .option("header", True)
@@ -80,32 +105,40 @@ def read_csv_text(
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
-    return frame.select([F.coalesce(F.col(name), F.lit("")).alias(name) for name in columns])
+    fields = [F.coalesce(F.col(name), F.lit("")) for name in columns]
+    # Spark refuses to read the corrupt text alone, so it is tied to a field
+    told = F.concat(F.col(CORRUPT), F.left(fields[0], F.lit(0)))
+    named = [field.alias(name) for field, name in zip(fields, columns, strict=True)]
+    return _sound(frame.select(*named, told.alias(CORRUPT)), corrupt)
 
 
-_PAGE = T.StructType(
-    [
-        T.StructField("page", T.LongType()),
-        T.StructField("per_page", T.LongType()),
-        T.StructField("total", T.LongType()),
-        T.StructField("has_next", T.BooleanType()),
-        T.StructField("data", T.ArrayType(T.VariantType())),
-    ]
-)
-
-
-def read_pages(spark: SparkSession, path: str, file_per_page: bool = True) -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, file_per_page: bool = True, corrupt: bool = False
+) -> DataFrame:
     """Records of landed pages ``{page, per_page, total, has_next, data[]}``, as ``doc`` VARIANT.
 
     Pages are files of their own, or lines of larger files. Those behind the first one that says
-    ``has_next = false`` are stale and not read.
+    ``has_next = false`` are stale and not read. A page that cannot be read, or pages that hold fewer or
+    more records than the envelope's ``total``, fail the read; with ``corrupt`` they become rows without
+    document and with the page's text, or the two counts, in ``_corrupt``.
     """
-    pages = spark.read.schema(_PAGE).option("multiLine", file_per_page).json(path)
+    texts = spark.read.text(path, wholetext=file_per_page).where(F.trim("value") != "")
+    parsed = texts.select("value", F.try_parse_json("value").alias("page"))
+    kinds = {"page": "bigint", "total": "bigint", "has_next": "boolean", "data": "array<variant>"}
+    fields = [F.try_variant_get("page", f"$.{name}", kind).alias(name) for name, kind in kinds.items()]
+    pages = parsed.select(*fields, "value").withColumn(CORRUPT, F.when(F.col("data").isNull(), F.col("value")))
     last = pages.where(~F.col("has_next")).agg(F.min("page")).first()[0]
-    kept = pages if last is None else pages.where(F.col("page") <= last)
-    return kept.select(F.explode("data").alias("doc"))
+    kept = pages if last is None else pages.where((F.col("page") <= last) | F.col(CORRUPT).isNotNull())
+    total, held = kept.agg(F.max("total"), F.sum(F.coalesce(F.size("data"), F.lit(0)))).first()
+    records = kept.where(F.col(CORRUPT).isNull()).select(F.explode("data").alias("doc"), F.lit(None).cast("string").alias(CORRUPT))
+    unread = kept.where(F.col(CORRUPT).isNotNull()).select(F.lit(None).cast("variant").alias("doc"), CORRUPT)
+    if total is not None and total != held:
+        told = F.lit(f"pages hold {held} of {total} records")
+        unread = unread.unionAll(spark.range(1).select(F.lit(None).cast("variant"), told))
+    return _sound(records.unionAll(unread), corrupt)
 
 
 def flatten_documents(
@@ -114,13 +147,15 @@ def flatten_documents(
     """Top-level keys of a VARIANT column as columns.
 
     Objects and arrays become JSON text, scalars keep the type ``layout`` gives (text by default).
-    Keys outside ``layout`` become text columns; a key a document lacks is NULL.
+    Keys outside ``layout`` become text columns; a key a document lacks is NULL. The column of corrupt
+    records stays.
     """
     known = {field.name: field.dataType for field in layout} if layout else {}
     found = _document_keys(documents, doc)
     names = list(known) + [name for name in found if name not in known]
+    kept = [F.col(CORRUPT)] if CORRUPT in documents.columns else []
     return documents.select(
-        [_variant_field(doc, name, known.get(name)).alias(name) for name in names]
+        [_variant_field(doc, name, known.get(name)).alias(name) for name in names] + kept
     )
 
 

@@ -542,6 +542,11 @@ from ({rows(D, f'"Documento", {doc("Documento")} as d')}) x""",
   case when event_type <> 'click' then value end as valor,
   case when user_id % 2 = 0 then replace(props, ' ', '') end as props from events""",
     "landed_pages": "select * from customer",
+    "landed_quarantine": rows(
+        D,
+        "count(*) filter (not \"Fone\" like '%7') as gravados, 'empresa_d' as _source, 'lote-1' as _batch_id, "
+        "'unreadable' as motivo, count(*) filter (\"Fone\" like '%7') as quarentena, true as confere",
+    ),
     "bronze_all": bronze_union(),
     "email_to_cluster": with_("select email, owner as cluster_via_email from owner_c", "owner_c"),
     "cluster_clientes": with_(f"select {SILVER_OUT}, cluster_key, match_method from cluster_c", "cluster_c"),

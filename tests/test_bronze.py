@@ -8,6 +8,7 @@ import pytest
 from goldenrec import schemas
 from goldenrec.sources import bronze as B
 from goldenrec.sources import readers as R
+from helpers import FAILED_QUERY
 
 AT = datetime(2024, 3, 5, 6, 7, 8, 250000, tzinfo=UTC)
 
@@ -33,7 +34,7 @@ def test_documents_of_any_shape(spark, tmp_path):
     path.write_text("\n".join(json.dumps(d, ensure_ascii=False) for d in docs), encoding="utf-8")
     frame = B.extract_c(spark, str(path))["fornecedores"]
     rows = {r["_id"]: r for r in frame.collect()}
-    assert frame.columns[-1] == "novo"
+    assert frame.columns[-2:] == ["novo", "_corrupt"]
     assert json.loads(rows["a"].categorias) == ["x", "é"]
     assert json.loads(rows["a"].endereco) == {"cidade": None}
     assert (rows["a"].avaliacao_media, rows["c"].avaliacao_media) == (4.5, 4.0)
@@ -146,3 +147,46 @@ def test_jdbc_ranges_cover_the_bounds():
         "numPartitions": "64",
     }
     assert R.jdbc_options("u", "t", "id", (5, 5), 4)["upperBound"] == "6"
+
+
+def test_broken_records_go_to_the_quarantine(spark, tmp_path):
+    """A cut page, a line with a field too many, one with too few, and a malformed document."""
+    pages, sheets, docs, base = tmp_path / "pages", tmp_path / "sheets", tmp_path / "docs", str(tmp_path / "bronze")
+    for folder in (pages, sheets, docs):
+        folder.mkdir()
+    for page in (_page(1, True, "a", "b"), _page(2, True, "c", "d"), _page(3, False, "e")):
+        text = json.dumps(page)
+        (pages / f"{page['page']}.json").write_text(text[:-20] if page["page"] == 2 else text)
+    head = "Nome,Documento,Fone,Email,Endereco,Obs\n"
+    (sheets / "clientes.csv").write_text(head + "Ana,1,2,a@b.c,Rua,x\nBia,1,2,a@b.c,Rua,x,more\nCai,1\n")
+    (sheets / "fornecedores.csv").write_text(head + "Ana,1,2,a@b.c,Rua,\n")
+    (docs / "a.json").write_text('{"_id": "f1", "cnpj": "1"}\n\n{"_id": "f2", "cnpj"\n7\n')
+    batch = B.Batch.new(AT, "b1")
+    sources = {
+        "empresa_e": B.extract_e(spark, str(pages)),
+        "empresa_d": B.extract_d(spark, str(sheets)),
+        "empresa_c": B.extract_c(spark, str(docs)),
+    }
+    report = {source: B.ingest(frames, source, base, batch) for source, frames in sources.items()}
+    counts = {(s, k): (w.rows, w.quarantined) for s, frames in report.items() for k, w in frames.items()}
+    assert counts == {
+        # the cut page itself, and that three of five records are there
+        ("empresa_e", "clientes"): (3, 2),
+        ("empresa_d", "clientes"): (1, 2),
+        ("empresa_d", "fornecedores"): (1, 0),
+        ("empresa_c", "fornecedores"): (1, 2),
+    }
+    held = spark.read.option("recursiveFileLookup", True).parquet(f"{base}/_quarantine").collect()
+    assert {r["_batch_id"] for r in held} == {"b1"} and len(held) == 6
+    assert {r.registro for r in held if r["_source"] == "empresa_d"} == {"Bia,1,2,a@b.c,Rua,x,more", "Cai,1"}
+    assert "pages hold 3 of 5 records" in {r.registro for r in held}
+    assert "_corrupt" not in R.read_bronze(spark, base, "empresa_d", "clientes", every_column=True).columns
+    for source, kind in (("empresa_e", "clientes"), ("empresa_d", "clientes"), ("empresa_c", "fornecedores")):
+        with pytest.raises(FAILED_QUERY, match="corrupt record"):
+            B.ingest({kind: sources[source][kind]}, source, f"{base}-strict", batch, strict=True)
+    with pytest.raises(FAILED_QUERY, match="unreadable record"):
+        R.read_documents(spark, str(docs)).collect()
+    with pytest.raises(FAILED_QUERY, match="unreadable record"):
+        R.read_csv_text(spark, str(sheets / "clientes.csv")).collect()
+    with pytest.raises(FAILED_QUERY, match="unreadable record"):
+        R.read_pages(spark, str(pages)).collect()
