@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldenrec.llm.columns import apart
 from goldenrec.llm.decontam import find_contamination
 from goldenrec.llm.language import UNKNOWN, identify, learn
 from goldenrec.llm.line_dedup import dedup_lines
@@ -17,6 +18,9 @@ from goldenrec.session import run_folder
 
 # A text whose words agree less than this on any language is no prose in one of the languages known.
 LANGUAGE_SCORE = 0.4
+# A line of three words, as the line operator counts them.
+_WORD, _BETWEEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+", r"[^0-9A-Za-z\x{80}-\x{10FFFF}\n]+"
+FULL_LINE = _BETWEEN.join([_WORD] * 3)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,15 +28,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     NULL texts and texts without letters go; so does all if no label is known.
     """
-    labelled = identify(docs, learn(docs))
+    given, restored = apart(docs, ("held_out", "lang_pred", "score"))
+    labelled = identify(given, learn(docs))
     clear = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)
-    return labelled.where(clear).select(docs.columns)
+    return restored(labelled.where(clear).select(given.columns))
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document has; those left without any word go."""
-    rest = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return rest.where((F.col("n_removed") == 0) | F.col("text").rlike(r"\S")).select(docs.columns)
+    """Documents without lines that an earlier document has.
+
+    One that lost lines and has none of three words left was a copy: its scraps go too.
+    """
+    given, restored = apart(docs, ("n_lines", "n_removed"))
+    rest = dedup_lines(given)
+    if "n_chars" in docs.columns:
+        rest = rest.withColumn("n_chars", F.length("text").cast("long"))
+    return restored(rest.where((F.col("n_removed") == 0) | F.col("text").rlike(FULL_LINE)).select(given.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +53,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_version"))
-    joined = docs.join(kept.distinct(), same)
-    return joined.dropDuplicates(["_id", "_version"]).select(docs.columns)
+    given, restored = apart(docs, ("_id", "_version"))
+    joined = given.join(kept.distinct(), same)
+    return restored(joined.dropDuplicates(["_id", "_version"]).select(given.columns))
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_contamination(docs, items).where("n_hit = 0").select(docs.columns)
+    given, restored = apart(docs, ("n_words", "n_hit", "items", "hits"))
+    return restored(find_contamination(given, items).where("n_hit = 0").select(given.columns))
 
 
 def weighted_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

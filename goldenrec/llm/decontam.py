@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldenrec.llm.columns import apart
 from goldenrec.llm.words import (
     ALNUM,
     LOWER,
@@ -245,7 +246,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, block_windows: int = B
     count its shingles and one to find them. Only further blocks need a join of what they found.
     """
     spark = docs.sparkSession
-    kept = docs.drop("n_words", "n_hit", "items", "hits", "_version").withColumn("_version", F.xxhash64("text"))
+    docs, restored = apart(docs.drop("n_words", "n_hit", "items", "hits"), ("_version", "_id", "_v", "_hits", "_text"))
+    kept = docs.withColumn("_version", F.xxhash64("text"))
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     found = stage(named.mapInArrow(_item_windows, WINDOWS).dropDuplicates(["item", "text"]), "item-windows")
     blocks = max(-(-found.count() // block_windows), 1)
@@ -266,4 +268,4 @@ def find_contamination(docs: DataFrame, items: DataFrame, block_windows: int = B
         both = F.when(F.col("_hits").isNull(), F.col("hits")).otherwise(F.concat("hits", "_hits"))
         result = joined.withColumn("hits", both).drop("_id", "_v", "_hits")
     names = F.array_sort(F.array_distinct(F.transform("hits", lambda hit: hit["item"])))
-    return result.drop("_version").withColumns({"n_hit": _covered(F.col("hits")), "items": names})
+    return restored(result.drop("_version").withColumns({"n_hit": _covered(F.col("hits")), "items": names}))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldenrec.llm.columns import apart
 from goldenrec.llm.words import LOWER, Slice, Words, find_words, mix64, row_starts, slices
 
 # The model is fitted on a bounded sample: so many documents of a language, so many characters of each.
@@ -306,9 +307,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     from. Repeated rows are labelled each. Other columns pass through; input columns with one of the
     three names are replaced.
     """
-    kept = docs.drop("held_out", "lang_pred", "score").withColumn("held_out", held_out())
+    docs, restored = apart(docs.drop("held_out", "lang_pred", "score"), ("_lettered", "_text"))
+    kept = docs.withColumn("held_out", held_out())
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     source = kept.select("*", lettered.alias("_lettered"), F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return source.mapInArrow(_predict(shared, kept.columns), schema)
+    return restored(source.mapInArrow(_predict(shared, kept.columns), schema))

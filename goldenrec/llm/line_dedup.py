@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldenrec.llm.columns import apart
 from goldenrec.llm.links import star_groups
 from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, row_starts, sequence_hash, signed, slices
 from goldenrec.session import stage
@@ -30,6 +31,8 @@ _U = np.uint64
 FOLD = LOWER.copy()
 FOLD[ord("0") : ord("9") + 1] = ord("0")
 
+# Names used on the way; columns of the input that are called so are set aside.
+OWN = ("version", "_id", "_version", "_gone", "_hit", "_word", "_bit", "_bits")
 LINES = "doc_id long, version long, line int, id long, info long"
 
 
@@ -160,6 +163,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     are one document and get the same result. Other columns pass through; ``n_lines`` and
     ``n_removed`` of the input are replaced.
     """
+    docs, restored = apart(docs.drop("n_lines", "n_removed"), OWN)
     version = F.xxhash64("text")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), version.alias("version"), "text")
     seen = stage(source.mapInArrow(_read_lines, LINES), "lines")
@@ -208,7 +212,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .agg(F.array_distinct(F.collect_list("line")).alias("_gone"))
     )
     gone = stage(gone, "repeated-lines")
-    kept = docs.drop("n_lines", "n_removed", "version").withColumn("version", version)
+    kept = docs.withColumn("version", version)
     kept = _marked(kept.withColumn("doc_id", F.col("doc_id").cast("long")), _marks(gone))
     gone = gone.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
@@ -220,10 +224,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     cut = _text_lines(F.col("text"))
     rest = F.filter(cut, lambda line, number: ~F.array_contains(removed, number))
     text = F.when(F.size(removed) > 0, F.array_join(rest, "\n")).otherwise(F.col("text"))
-    return joined.withColumns(
+    result = joined.withColumns(
         {
             "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(cut)).cast("long"),
             "n_removed": F.size(removed).cast("long"),
             "text": text,
         }
-    ).drop("_gone", "_hit", "version")
+    )
+    return restored(result.drop("_gone", "_hit", "version"))

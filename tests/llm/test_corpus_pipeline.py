@@ -25,6 +25,25 @@ def test_stages_keep_columns_and_their_decisions_take_effect(spark):
     assert docs.where("taken <= 0 or taken > 3 * size").count() == 0
 
 
+def test_columns_called_like_results_keep_their_values(spark):
+    names = ["_id", "_version", "version", "_gone", "_hit", "score", "lang_pred", "n_hit", "hits", "Items", "n_removed", "_text"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
+    docs = docs.withColumns({name: F.concat(F.lit(name), "doc_id") for name in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        rows = docs.collect()
+        assert len(rows) > 30, name
+        assert all(row[column] == f"{column}{row.doc_id}" for row in rows for column in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
+
+
 def test_run_gives_the_last_stage(spark):
     found = corpus_pipeline.run(spark, SF)
     assert found.count() > 0 and "taken" in found.columns
