@@ -38,6 +38,10 @@ class Scratch:
         frame.write.parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def few(self, frame: DataFrame) -> DataFrame:
+        """In an eighth of the session's shuffle partitions: rows of ids, beside texts a small part."""
+        return frame.coalesce(max(int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8, 4))
+
     def counted(self, frame: DataFrame, what: Column) -> tuple[DataFrame, int]:
         """The table, and how many of its rows ``what`` holds for, counted while it is written."""
         seen = Observation()
@@ -55,7 +59,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     Each round takes the smallest label among the neighbours (combined before the shuffle, so a hub
     costs one row per task) and then the label of that label, so long chains halve every round.
     """
-    both = scratch.saved(links.select("a", "b").union(links.select("b", "a")).distinct())
+    both = scratch.saved(scratch.few(links.select("a", "b").union(links.select("b", "a")).distinct()))
     labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
     labels = labels.withColumn("component", F.least("id", "component"))
     while True:
@@ -69,7 +73,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         )
         target = hooked.select(F.col("id").alias("next"), F.col("next").alias("far"))
         jumped = hooked.join(target, "next").select("id", "old", F.least("next", "far").alias("component"))
-        jumped, changed = scratch.counted(jumped, F.col("component") < F.col("old"))
+        jumped, changed = scratch.counted(scratch.few(jumped), F.col("component") < F.col("old"))
         labels = jumped.select("id", "component")
         if not changed:
             return labels
@@ -82,6 +86,7 @@ def star_groups(
     confirm: Callable[[DataFrame], DataFrame],
     prepare: Callable[[DataFrame], None] = lambda ids: None,
     refine: Callable[[DataFrame], DataFrame] | None = None,
+    central: Callable[[Column], Column] = lambda info: F.lit(0),
 ) -> tuple[DataFrame, DataFrame]:
     """Connected groups of ids that share a bucket and pass ``confirm``; (groups, links).
 
@@ -92,8 +97,8 @@ def star_groups(
     these ids alone, since all that can still be a partner is one of them.
 
     Candidates are stars: in each round some members of a bucket, its centres, are compared with all
-    members of other groups. One centre per bucket first, then 1, 16, 256, ... of those outside the
-    bucket's largest group, until every one of these has been a centre. So each pair of ids in one
+    members of other groups. One centre per bucket first, then the one with the least ``central(info)``, then
+    16, 256, ... of those outside the bucket's largest group, until every one of these has been a centre. So each pair of ids in one
     bucket that could still join two groups is tested, pairs inside a group are not, and a bucket of
     n members around a common text costs about n pairs instead of n * n / 2.
     """
@@ -107,11 +112,11 @@ def star_groups(
     prepare(live.select("id").distinct())
     info = live.where(F.col("id") == F.col("low")).select("bucket", F.col("info").alias("other"))
     star = live.where(F.col("id") > F.col("low")).join(info, "bucket").where(close(F.col("info"), F.col("other")))
-    links = saved(confirm(star.select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()))
+    pairs = saved(scratch.few(star.select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()))
+    links = saved(confirm(pairs))
     used = live.where(F.col("id") == F.col("low")).select("bucket", "id")
     live, found, sharper = live.drop("low"), [links], refine
-    tested: list[DataFrame] = []
-    width = 1
+    tested, width = [pairs], 1
     groups = components(links, scratch)
     while True:
         placed = (
@@ -126,14 +131,16 @@ def star_groups(
             .where("parts > 1")
             .select("bucket", F.col("top.component").alias("main"))
         )
-        live = saved(placed.join(largest, "bucket"))
+        live = saved(scratch.few(placed.join(largest, "bucket")))
         if sharper:
             known = sharper(live.select("id").distinct())
-            live, sharper = saved(live.drop("info").join(known, "id")), None
-        outside = live.where(F.col("component") != F.col("main")).join(used, ["bucket", "id"], "left_anti")
-        turn = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
+            live, sharper = saved(scratch.few(live.drop("info").join(known, "id"))), None
+        # the most central one may well be in the largest group: it gathers most of the others
+        pool = live if width == 1 else live.where(F.col("component") != F.col("main"))
+        outside = pool.join(used, ["bucket", "id"], "left_anti")
+        turn = Window.partitionBy("bucket").orderBy(central(F.col("info")), F.xxhash64("id"), "id")
         centres = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)
-        centres, count = scratch.counted(centres.drop("turn"), F.lit(True))
+        centres, count = scratch.counted(scratch.few(centres.drop("turn")), F.lit(True))
         if not count:
             result = stage(groups, "groups"), stage(reduce(DataFrame.unionAll, found), "links")
             scratch.clear()
@@ -152,7 +159,7 @@ def star_groups(
         )
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = saved(pairs)
+        pairs = saved(scratch.few(pairs))
         tested.append(pairs)
         links, count = scratch.counted(confirm(pairs), F.lit(True))
         if count:

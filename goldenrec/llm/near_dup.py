@@ -226,7 +226,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sized = ids.join(nodes.select(F.col("node").alias("id"), "n"), "id").join(alone, "id", "left")
         return sized.select("id", F.struct("n", F.coalesce("own", F.lit(0).cast("long")).alias("own")).alias("info"))
 
-    groups, _ = star_groups(members, infos, close, confirm, prepare, refine)
+    groups, _ = star_groups(
+        members, infos, close, confirm, prepare, refine, lambda info: info["own"]
+    )
     grouped = nodes.select("node", "first").join(groups.withColumnRenamed("id", "node"), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))
     # an id comes before none; without any id the smallest node stands for the group
