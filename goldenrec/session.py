@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -48,9 +49,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_folders: set[str] = set()
+
+
 def run_folder(spark: SparkSession) -> str:
-    """Folder for the intermediate tables of this application: remove it as a whole afterwards."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/goldenrec/{spark.sparkContext.applicationId}"
+    """Folder for the intermediate tables of this application, removed when the driver program ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/goldenrec/{spark.sparkContext.applicationId}"
+    if path not in _folders:
+        _folders.add(path)
+        atexit.register(_remove_at_end, spark, path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables, wherever the session's file systems have it."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    # a stopped context has no configuration any more; its folder then stays for the cluster's own cleaning
+    if spark.sparkContext._jsc is not None:
+        remove_folder(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

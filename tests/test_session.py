@@ -2,7 +2,7 @@
 
 import pytest
 
-from goldenrec.session import checkpoint_dir, concurrently, run_folder, stage
+from goldenrec.session import checkpoint_dir, concurrently, remove_folder, run_folder, stage
 
 
 class _Context:
@@ -56,3 +56,10 @@ def test_jobs_run_side_by_side_and_fail_loudly(spark):
 
     with pytest.raises(RuntimeError, match="boom"):
         concurrently([broken, lambda: 1])
+
+
+def test_intermediate_folders_can_be_removed(spark, tmp_path):
+    path = str(tmp_path / "run")
+    spark.range(5).write.parquet(f"{path}/numbers")
+    remove_folder(spark, path)
+    assert not (tmp_path / "run").exists()
