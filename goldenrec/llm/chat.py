@@ -180,7 +180,8 @@ def build_tree(conversations: DataFrame) -> Tree:
         paths.orderBy("path", "conv_id").select("conv_id", F.monotonically_increasing_id().alias("rank")), "chat-order"
     )
     ranked = steps.join(order.withColumnRenamed("conv_id", "_conv"), F.col("conv_id").eqNullSafe(F.col("_conv")))
-    owners = ranked.groupBy("node").agg(F.min("rank").alias("owner"), F.max("size").alias("size"), F.max("position").alias("position"), F.max("tree").alias("tree"))
+    facts = [F.max(name).alias(name) for name in ("size", "position", "tree")]
+    owners = ranked.groupBy("node").agg(F.min("rank").alias("owner"), *facts)
     lengths = owners.groupBy("owner").agg(
         F.sum("size").alias("length"), F.min("position").alias("head"), F.max("tree").alias("tree")
     )

@@ -312,5 +312,6 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     source = kept.select("*", lettered.alias("_lettered"), F.col("text").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([*kept.schema.fields, *found])
     return restored(source.mapInArrow(_predict(shared, kept.columns), schema))

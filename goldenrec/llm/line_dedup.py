@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.llm.columns import apart
 from goldenrec.llm.links import star_groups
-from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, row_starts, sequence_hash, signed, slices
+from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, sequence_hash, signed, slices
 from goldenrec.session import stage
 
 # Lines of fewer words are left alone: headings, blank lines, list marks.

@@ -33,6 +33,9 @@ EXACT_BLOCK = 2048
 _U = np.uint64
 INDEX = "tab int, bucket long, ids array<long>, vector binary"
 PROBE = "tab int, bucket long, query_id long, vector binary"
+NOTHING = pa.table(
+    {"query_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())}
+)
 FOUND = "query_id long, ids array<long>, score double"
 
 
@@ -180,7 +183,7 @@ def _cosine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _rank_bucket(queries: pa.Table, index: pa.Table) -> pa.Table:
     if not queries.num_rows or not index.num_rows:
-        return pa.table({"query_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
+        return NOTHING
     ids = np.asarray(queries.column("query_id"))
     return _best(ids, _unpacked(queries.column("vector")), index.column("ids").to_pylist(), _unpacked(index.column("vector")))
 

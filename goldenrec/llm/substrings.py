@@ -29,7 +29,6 @@ from goldenrec.llm.words import (
     mix64,
     row_starts,
     sequence_hash,
-    signed,
     slices,
     windows,
 )
