@@ -75,9 +75,9 @@ def list_entries(clustered: DataFrame) -> DataFrame:
     as rows, each once per cluster with the number of records that have it."""
     keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
     key = F.when(F.col("key") != NO_KEY, F.col("key"))
-    return _entries(keyed).where(F.col("lista") != "ids").select(
-        F.md5(key).alias("id_golden"), key.alias("cluster_key"), "lista", "valor", "cidade", "uf", "fonte", F.col("n").alias("registros")
-    )
+    names = ["lista", "valor", "cidade", "uf", "fonte", F.col("n").alias("registros")]
+    rows = _entries(keyed).where(F.col("lista") != "ids")
+    return rows.select(F.md5(key).alias("id_golden"), key.alias("cluster_key"), *names)
 
 
 def _lists() -> list[Column]:

@@ -133,7 +133,8 @@ def read_pages(
     last = pages.where(~F.col("has_next")).agg(F.min("page")).first()[0]
     kept = pages if last is None else pages.where((F.col("page") <= last) | F.col(CORRUPT).isNotNull())
     total, held = kept.agg(F.max("total"), F.sum(F.coalesce(F.size("data"), F.lit(0)))).first()
-    records = kept.where(F.col(CORRUPT).isNull()).select(F.explode("data").alias("doc"), F.lit(None).cast("string").alias(CORRUPT))
+    sound = F.lit(None).cast("string").alias(CORRUPT)
+    records = kept.where(F.col(CORRUPT).isNull()).select(F.explode("data").alias("doc"), sound)
     unread = kept.where(F.col(CORRUPT).isNotNull()).select(F.lit(None).cast("variant").alias("doc"), CORRUPT)
     if total is not None and total != held:
         told = F.lit(f"pages hold {held} of {total} records")
