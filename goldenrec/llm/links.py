@@ -17,7 +17,7 @@ from goldenrec.session import run_folder, stage
 
 
 # Factor from one round's number of centres per bucket to the next.
-GROWTH = 16
+GROWTH = 256
 
 
 class Scratch:
@@ -97,10 +97,10 @@ def star_groups(
     these ids alone, since all that can still be a partner is one of them.
 
     Candidates are stars: in each round some members of a bucket, its centres, are compared with all
-    members of other groups. One centre per bucket first, then the one with the least ``central(info)``, then
-    16, 256, ... of those outside the bucket's largest group, until every one of these has been a centre. So each pair of ids in one
-    bucket that could still join two groups is tested, pairs inside a group are not, and a bucket of
-    n members around a common text costs about n pairs instead of n * n / 2.
+    members of other groups. One centre per bucket first, then the one with the least ``central(info)``,
+    then 256, 65536, ... of those outside the bucket's largest group, until every one of these has been a
+    centre. So each pair of ids in one bucket that could still join two groups is tested, pairs inside a
+    group are not, and a bucket of n members around a common text costs about n pairs instead of n * n / 2.
     """
     scratch = Scratch(members.sparkSession)
     saved = scratch.saved
