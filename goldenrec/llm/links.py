@@ -79,6 +79,19 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             return labels
 
 
+def _merged(groups: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``groups`` after further ``links``: only the links between groups are followed."""
+    left = groups.select(F.col("id").alias("a"), F.col("component").alias("left"))
+    right = groups.select(F.col("id").alias("b"), F.col("component").alias("right"))
+    between = links.join(left, "a", "left").join(right, "b", "left")
+    between = between.select(F.coalesce("left", "a").alias("a"), F.coalesce("right", "b").alias("b"))
+    moved = components(between.where("a <> b"), scratch)
+    target = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    old = groups.join(target, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    new = moved.join(groups, "id", "left_anti").select("id", "component")
+    return scratch.saved(scratch.few(old.unionByName(new)))
+
+
 def star_groups(
     members: DataFrame,
     infos: DataFrame,
@@ -118,7 +131,8 @@ def star_groups(
     live, found, sharper = live.drop("low"), [links], refine
     tested, width = [pairs], 1
     groups = components(links, scratch)
-    while True:
+    more = True
+    while more:
         placed = (
             live.drop("component")
             .join(groups, "id", "left")
@@ -137,14 +151,12 @@ def star_groups(
             live, sharper = saved(scratch.few(live.drop("info").join(known, "id"))), None
         # the most central one may well be in the largest group: it gathers most of the others
         pool = live if width == 1 else live.where(F.col("component") != F.col("main"))
-        outside = pool.join(used, ["bucket", "id"], "left_anti")
         turn = Window.partitionBy("bucket").orderBy(central(F.col("info")), F.xxhash64("id"), "id")
-        centres = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= width)
-        centres, count = scratch.counted(scratch.few(centres.drop("turn")), F.lit(True))
-        if not count:
-            result = stage(groups, "groups"), stage(reduce(DataFrame.unionAll, found), "links")
-            scratch.clear()
-            return result
+        ranked = pool.join(used, ["bucket", "id"], "left_anti").withColumn("turn", F.row_number().over(turn))
+        # one beyond the width tells that the bucket needs another round
+        ranked = scratch.few(ranked.where(F.col("turn") <= width + 1))
+        ranked, waiting = scratch.counted(ranked, F.col("turn") > width)
+        centres = ranked.where(F.col("turn") <= width)
         mine = centres.select(
             "bucket",
             F.col("id").alias("centre"),
@@ -159,12 +171,20 @@ def star_groups(
         )
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = saved(scratch.few(pairs))
-        tested.append(pairs)
-        links, count = scratch.counted(confirm(pairs), F.lit(True))
+        pairs, count = scratch.counted(scratch.few(pairs), F.lit(True))
+        if count:
+            tested.append(pairs)
+            links, count = scratch.counted(confirm(pairs), F.lit(True))
         if count:
             found.append(links)
-            groups = components(reduce(DataFrame.unionAll, found), scratch)
+            groups = _merged(groups, links, scratch)
         used = used.unionAll(centres.select("bucket", "id"))
+        if width > 1:
+            # a bucket whose outside members all had their turn is done, whatever its groups become
+            more = waiting > 0
+            live = live.join(ranked.where(F.col("turn") > width).select("bucket"), "bucket", "left_semi")
         live = live.drop("main")
         width *= GROWTH
+    result = stage(groups, "groups"), stage(reduce(DataFrame.unionAll, found), "links")
+    scratch.clear()
+    return result
