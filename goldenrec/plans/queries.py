@@ -293,10 +293,14 @@ def landed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     written = ingest({"clientes": frame}, "empresa_d", f"{base}/bronze", batch)["clientes"]
     held = spark.read.parquet(quarantine_path(f"{base}/bronze", "empresa_d", "clientes", batch))
     kept = read_batch(spark, f"{base}/bronze", "empresa_d", "clientes", batch.batch_id)
-    counts = kept.agg(F.count(F.lit(1)).alias("gravados")).crossJoin(
-        held.groupBy("_source", "_batch_id", "motivo").agg(F.count("registro").alias("quarentena"))
+    rows = kept.select("_source", "_batch_id", F.lit(None).cast("string").alias("motivo"), F.lit(1).alias("kept"))
+    rows = rows.unionAll(held.select("_source", "_batch_id", "motivo", F.lit(0).alias("kept")))
+    counts = rows.groupBy("_source", "_batch_id").agg(
+        F.count_if(F.col("kept") == 1).alias("gravados"),
+        F.count_if(F.col("kept") == 0).alias("quarentena"),
+        F.max("motivo").alias("motivo"),
     )
-    told = (F.lit(written.rows).cast("bigint") == F.col("gravados")) & (F.col("quarentena") == written.quarantined)
+    told = (F.col("gravados") == written.rows) & (F.col("quarentena") == written.quarantined)
     return counts.withColumn("confere", told)
 
 

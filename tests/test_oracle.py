@@ -20,7 +20,8 @@ def test_names_agree():
 @pytest.mark.parametrize("name", list(queries()))
 def test_query(spark, connection, name):
     verdict, _, _ = compare(spark, connection, SF, name)
-    assert verdict.startswith("ok"), verdict
+    # a query without SQL counterpart has its brute-force test beside its operator
+    assert verdict.startswith("ok" if name in oracle_sql() else "rows only"), verdict
 
 
 def test_entry(spark):
