@@ -18,10 +18,10 @@ from goldenrec.session import stage
 # Lines of fewer words are left alone: headings, blank lines, list marks.
 LINE_WORDS = 3
 # Lines link when their SimHashes differ in at most DISTANCE of 64 bits and their edit similarity holds.
-DISTANCE = 2
+DISTANCE = 3
 EDIT_SIMILARITY = 0.85
-# With DISTANCE differing bits in BLOCKS blocks, BLOCKS - DISTANCE blocks are equal: 6 keys of 32 bits.
-BLOCKS = 4
+# With DISTANCE differing bits in BLOCKS blocks, BLOCKS - DISTANCE blocks are equal: 20 keys of 32 bits.
+BLOCKS = 6
 # Bits of the table that tells most documents without a wanted line from the others: 2 MB at any size of
 # the corpus. Chance hits, more of them as it fills, only send documents through a join that finds nothing.
 MARK_BITS = 24
@@ -153,7 +153,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, plus ``n_lines, n_removed``.
 
     Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their
-    SimHashes over words differ in at most 2 of 64 bits and their edit similarity, 1 - distance / longer length,
+    SimHashes over words differ in at most 3 of 64 bits and their edit similarity, 1 - distance / longer length,
     is 0.85 or more. Links are found by joining on pigeonhole blocks in star rounds
     (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
     number) stays in the whole table; all others go. Lines of fewer than 3 words always stay. Only documents
@@ -172,7 +172,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("info").alias("info")
     )
     lines = stage(lines, "distinct-lines")
-    members = lines.select(F.explode(_block_keys(F.col("info"))).alias("bucket"), "id")
+    # one exchange serves the ranges of the buckets and the join that follows them
+    members = lines.select(F.explode(_block_keys(F.col("info"))).alias("bucket"), "id").repartition("bucket")
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:

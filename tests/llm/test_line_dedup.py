@@ -89,6 +89,22 @@ def test_against_all_pairs(spark):
     assert sum(r.n_removed for r in found if 10 <= r.doc_id < 40) > 24
 
 
+def test_lines_three_bits_apart_link(spark):
+    pairs = []
+    for seed in range(400):
+        line = prose(seed, 50)
+        changed = line.split(" ")
+        changed[seed % 50] = "changed"
+        changed = " ".join(changed)
+        if (simhash(line) ^ simhash(changed)).bit_count() == 3:
+            pairs.append((line, changed))
+    assert len(pairs) > 10
+    rows = [(2 * i + k, text) for i, pair in enumerate(pairs) for k, text in enumerate(pair)]
+    frame = spark.createDataFrame([(d, t, "en", "old") for d, t in rows], KEPT)
+    found = {r.doc_id: r.n_removed for r in dedup_lines(frame).collect()}
+    assert found == {d: d % 2 for d, _ in rows}
+
+
 def test_ids_without_value_and_repeated_rows(spark):
     line = prose(5, 30)
     rows = [(None, line), (7, line), (7, line), (8, "other words here\n" + line)]
