@@ -27,6 +27,11 @@ WIDTH = 2.0
 SEED = 20
 # Rows of an index shard and queries of a query shard; larger buckets are split into more of them.
 SHARD = 8192
+# Share of the true neighbours of SAMPLE queries that the probes have to meet; for it up to MOST_PROBES are made, and
+# then fewer functions hash a table.
+RECALL = 0.96
+SAMPLE = 128
+MOST_PROBES = 96
 # Queries searched exactly at once when the buckets gave them too few.
 EXACT_BLOCK = 2048
 
@@ -127,9 +132,41 @@ def _index(dimensions: int, size: int) -> Callable:
     return run
 
 
-def _probe(dimensions: int, size: int) -> Callable:
+def _moved(cells: np.ndarray, rank: np.ndarray, ranks: tuple[int, ...]) -> np.ndarray:
+    """The cells beyond the borders of the given ranks."""
+    moved, rows, size = cells.copy(), np.arange(len(cells)), cells.shape[1]
+    for place in ranks:
+        border = rank[:, place]
+        moved[rows, border % size] += np.where(border < size, -1, 1)
+    return moved
+
+
+def _border_ranks(inside: np.ndarray) -> np.ndarray:
+    return np.argsort(np.concatenate([inside, 1 - inside], axis=1), axis=1, kind="stable")
+
+
+def _settings(left: np.ndarray, right: np.ndarray, size: int) -> tuple[int, int]:
+    """Functions a table and probes at which queries ``left`` meet RECALL of their true neighbours ``right``."""
+    if not len(left):
+        return size, PROBES
+    left, right = _units(left), _units(right)
+    for functions in range(size, 0, -1):
+        hashes, order = _Hash(left.shape[1], functions), perturbations(functions, max(PROBES, MOST_PROBES))
+        met = np.full(len(left), len(order))
+        for tab in range(TABLES):
+            cells, inside = hashes.places(left, tab)
+            wanted, rank = hashes.places(right, tab)[0], _border_ranks(inside)
+            for turn, ranks in enumerate(order):
+                met[(_moved(cells, rank, ranks) == wanted).all(axis=1) & (met > turn)] = turn
+        probes = int(np.sort(met)[math.ceil(RECALL * len(met)) - 1]) + 1
+        if probes <= len(order):
+            return functions, max(PROBES, probes)
+    return 1, PROBES
+
+
+def _probe(dimensions: int, size: int, probes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, order = _Hash(dimensions, size), perturbations(size, PROBES)
+        hashes, order = _Hash(dimensions, size), perturbations(size, probes)
         for batch in batches:
             vectors = _matrix(batch.column(1))
             if not len(vectors):
@@ -138,12 +175,9 @@ def _probe(dimensions: int, size: int) -> Callable:
             rows = np.arange(len(vectors))
             for tab in range(TABLES):
                 cells, inside = hashes.places(unit, tab)
-                rank = np.argsort(np.concatenate([inside, 1 - inside], axis=1), axis=1, kind="stable")
+                rank = _border_ranks(inside)
                 for ranks in order:
-                    moved = cells.copy()
-                    for place in ranks:
-                        border = rank[:, place]
-                        moved[rows, border % size] += np.where(border < size, -1, 1)
+                    moved = _moved(cells, rank, ranks)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(rows), tab, np.int32)), pa.array(hashes.bucket(moved)), batch.column(0), packed],
                         ["tab", "bucket", "query_id", "vector"],
@@ -211,6 +245,20 @@ def _ranked(found: DataFrame) -> DataFrame:
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
+def _true_pairs(known: DataFrame, entries: DataFrame, asked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of SAMPLE queries and of their exact neighbours, pair by pair."""
+    rows = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    if not rows:
+        return np.zeros((0, 1)), np.zeros((0, 1))
+    value = (np.array([r.vec_id for r in rows], np.int64), np.array([r.embedding for r in rows], np.float64))
+    shared = known.sparkSession.sparkContext.broadcast(value)
+    nearest_ = _ranked(entries.mapInArrow(_rank_all(shared), FOUND)).select("query_id", "vec_id")
+    pairs = known.join(F.broadcast(nearest_), "vec_id").select("query_id", "embedding").collect()
+    place = {query_id: i for i, query_id in enumerate(value[0].tolist())}
+    left = value[1][np.array([place[r.query_id] for r in pairs], np.int64)]
+    return left, np.array([r.embedding for r in pairs], np.float64).reshape(left.shape)
+
+
 def usable(vector: Column) -> Column:
     """Not NULL, not zero, no NULL or non-finite component."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -222,7 +270,8 @@ def nearest(vectors: DataFrame, queries: Column) -> DataFrame:
 
     ``vectors(vec_id, embedding)``; nearness is the cosine in double precision, ties go to the smaller
     vec_id, a query is no candidate of its own. Equal vectors are one entry with its smallest ids, so copies
-    do not crowd a bucket. Buckets beyond SHARD rows or queries are split over several tasks. Queries that
+    do not crowd a bucket. Functions and probes are chosen so that a sample of queries, searched exactly, meets RECALL
+    of its neighbours. Buckets beyond SHARD rows or queries are split over several tasks. Queries that
     the buckets give fewer than 5 candidates are searched exactly, in blocks.
 
     NULL, zero and ragged vectors (not as long as the longest) and those with NULL or non-finite
@@ -240,10 +289,10 @@ def nearest(vectors: DataFrame, queries: Column) -> DataFrame:
     least = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= NEAREST + 1)
     entries = least.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     entries = stage(entries.select("ids", "embedding"), "distinct-vectors")
-    size = functions_per_table(entries.count())
     asked = known.where(queries).select("vec_id", "embedding")
+    size, probes = _settings(*_true_pairs(known, entries, asked), functions_per_table(entries.count()))
     index = entries.mapInArrow(_index(dimensions, size), INDEX)
-    probes = asked.mapInArrow(_probe(dimensions, size), PROBE)
+    probes = asked.mapInArrow(_probe(dimensions, size, probes), PROBE)
     keys = ["tab", "bucket"]
     shards = (
         index.groupBy(*keys)

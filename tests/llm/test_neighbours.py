@@ -61,6 +61,24 @@ def test_recall_and_exact_scores(spark, monkeypatch, shard):
     assert [i for _, i, _ in found[600]] == [7, 601, 602, 603, 604]
 
 
+def test_recall_holds_without_clusters_and_in_many_dimensions(spark):
+    frame = spark.range(0, 20_000, 1, 8).select(
+        F.col("id").alias("vec_id"), F.array(*[F.randn(i).cast("float") for i in range(128)]).alias("embedding")
+    )
+    frame = frame.localCheckpoint()
+    found = {}
+    for r in nearest(frame, F.col("vec_id") % 200 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = frame.collect()
+    ids, unit = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    unit /= np.sqrt((unit**2).sum(axis=1, keepdims=True))
+    hits = 0
+    for at in np.flatnonzero(ids % 200 == 0):
+        best = ids[np.argsort(-(unit @ unit[at]), kind="stable")[:6]]
+        hits += len(found[ids[at]] & set(best.tolist()))
+    assert len(found) == 100 and hits >= 0.9 * 500, hits
+
+
 def test_few_candidates_are_searched_exactly(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "TABLES", 1)
     monkeypatch.setattr(neighbours, "PROBES", 1)
