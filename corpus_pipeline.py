@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldenrec.llm.columns import apart
@@ -21,6 +21,8 @@ LANGUAGE_SCORE = 0.4
 # A line of three words, as the line operator counts them.
 _WORD, _BETWEEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+", r"[^0-9A-Za-z\x{80}-\x{10FFFF}\n]+"
 FULL_LINE = _BETWEEN.join([_WORD] * 3)
+# What is left of a document that lost lines are scraps if it has no full line and at most this share of the letters.
+SCRAPS = 0.1
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,16 +36,22 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return restored(labelled.where(clear).select(given.columns))
 
 
+def _letters(text: Column) -> Column:
+    """Characters of all words: scripts without spaces count as much as others."""
+    return F.length(F.regexp_replace(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", ""))
+
+
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document has.
 
-    One that lost lines and has none of three words left was a copy: its scraps go too.
+    One that lost lines and has none of three words and at most SCRAPS of its letters left was a copy: its scraps go too.
     """
-    given, restored = apart(docs, ("n_lines", "n_removed"))
-    rest = dedup_lines(given)
+    given, restored = apart(docs, ("n_lines", "n_removed", "_letters"))
+    rest = dedup_lines(given.withColumn("_letters", _letters(F.col("text"))))
     if "n_chars" in docs.columns:
         rest = rest.withColumn("n_chars", F.length("text").cast("long"))
-    return restored(rest.where((F.col("n_removed") == 0) | F.col("text").rlike(FULL_LINE)).select(given.columns))
+    own = _letters(F.col("text")) > F.col("_letters") * SCRAPS
+    return restored(rest.where((F.col("n_removed") == 0) | F.col("text").rlike(FULL_LINE) | own).select(given.columns))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,20 @@ def test_columns_called_like_results_keep_their_values(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
 
 
+def test_a_shared_line_does_not_take_the_rest_along(spark):
+    line, copied = "All rights reserved 2020", "one long line of words that is repeated elsewhere"
+    texts = [
+        line + "\n" + copied,
+        line + "\n" + "\n".join(f"term{i}" for i in range(30)),
+        line + "\n" + "这是一个没有空格的句子其中的文字只在这里出现",
+        line + "\n" + copied + "\nEnd",
+    ]
+    rows = [(i, text, "en", "s", len(text)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in corpus_pipeline.unique_lines(spark, docs, SF).collect()}
+    assert found == {0: texts[0], 1: texts[1].split("\n", 1)[1], 2: texts[2].split("\n", 1)[1]}
+
+
 def test_empty_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
