@@ -195,6 +195,29 @@ select conv_id, count(*)::bigint as n_turns,
 from c group by conv_id
 """
 
+OP11 = """
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+    sha256('1:' || coalesce(doc_id::varchar, '')) as digest from documents
+), h as (
+  select doc_id, t, u, len(u) as n, ('0x' || substr(digest, 1, 8))::bigint as h1, ('0x' || substr(digest, 9, 8))::bigint as h2,
+    ('0x' || substr(digest, 17, 8))::bigint as h3, ('0x' || substr(digest, 25, 8))::bigint as h4 from d
+), c as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from h
+), parts as (
+  select *, array_to_string(list_slice(u, 1, low), '') as p, array_to_string(list_slice(u, low + 1, high), '') as m,
+    array_to_string(list_slice(u, high + 1, n), '') as s from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
 ORACLE = {
     "op1_secret_scan": OP1,
     "op2_decontamination": OP2,
@@ -203,4 +226,5 @@ ORACLE = {
     "op7_web_archive": OP7,
     "op9_substring_dedup": OP9,
     "op10_chat_format": OP10,
+    "op11_fill_in_middle": OP11,
 }

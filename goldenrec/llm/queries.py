@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.llm.chat import Tree, build_tree, read_conversations
 from goldenrec.llm.decontam import find_contamination
+from goldenrec.llm.fill_middle import fill_in_middle, restore
 from goldenrec.llm.language import identify, learn
 from goldenrec.llm.line_dedup import dedup_lines
 from goldenrec.llm.mixing import mix
@@ -105,6 +106,19 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return read_conversations(Tree(stage(tree.nodes, "chat-nodes"), stage(tree.paths, "chat-paths")))
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("long").alias("prefix_chars"),
+        F.length("middle").cast("long").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -116,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
