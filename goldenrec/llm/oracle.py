@@ -218,6 +218,44 @@ select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::b
 from parts
 """
 
+OP13 = rf"""
+with pieces as (
+  select lang, row_number() over () as piece, words from (
+    select coalesce(lang, 'und') as lang,
+      unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as t from documents),
+    lateral (select regexp_extract_all(t, '[^\x20\x09]+') as words)
+), w as (
+  select lang, unnest(words) as w1, unnest(words[2:] || [null]) as w2, unnest(words[3:] || [null, null]) as w3
+  from (select lang, words from pieces where len(words) > 0)
+), f1 as (select lang, w1, count(*) as f from w where w1 is not null group by all
+), n as (select lang, sum(f) as n from f1 group by lang
+), f2 as (select lang, w1, w2, count(*) as a from w where w2 is not null group by all having a >= 10
+), f3 as (select lang, w1, w2, w3, count(*) as a from w where w3 is not null group by all having a >= 10
+), s2 as (
+  select f2.lang, f2.w1 || ' ' || f2.w2 as phrase, f2.a, x.f as l, y.f as r,
+    (1000000::hugeint * f2.a * f2.a) // (x.f::hugeint * y.f) as score
+  from f2 join f1 x on x.lang = f2.lang and x.w1 = f2.w1 join f1 y on y.lang = f2.lang and y.w1 = f2.w2
+  where not exists (
+    select 1 from f3 where f3.lang = f2.lang and f3.w1 = f2.w1 and f3.w2 = f2.w2 and 100 * f3.a >= 50 * f2.a
+  ) and not exists (
+    select 1 from f3 where f3.lang = f2.lang and f3.w2 = f2.w1 and f3.w3 = f2.w2 and 100 * f3.a >= 50 * f2.a)
+), c3 as (
+  select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 as phrase, f3.a,
+    x.f as l1, q.a as r1, p.a as l2, z.f as r2,
+    (1000000::hugeint * f3.a * f3.a) // (x.f::hugeint * q.a) as k1,
+    (1000000::hugeint * f3.a * f3.a) // (p.a::hugeint * z.f) as k2
+  from f3 join f1 x on x.lang = f3.lang and x.w1 = f3.w1 join f1 z on z.lang = f3.lang and z.w1 = f3.w3
+    join f2 p on p.lang = f3.lang and p.w1 = f3.w1 and p.w2 = f3.w2
+    join f2 q on q.lang = f3.lang and q.w1 = f3.w2 and q.w2 = f3.w3
+), scored as (
+  select * from s2 union all
+  select lang, phrase, a, case when k1 <= k2 then l1 else l2 end, case when k1 <= k2 then r1 else r2 end, least(k1, k2) from c3
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from scored)
+join n using (lang) where rank <= 2000
+"""
+
 ORACLE = {
     "op1_secret_scan": OP1,
     "op2_decontamination": OP2,
@@ -227,4 +265,5 @@ ORACLE = {
     "op9_substring_dedup": OP9,
     "op10_chat_format": OP10,
     "op11_fill_in_middle": OP11,
+    "op13_phrases": OP13,
 }

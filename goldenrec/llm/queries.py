@@ -16,6 +16,7 @@ from goldenrec.llm.line_dedup import dedup_lines
 from goldenrec.llm.mixing import mix
 from goldenrec.llm.near_dup import near_duplicates
 from goldenrec.llm.neighbours import nearest
+from goldenrec.llm.phrases import collocations
 from goldenrec.llm.secrets import BASE, find_secrets, spelled
 from goldenrec.llm.substrings import remove_repeats
 from goldenrec.llm.warc import read_archive, write_archive
@@ -119,6 +120,10 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -131,4 +136,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_phrases": op13_phrases,
 }
