@@ -8,6 +8,8 @@ leaf order of their tree: a node is a run of leaves, and its phrase occurs as of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,15 @@ LEAST = 10
 REPORTED = 2000
 # Language of texts without one.
 UNKNOWN = "und"
-# Bytes of text whose suffixes are counted together before they are dealt, and bytes of text for each first group.
-SLICE = 1 << 23
-GROUP_BYTES = 1 << 23
-# Leaves that a group may hold: 4 numbers each, and as much again while they are sorted.
-BUDGET = 1 << 22
+# Bytes of text whose suffixes are listed at once, and leaves that are counted together before they are dealt.
+SLICE = 1 << 22
+HELD = 1 << 20
+# Leaves that a group may hold: some 100 bytes each while they are sorted.
+BUDGET = 1 << 21
+# Prefixes are counted in this many buckets: a table of half a MB at any size of the corpus.
+BUCKET_BITS = 16
+# Parts of a group that turns out too large while it is built.
+PIECES = 16
 
 # Pieces end at these signs, words at these and at blanks.
 BREAK = np.zeros(256, bool)
@@ -37,8 +43,10 @@ BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 WORD = ~BREAK
 WORD[list(b" \t")] = False
 
-GROUPED = "part string, level int, size long, leaves binary"
+GROUPED = "part long, level int, size long, leaves binary"
 NODES = "lang string, first string, second string, third string, depth int, f long"
+KEYS = ("lang", "first", "second", "third", "depth")
+BUILT_NAMES = [*KEYS, "f", "part", "level", "size", "leaves"]
 
 _U = np.uint64
 
@@ -86,8 +94,8 @@ class Leaves:
     @staticmethod
     def unpacked(data: bytes) -> Leaves:
         *numbers, word_sizes, words, lang_sizes, langs = _unpack(data)
-        numbers = [column.astype(np.int64) for column in numbers]
         numbers[1] = np.cumsum(numbers[1])
+        numbers = [*(column.astype(np.int32) for column in numbers[:4]), numbers[4].astype(np.int64)]
         return Leaves(_texts(word_sizes, words), _texts(lang_sizes, langs), numbers)
 
     @staticmethod
@@ -95,11 +103,12 @@ class Leaves:
         """All parts with one numbering of words and languages."""
         words = pa.chunked_array([part.words for part in parts], pa.large_utf8()).combine_chunks().dictionary_encode()
         langs = pa.chunked_array([part.langs for part in parts], pa.large_utf8()).combine_chunks().dictionary_encode()
-        word_of, lang_of = (np.asarray(x.indices).astype(np.int64) for x in (words, langs))
+        word_of, lang_of = (np.asarray(x.indices) for x in (words, langs))
         shifted: list[list[np.ndarray]] = [[], [], [], [], []]
         words_before = langs_before = 0
         for part in parts:
-            own = np.concatenate([[0], word_of[words_before : words_before + len(part.words)] + 1])
+            own = np.zeros(len(part.words) + 1, np.int32)
+            own[1:] = word_of[words_before : words_before + len(part.words)] + 1
             lang, first, second, third, total = part.columns
             shifted[0].append(lang_of[langs_before + lang])
             shifted[1].append(own[first + 1] - 1)
@@ -111,10 +120,10 @@ class Leaves:
         return Leaves(words.dictionary, langs.dictionary, [np.concatenate(column) for column in shifted])
 
     def merged(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Sorted distinct suffixes, and where in them the nodes of depth 1, 2 and 3 begin."""
+        """Sorted distinct suffixes, and where in them the nodes of depth 0 (the language) to 3 begin."""
         lang, first, second, third, total = self.columns
         size = len(self.words) + 1
-        branch = (lang * size + first) * size + second
+        branch = (lang.astype(np.int64) * size + first) * size + second
         order = np.lexsort((third, branch))
         branch, third, total = branch[order], third[order], total[order]
         fresh = np.ones(len(order), bool)
@@ -123,7 +132,7 @@ class Leaves:
         total = np.add.reduceat(total, starts) if len(starts) else total
         branch, third, order = branch[starts], third[starts], order[starts]
         begins = []
-        for key in (branch // size, branch):
+        for key in (branch // size**2, branch // size, branch):
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
             begins.append(np.flatnonzero(new))
@@ -185,135 +194,230 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return found
 
 
-def suffixes(part: Slice, langs: pa.Array) -> Leaves | None:
-    """Every word of a slice with the two that follow it in its piece, counted."""
-    words = find_words(part, WORD, LOWER)
-    if not len(words.start):
-        return None
-    folded = LOWER[part.data]
+def _words(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first byte and length of every word: no word crosses the end of a row."""
+    inside = WORD[part.data]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    borders = part.offsets[1:-1]
+    borders = borders[(borders > 0) & (borders < len(inside))]
+    begins[borders] = inside[borders]
+    ends[borders - 1] = inside[borders - 1]
+    start = np.flatnonzero(begins)
+    row = np.searchsorted(part.offsets, start, "right") - 1
+    return row, start, np.flatnonzero(ends) + 1 - start
+
+
+def _coded(part: Slice, langs: pa.Array) -> tuple[pa.Array, pa.Array, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct words and languages of a slice; (language, word) of all its words, and their rows and first bytes."""
+    row, start, size = _words(part)
     # the words one behind the other are the bytes that belong to words
-    encoded = _texts(words.end - words.start, folded[WORD[folded]]).dictionary_encode()
-    code = np.asarray(encoded.indices).astype(np.int64)
+    words = _texts(size, LOWER[part.data[WORD[part.data]]]).dictionary_encode()
     langs = langs.dictionary_encode()
-    lang = np.asarray(langs.indices).astype(np.int64)[words.row]
-    piece = np.cumsum(BREAK[part.data], dtype=np.int64)[words.start]
-    along = (piece[1:] == piece[:-1]) & (words.row[1:] == words.row[:-1])
+    lang = np.asarray(langs.indices)[row]
+    return words.dictionary, langs.dictionary, [lang, np.asarray(words.indices)], row, start
+
+
+def suffixes(part: Slice, langs: pa.Array) -> Leaves:
+    """Every word of a slice with the two that follow it in its piece, counted."""
+    words, names, (lang, code), row, start = _coded(part, langs)
+    code = code.astype(np.int64)
+    piece = np.searchsorted(np.flatnonzero(BREAK[part.data]), start)
+    along = (piece[1:] == piece[:-1]) & (row[1:] == row[:-1])
     second = np.zeros(len(code), np.int64)
     second[:-1][along] = code[1:][along] + 1
     third = np.zeros(len(code), np.int64)
     third[:-2][along[:-1] & along[1:]] = code[2:][along[:-1] & along[1:]] + 1
-    size = len(encoded.dictionary) + 1
+    size = len(words) + 1
     branch, branch_of = np.unique((lang * size + code) * size + second, return_inverse=True)
     leaf, total = np.unique(branch_of * size + third, return_counts=True)
     branch = branch[leaf // size]
     stem = branch // size
-    columns = [stem // size, stem % size, branch % size, leaf % size, total.astype(np.int64)]
-    return Leaves(encoded.dictionary, langs.dictionary, columns)
+    columns = [column.astype(np.int32) for column in (stem // size, stem % size, branch % size, leaf % size)]
+    return Leaves(words, names, [*columns, total.astype(np.int64)])
+
+
+class Deal(NamedTuple):
+    """Group of each prefix bucket: ``base + hash of one more word % pieces``."""
 
+    base: np.ndarray
+    pieces: np.ndarray
 
-def _dealt(leaves: Leaves, target: np.ndarray) -> Iterator[tuple[int, bytes, int]]:
-    """(target, packed leaves, their number) for each target that has any."""
-    order = np.argsort(target, kind="stable")
-    borders = np.flatnonzero(np.diff(target[order], prepend=-1))
+    @staticmethod
+    def packed(sizes: np.ndarray, budget: int) -> Deal:
+        """Consecutive buckets share a group while they fit; one over the budget is divided by longer prefixes."""
+        pieces = np.maximum(-(-2 * sizes // budget), 1)
+        pieces[sizes <= budget] = 1
+        base = np.zeros(len(sizes), np.int64)
+        group = held = 0
+        for bucket in np.flatnonzero(sizes).tolist():
+            if held + sizes[bucket] > budget and held:
+                group, held = group + 1, 0
+            base[bucket] = group
+            held += sizes[bucket]
+            if pieces[bucket] > 1:
+                group, held = group + int(pieces[bucket]), 0
+        return Deal(base, pieces)
+
+    def groups(self, leaves: Leaves) -> tuple[np.ndarray, np.ndarray]:
+        """Group and level (words of the prefix that decides it) of each suffix."""
+        bucket = _buckets(leaves.hashes(1))
+        pieces = self.pieces[bucket]
+        sub = (mix64(leaves.hashes(2)) % pieces.astype(_U)).astype(np.int64)
+        return self.base[bucket] + np.where(pieces > 1, sub, 0), np.where(pieces > 1, 2, 1)
+
+
+def _buckets(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the task by the bucket of the prefix they begin."""
+    sizes = np.zeros(1 << BUCKET_BITS, np.int64)
+    for batch in batches:
+        langs = batch.column(0).cast(pa.large_utf8())
+        for part in slices(batch.column(1), SLICE):
+            words, lang_names, columns = _coded(part, langs.slice(part.first, part.rows))[:3]
+            if len(columns[0]):
+                size = len(words) + 1
+                stems, times = np.unique(columns[0].astype(np.int64) * size + columns[1], return_counts=True)
+                leaves = Leaves(words, lang_names, [stems // size, stems % size])
+                np.add.at(sizes, _buckets(leaves.hashes(1)), times)
+    used = np.flatnonzero(sizes)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sizes[used])], ["bucket", "size"])
+
+
+def _dealt(leaves: Leaves, group: np.ndarray, level: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    """(group, level, number of leaves, packed leaves) for each group that has any."""
+    order = np.argsort(group, kind="stable")
+    borders = np.flatnonzero(np.diff(group[order], prepend=-1))
     for start, end in zip(borders, [*borders[1:], len(order)], strict=True):
-        yield int(target[order[start]]), leaves.packed(order[start:end]), int(end - start)
+        rows = order[start:end]
+        yield int(group[rows[0]]), int(level[rows[0]]), len(rows), leaves.packed(rows)
 
 
-def _count(groups: int):
+def _count(deal: Deal):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Leaves] = []
+
+        def flushed() -> pa.RecordBatch:
+            leaves = Leaves.joined(held)
+            leaves = Leaves(leaves.words, leaves.langs, leaves.merged()[0])
+            held.clear()
+            return _batch(list(_dealt(leaves, *deal.groups(leaves))))
+
         for batch in batches:
             langs = batch.column(0).cast(pa.large_utf8())
             for part in slices(batch.column(1), SLICE):
-                leaves = suffixes(part, langs.slice(part.first, part.rows))
-                if leaves is None:
-                    continue
-                target = (leaves.hashes(1) % _U(groups)).astype(np.int64)
-                rows = [(str(group), 1, size, data) for group, data, size in _dealt(leaves, target)]
-                yield _batch(rows)
+                held += filter(len, [suffixes(part, langs.slice(part.first, part.rows))])
+                if sum(map(len, held)) >= HELD:
+                    yield flushed()
+        if held:
+            yield flushed()
 
     return run
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
     columns = zip(*rows, strict=True) if rows else [[]] * 4
     arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, ["part", "level", "size", "leaves"])
 
 
-def _divide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed leaves of too large groups, dealt anew by a prefix of one more word."""
-    for batch in batches:
-        for part, level, _, data, pieces in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            leaves = Leaves.unpacked(data)
-            # other bits than those that brought these prefixes together
-            target = (mix64(leaves.hashes(level + 1)) % _U(pieces)).astype(np.int64)
-            yield _batch([(f"{part}.{sub}", level + 1, size, again) for sub, again, size in _dealt(leaves, target)])
-
-
-def _subtree(least: int):
-    def run(group: pa.Table) -> pa.Table:
-        """Nodes of one group; those of a depth that other groups share come with whatever count they have."""
-        level = group.column("level")[0].as_py()
-        leaves = Leaves.joined([Leaves.unpacked(data.as_py()) for data in group.column("leaves")])
-        columns, begins = leaves.merged()
-        running = np.concatenate([[0], np.cumsum(columns[4])])
-        found = []
-        for depth, start in enumerate(begins, 1):
-            f = running[np.append(start[1:], len(columns[4]))] - running[start]
-            keep = np.ones(len(start), bool) if depth == 1 else columns[depth][start] > 0
-            if 1 < depth and depth >= level:
-                keep &= f >= least
-            found.append((depth, start[keep], f[keep]))
-        rows = np.concatenate([start for _, start, _ in found])
-        depth = np.concatenate([np.full(len(start), depth) for depth, start, _ in found])
-        names = pa.concat_arrays([pa.array([""], pa.large_utf8()), leaves.words])
-        shown = [columns[1][rows] + 1, np.where(depth > 1, columns[2][rows], 0), np.where(depth > 2, columns[3][rows], 0)]
-        return pa.table(
-            [
-                leaves.langs.take(pa.array(columns[0][rows])).cast(pa.string()),
-                *(names.take(pa.array(column)).cast(pa.string()) for column in shown),
-                pa.array(depth.astype(np.int32)),
-                pa.array(np.concatenate([f for _, _, f in found])),
-            ],
-            ["lang", "first", "second", "third", "depth", "f"],
-        )
+def _nodes(leaves: Leaves, level: int, least: int) -> pa.RecordBatch:
+    """Nodes of one group; those of a depth that other groups share come with whatever count they have."""
+    columns, begins = leaves.merged()
+    running = np.concatenate([[0], np.cumsum(columns[4])])
+    found = []
+    for depth, start in enumerate(begins):
+        f = running[np.append(start[1:], len(columns[4]))] - running[start]
+        keep = np.ones(len(start), bool) if depth < 2 else columns[depth][start] > 0
+        if depth and depth >= level:
+            keep &= f >= least
+        found.append((start[keep], f[keep]))
+    rows = np.concatenate([start for start, _ in found])
+    depth = np.concatenate([np.full(len(start), depth) for depth, (start, _) in enumerate(found)])
+    names = pa.concat_arrays([pa.array([""], pa.large_utf8()), leaves.words])
+    shown = [columns[1][rows] + 1, columns[2][rows], columns[3][rows]]
+    return pa.RecordBatch.from_arrays(
+        [
+            leaves.langs.take(pa.array(columns[0][rows])).cast(pa.string()),
+            *(names.take(pa.array(np.where(depth > at, column, 0))).cast(pa.string()) for at, column in enumerate(shown)),
+            pa.array(depth.astype(np.int32)),
+            pa.array(np.concatenate([f for _, f in found])),
+            *(pa.nulls(len(rows), kind) for kind in (pa.int64(), pa.int32(), pa.int64(), pa.binary())),
+        ],
+        BUILT_NAMES,
+    )
+
+
+def _again(leaves: Leaves, part: int, level: int, turn: int) -> pa.RecordBatch:
+    """Leaves of a group that is too large, to be dealt by one more word in the next turn."""
+    level = min(level + 1, DEPTH)
+    # each turn uses other bits than those that brought these prefixes together
+    sub = (mix64(leaves.hashes(level) + _U(turn)) % _U(PIECES)).astype(np.int64)
+    batch = _batch(list(_dealt(leaves, part * PIECES + sub, np.full(len(sub), level))))
+    empty = [pa.nulls(batch.num_rows, kind) for kind in [pa.string()] * 4 + [pa.int32(), pa.int64()]]
+    return pa.RecordBatch.from_arrays([*empty, *batch.columns], BUILT_NAMES)
+
+
+def _build(least: int, budget: int, turn: int):
+    """Builds the trees of the groups one after the other; rows come sorted by group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Leaves] = []
+        now, divided = (None, 0), False
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if held:
+                leaves = Leaves.joined(held)
+                held.clear()
+                yield _again(leaves, *now, turn) if divided else _nodes(leaves, now[1], least)
+
+        for batch in batches:
+            for part, level, _, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if (part, level) != now:
+                    yield from finished()
+                    now, divided = (part, level), False
+                held.append(Leaves.unpacked(data))
+                if sum(map(len, held)) > budget:
+                    leaves = Leaves.joined(held)
+                    leaves = Leaves(leaves.words, leaves.langs, leaves.merged()[0])
+                    held[:] = [leaves]
+                    # equal suffixes have become one; what is left is too much only if there are that many
+                    if 2 * len(leaves) > budget:
+                        held.clear()
+                        divided = True
+                        yield _again(leaves, part, level, turn)
+        yield from finished()
 
     return run
 
 
-def count_phrases(docs: DataFrame, least: int = LEAST, group_bytes: int = GROUP_BYTES, budget: int = BUDGET) -> DataFrame:
-    """``lang, first, second, third, depth, f``: every word, and the phrases of 2 and 3 words with f >= ``least``.
+def count_phrases(docs: DataFrame, least: int = LEAST, budget: int = BUDGET) -> DataFrame:
+    """``lang, first, second, third, depth, f``: words and phrases of 2 and 3 words with f >= ``least``.
 
-    ``f`` has all occurrences in ``docs(lang, text)``, overlapping ones too; unused places are empty texts.
+    ``f`` has all occurrences in ``docs(lang, text)``, overlapping ones too; unused places are empty texts. The row
+    of depth 0 has all words of a language.
     """
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-size // group_bytes))
-    ready = []
-    left = stage(docs.mapInArrow(_count(groups), GROUPED), "suffixes")
-    for level in range(1, DEPTH + 1):
-        sizes = left.groupBy("part").agg(F.sum("size").alias("held"))
-        # the longest prefix is the whole phrase: equal leaves, which add up
-        large = sizes.where(F.col("held") > budget) if level < DEPTH else sizes.where("false")
-        large = stage(large.select("part", F.ceil(2 * F.col("held") / budget).alias("pieces")), "large-groups")
-        if large.isEmpty():
-            ready.append(left)
-            break
-        ready.append(left.join(large, "part", "left_anti"))
-        over = left.join(large, "part").select("part", "level", "size", "leaves", "pieces")
-        left = stage(over.mapInArrow(_divide, GROUPED), "suffixes")
-    nodes = []
-    for part in ready:
-        nodes.append(part.groupBy("part").applyInArrow(_subtree(least), NODES))
-    found = nodes[0]
-    for more in nodes[1:]:
-        found = found.unionByName(more)
-    found = stage(found, "phrase-nodes")
-    # a divided group has only its share of what its shorter prefixes count
-    keys = ["lang", "first", "second", "third", "depth"]
-    whole = found.groupBy(*keys).agg(F.sum("f").alias("f")) if len(ready) > 1 else found
-    return stage(whole.where((F.col("depth") == 1) | (F.col("f") >= least)), "phrases")
+    sizes = np.zeros(1 << BUCKET_BITS, np.int64)
+    # one number a bucket, whatever the size of the corpus
+    for row in docs.mapInArrow(_sizes, "bucket long, size long").groupBy("bucket").agg(F.sum("size").alias("size")).collect():
+        sizes[row.bucket] = row.size
+    left = docs.mapInArrow(_count(Deal.packed(sizes, budget)), GROUPED)
+    found, turn, more = [], 0, True
+    while more:
+        sorted_ = left.repartition("part").sortWithinPartitions("part", "level")
+        built = stage(sorted_.mapInArrow(_build(least, budget, turn), f"{NODES}, {GROUPED}"), "phrase-nodes")
+        found.append(built.where("leaves is null").select(*KEYS, "f"))
+        left = built.where("leaves is not null").select("part", "level", "size", "leaves")
+        turn, more = turn + 1, not left.isEmpty()
+    nodes = reduce(DataFrame.unionAll, found)
+    # a divided group has only its share of what shorter prefixes count
+    return stage(nodes.groupBy(*KEYS).agg(F.sum("f").alias("f")).where((F.col("depth") == 0) | (F.col("f") >= least)), "phrases")
 
 
 def _score(a: str, left: str, right: str) -> Column:
@@ -323,11 +427,7 @@ def _score(a: str, left: str, right: str) -> Column:
 
 
 def collocations(
-    docs: DataFrame,
-    least: int = LEAST,
-    reported: int = REPORTED,
-    group_bytes: int = GROUP_BYTES,
-    budget: int = BUDGET,
+    docs: DataFrame, least: int = LEAST, reported: int = REPORTED, budget: int = BUDGET
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the best phrases of 2 and 3 words of each language.
 
@@ -338,10 +438,9 @@ def collocations(
     NULL and empty texts have no words; a NULL lang is ``und``. Repeated rows count again. doc_id and other
     columns are not used. Equal scores and counts fall by the phrase's UTF-8 bytes. No words at all: no rows.
     """
-    nodes = count_phrases(docs, least, group_bytes, budget)
-    words = nodes.where("depth = 1").select("lang", F.col("first").alias("word"), "f")
-    total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    common = words.where(F.col("f") >= least)
+    nodes = count_phrases(docs, least, budget)
+    total = nodes.where("depth = 0").select("lang", F.col("f").alias("n"))
+    common = nodes.where("depth = 1").select("lang", F.col("first").alias("word"), "f")
     pairs = nodes.where("depth = 2").select("lang", "first", "second", F.col("f").alias("a"))
     triples = nodes.where("depth = 3").select("lang", "first", "second", "third", F.col("f").alias("a"))
 
