@@ -218,6 +218,23 @@ select doc_id, n::bigint as n, form, case when form <> 'plain' then length(p)::b
 from parts
 """
 
+OP12 = """
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and not list_bool_or(list_transform(embedding, lambda x: x is null or not isfinite(x)))
+    and list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.9
+), reach as (
+  select vec_id as a, vec_id as b from v union select r.a, l.b from reach r join links l on l.a = r.b
+), groups as (select a as vec_id, min(b) as component_id from reach group by a
+), counts as (select a as vec_id, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+  coalesce(component_id, vec_id) is not distinct from vec_id as kept
+from embeddings left join groups using (vec_id) left join counts using (vec_id)
+"""
+
 OP13 = rf"""
 with pieces as (
   select lang, row_number() over () as piece, words from (
@@ -265,5 +282,6 @@ ORACLE = {
     "op9_substring_dedup": OP9,
     "op10_chat_format": OP10,
     "op11_fill_in_middle": OP11,
+    "op12_near_vectors": OP12,
     "op13_phrases": OP13,
 }

@@ -19,6 +19,7 @@ from goldenrec.llm.neighbours import nearest
 from goldenrec.llm.phrases import collocations
 from goldenrec.llm.secrets import BASE, find_secrets, spelled
 from goldenrec.llm.substrings import remove_repeats
+from goldenrec.llm.vector_dup import near_vectors
 from goldenrec.llm.warc import read_archive, write_archive
 from goldenrec.session import run_folder, stage
 
@@ -120,6 +121,10 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
 
@@ -136,5 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_format": op10_chat_format,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_near_vectors": op12_near_vectors,
     "op13_phrases": op13_phrases,
 }
