@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.operators import quality
 from goldenrec.operators.standardize import SPECS
-from goldenrec.plans.pipeline import REGISTRIES, layer_of, union_model
+from goldenrec.plans.pipeline import REGISTRIES, model_path, union_model
 from goldenrec.sources.readers import list_objects
 
 VOLUME, DIMENSION, FRESHNESS = "volume", "fonte", "freshness"
@@ -60,7 +60,7 @@ def _latest_anomalies(scored: DataFrame) -> quality.Outcome:
 def report(spark: SparkSession, base: str, now: datetime) -> DataFrame:
     """The table checks of a lake as one report; a check that cannot run is ``unknown``."""
     root = base.rstrip("/")
-    metrics = f"{root}/{layer_of('metricas_qualidade')}/metricas_qualidade.parquet"
+    metrics = model_path(base, "metricas_qualidade")
     return quality.check_report(
         spark,
         [

@@ -13,8 +13,9 @@ from goldenrec.operators.metrics import quality_metrics
 from goldenrec.operators.quality import run_contract
 from goldenrec.operators.resolve import resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
+from goldenrec.plans import versions
 from goldenrec.session import concurrently
-from goldenrec.sources.readers import empty_bronze, read_bronze, read_model
+from goldenrec.sources.readers import empty_bronze, read_bronze
 
 REGISTRIES = ("clientes", "fornecedores")
 
@@ -50,8 +51,12 @@ def layer_of(model: str) -> str:
     return "ouro" if model in GOLD_MODELS else "prata"
 
 
+def model_path(base: str, model: str) -> str:
+    return f"{base.rstrip('/')}/{layer_of(model)}/{model}.parquet"
+
+
 def write_model(frame: DataFrame, base: str, model: str) -> DataFrame:
-    """Replace one stored table and return it as read back.
+    """Replace one stored table in one step and return it as read back.
 
     Golden files are sorted by id inside each task and carry bloom filters on the two lookup
     columns: a point read skips nearly all row groups, and no shuffle is spent on the layout.
@@ -60,9 +65,7 @@ def write_model(frame: DataFrame, base: str, model: str) -> DataFrame:
     if model in ("golden_clientes", "golden_fornecedores"):
         frame = frame.sortWithinPartitions("id_golden")
         writer_options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in ("id_golden", "cpf_cnpj")}
-    path = f"{base.rstrip('/')}/{layer_of(model)}/{model}.parquet"
-    frame.write.mode("overwrite").options(**writer_options).parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return versions.replace(frame, model_path(base, model), **writer_options)
 
 
 def read_all_bronze(spark: SparkSession, base: str, **options: object) -> dict[tuple[str, str], DataFrame]:
@@ -135,6 +138,6 @@ def run_pipeline(
 def open_lake(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The silver and gold tables by name."""
     names = [spec.model for spec in SPECS.values()] + list(GOLD_MODELS)
-    tables = {name: read_model(spark, base.rstrip("/"), layer_of(name), name) for name in names}
+    tables = {name: versions.read(spark, model_path(base, name)) for name in names}
     unions = {union_model(registry): staging_union(tables, registry) for registry in REGISTRIES}
     return {name: {**tables, **unions}[name] for name in SILVER_MODELS + GOLD_MODELS}

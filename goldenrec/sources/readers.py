@@ -293,8 +293,3 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _OBJECTS)
-
-
-def read_model(spark: SparkSession, base: str, layer: str, name: str) -> DataFrame:
-    """One stored silver (``prata``) or gold (``ouro``) table."""
-    return spark.read.parquet(f"{base}/{layer}/{name}.parquet")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.operators import lineage, search
 from goldenrec.operators.quality import CONTRACT
-from goldenrec.plans import catalog
+from goldenrec.plans import catalog, versions
 from goldenrec.plans.pipeline import run_pipeline
 from goldenrec.sources import bronze as B
 from goldenrec.schemas import BRONZE
@@ -166,7 +166,7 @@ def test_views_and_sql(spark, lake, tmp_path, capsys):
 
 
 def test_search_on_stored_gold(spark, lake):
-    golden = spark.read.parquet(f"{lake[0]}/ouro/golden_clientes.parquet")
+    golden = versions.read(spark, f"{lake[0]}/ouro/golden_clientes.parquet")
     page = search.search(golden, q="a", per_page=100)
     assert page.total >= len(page.data.collect()) == min(page.total, 100)
 
