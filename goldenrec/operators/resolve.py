@@ -31,8 +31,13 @@ def email_owners(silver: DataFrame) -> DataFrame:
     )
 
 
-def resolve_entities(silver: DataFrame) -> DataFrame:
-    """Silver plus ``cluster_key`` and ``match_method``.
+def documented() -> Column:
+    """Rows that name their cluster themselves, and may own an e-mail address; never NULL."""
+    return F.coalesce(F.col("cpf_cnpj_valido"), F.lit(False)) & F.col("cpf_cnpj").isNotNull()
+
+
+def resolve_entities(silver: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Silver plus ``cluster_key`` and ``match_method``, with the columns ``keep`` behind them.
 
     Only rows that lack a valid document but have an e-mail can gain from the owner lookup, so
     only they are shuffled for it; an address that many of them share sits on the many side of the
@@ -61,5 +66,5 @@ def resolve_entities(silver: DataFrame) -> DataFrame:
             }
         )
     )
-    names = CLUSTER.fieldNames()
+    names = [*CLUSTER.fieldNames(), *keep]
     return direct.select(names).unionByName(by_email.select(names))

@@ -202,9 +202,13 @@ def run_stamp(run_ts: datetime | None) -> Column:
 
 
 def standardize(
-    bronze: DataFrame, spec: SourceSpec, run_ts: datetime | None = None, strict: bool = False
+    bronze: DataFrame,
+    spec: SourceSpec,
+    run_ts: datetime | None = None,
+    strict: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Newest bronze row per source key, normalised to the silver columns.
+    """Newest bronze row per source key, normalised to the silver columns, with the columns ``keep`` behind them.
 
     ``strict`` fails on malformed JSON; otherwise such a row keeps its text in
     ``atributos_extras`` and has no city and state.
@@ -229,7 +233,7 @@ def standardize(
         **spec.columns(strict),
     }
     return prepared.select(
-        [target[column.name].cast(column.dataType).alias(column.name) for column in SILVER]
+        [target[column.name].cast(column.dataType).alias(column.name) for column in SILVER] + [F.col(name) for name in keep]
     )
 
 

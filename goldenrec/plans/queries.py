@@ -24,7 +24,7 @@ from goldenrec.plans.catalog import run_sql
 from goldenrec.plans.pipeline import GOLD_MODELS, REGISTRIES, SILVER_MODELS, Lake, build_lake, run_pipeline
 from goldenrec.schemas import SILVER
 from goldenrec.session import concurrently, run_folder, stage
-from goldenrec.sources.bronze import Batch, ingest, quarantine_path
+from goldenrec.sources.bronze import Batch, batch_path, ingest, quarantine_path
 from goldenrec.sources.readers import (
     bronze_all,
     flatten_documents,
@@ -35,6 +35,8 @@ from goldenrec.sources.readers import (
     read_pages,
 )
 from goldenrec.sources.registries import derive_all, derive_registry
+from goldenrec.streaming.changes import feed_table, start_feed
+from goldenrec.streaming.incremental import advance, incremental_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,6 +306,30 @@ def landed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("confere", told)
 
 
+def incremental_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """All customers received in three batches, gold brought up to date after each: the same as one build."""
+    base = f"{run_folder(spark)}/incremental-{uuid4()}"
+    for turn in range(3):
+        for key in SPECS:
+            if key[1] == "clientes":
+                rows = derive_registry(spark, folder, *key)
+                received = rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(3)) == turn)
+                received.write.parquet(batch_path(f"{base}/bronze", *key, Batch(f"lote-{turn}", NOW)))
+        advance(spark, base, RUN_TS)
+    return flat_golden(incremental_table(spark, base, "clientes"))
+
+
+def change_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream of files, the latest days first: the newest event of each user as the feed leaves it."""
+    path = f"{run_folder(spark)}/feed-{uuid4()}"
+    events = table(spark, folder, "events").withColumn("dia", F.date_format("ts", "yyyy-MM"))
+    events.repartitionByRange(4, F.desc("dia")).drop("dia").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.drop("dia").schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    start_feed(stream, f"{path}/feed", ["user_id"], order="ts", then=()).awaitTermination()
+    newest = feed_table(spark, f"{path}/feed", stream.schema)
+    return newest.select("user_id", "event_id", "event_type", "value", "props")
+
+
 def sql_normalizers(spark: SparkSession, folder: str) -> DataFrame:
     """The normalisers called from SQL."""
     N.register_sql_functions(spark)
@@ -718,6 +744,8 @@ QUERIES: dict[str, Query] = {
     "metricas_qualidade": quality_table,
     "overlap_histogram": histogram,
     "lake_of_two_sources": partial_lake,
+    "incremental_gold": incremental_gold,
+    "change_feed": change_feed,
     "search_name": searching(q="customer 00000"),
     "search_doc": searching(doc=DOC_TEXT),
     "search_email": searching(email="CLIENTE12"),

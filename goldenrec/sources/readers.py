@@ -293,3 +293,11 @@ def list_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _OBJECTS)
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, sorted; names of folders, not what they hold."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])

@@ -719,3 +719,7 @@ from (select count(*) filter (status = 'pass') as passou, count(*) filter (statu
         "event_type",
     ),
 }
+
+# The same tables by other ways: built batch by batch, and followed as a stream.
+ORACLE["incremental_gold"] = ORACLE["golden_clientes"]
+ORACLE["change_feed"] = ORACLE["latest_per_key"]
