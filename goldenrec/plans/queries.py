@@ -18,6 +18,7 @@ from goldenrec.operators import dirty, lineage, metrics, quality, search
 from goldenrec.operators.golden import build_golden, id_conflicts, list_entries, list_rows
 from goldenrec.operators.latest import latest_per_key
 from goldenrec.operators.paging import page_envelopes, page_of
+from goldenrec.operators.postings import Index, build_index
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
 from goldenrec.plans.catalog import run_sql
@@ -208,6 +209,30 @@ def searching(page: int = 1, per_page: int = search.DEFAULT_PER_PAGE, **filters:
     return query
 
 
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def index(spark: SparkSession, folder: str) -> Index:
+    """Postings of the stored golden customers: built at the first use of a session, then read."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _indexes:
+        root = f"{run_folder(spark)}/postings-{hashlib.md5(folder.encode()).hexdigest()}"
+        build_index(model(spark, folder, "golden_clientes"), root)
+        _indexes[key] = root
+    return Index(spark, _indexes[key])
+
+
+def searching_index(page: int = 1, per_page: int = search.DEFAULT_PER_PAGE, **filters: str) -> Query:
+    """The same pages by the stored postings."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        found = index(spark, folder).search(page=page, per_page=per_page, **filters)
+        more = [F.lit(found.total).cast("bigint").alias("total"), F.lit(found.has_next).alias("has_next")]
+        return flat_summary(found.data, *more)
+
+    return query
+
+
 def checking(*checks: quality.Check) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return quality.run_contract(lake(spark, folder).tables, checks)
@@ -748,8 +773,10 @@ QUERIES: dict[str, Query] = {
     "change_feed": change_feed,
     "search_name": searching(q="customer 00000"),
     "search_doc": searching(doc=DOC_TEXT),
-    "search_email": searching(email="CLIENTE12"),
-    "search_phone": searching(telefone="+55 (21) 9"),
+    "search_name_index": searching_index(q="customer 00000"),
+    "search_email": searching_index(email="CLIENTE12"),
+    "search_phone": searching_index(telefone="+55 (21) 9"),
+    "search_all_index": searching_index(q="cust%r 0_0", email="cliente", telefone="55", per_page=100),
     "search_city": searching(cidade="paraná"),
     "search_uf": searching(uf="sp", q="%cia_2"),
     "search_page2": searching(page=2, per_page=40, cidade="São"),

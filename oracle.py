@@ -723,3 +723,9 @@ from (select count(*) filter (status = 'pass') as passou, count(*) filter (statu
 # The same tables by other ways: built batch by batch, and followed as a stream.
 ORACLE["incremental_gold"] = ORACLE["golden_clientes"]
 ORACLE["change_feed"] = ORACLE["latest_per_key"]
+ORACLE["search_name_index"] = ORACLE["search_name"]
+ORACLE["search_all_index"] = search(
+    """lower(nome_razao_social) like '%cust%r 0_0%' and len(list_filter(emails, lambda x: contains(x, 'cliente'))) > 0
+    and len(list_filter(telefones, lambda x: contains(x, '55'))) > 0""",
+    per_page=100,
+)
