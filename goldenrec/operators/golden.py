@@ -64,7 +64,6 @@ def _entries(keyed: DataFrame) -> DataFrame:
         entry("telefones", F.col("telefone_principal").isNotNull(), valor=F.col("telefone_principal")),
         entry("enderecos", has_address, cidade=F.col("cidade"), uf=F.col("uf"), fonte=fonte),
         entry("atributos_por_fonte", F.lit(True), valor=F.col("atributos_extras"), fonte=fonte),
-        entry("ids", F.lit(True), valor=F.col("id_origem"), fonte=fonte),
     )
     rows = keyed.select("key", F.explode(F.array_compact(parts)).alias("entry")).select("key", "entry.*")
     return rows.groupBy("key", "lista", "valor", "cidade", "uf", "fonte").agg(F.count(F.lit(1)).alias("n"))
@@ -76,8 +75,7 @@ def list_entries(clustered: DataFrame) -> DataFrame:
     keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
     key = F.when(F.col("key") != NO_KEY, F.col("key"))
     names = ["lista", "valor", "cidade", "uf", "fonte", F.col("n").alias("registros")]
-    rows = _entries(keyed).where(F.col("lista") != "ids")
-    return rows.select(F.md5(key).alias("id_golden"), key.alias("cluster_key"), *names)
+    return _entries(keyed).select(F.md5(key).alias("id_golden"), key.alias("cluster_key"), *names)
 
 
 def _lists() -> list[Column]:
@@ -91,7 +89,6 @@ def _lists() -> list[Column]:
         of("telefones", valor).alias("telefones"),
         of("enderecos", F.struct("cidade", "uf", "fonte")).alias("enderecos"),
         of("atributos_por_fonte", attributes).alias("_attributes"),
-        of("ids", F.struct("fonte", F.col("valor").alias("id"))).alias("_ids"),
     ]
 
 
@@ -99,18 +96,24 @@ def _none_if_empty(name: str) -> Column:
     return F.when(F.size(name) > 0, F.col(name))
 
 
-def _ids_by_source(strict: bool) -> Column:
-    """``source -> id``; the smallest id when a source has several (``strict`` fails instead)."""
+def _ids(keyed: DataFrame) -> DataFrame:
+    """``key, _ids``: the smallest id of each source of a cluster, and whether the source has another.
+
+    Combined per source before the shuffle: however many ids a cluster has, one entry a source comes together.
+    """
+    same = F.min("id_origem").eqNullSafe(F.max("id_origem")) & F.count("id_origem").isin(F.lit(0), F.count(F.lit(1)))
+    by_source = keyed.where(F.col("fonte").isNotNull()).groupBy("key", "fonte").agg(F.min("id_origem").alias("id"), (~same).alias("clash"))
+    return by_source.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("fonte", "id", "clash"))).alias("_ids"))
 
-    def smallest(source: Column) -> Column:
-        own = F.filter("_ids", lambda pair: pair["fonte"].eqNullSafe(source))
-        return F.struct(source, F.array_min(F.transform(own, lambda pair: pair["id"])))
 
-    ids = F.map_from_entries(F.transform("fontes", smallest))
+def _ids_by_source(strict: bool) -> Column:
+    """``source -> id``; the smallest id when a source has several (``strict`` fails instead)."""
+    entries = F.coalesce("_ids", F.array().cast("array<struct<fonte:string,id:string,clash:boolean>>"))
+    ids = F.map_from_entries(F.transform(entries, lambda one: F.struct(one["fonte"], one["id"])))
     if not strict:
         return ids
     problem = F.concat(F.lit("several source ids for one source in cluster "), F.col("cluster_key"))
-    clash = F.size("_ids") > F.size("fontes")
+    clash = F.exists(entries, lambda one: one["clash"])
     return F.when(clash, F.raise_error(F.coalesce(problem, F.lit("NULL cluster")))).otherwise(ids)
 
 
@@ -125,15 +128,15 @@ def _score() -> Column:
 def build_golden(clustered: DataFrame, run_ts: datetime | None = None, *, strict: bool = False) -> DataFrame:
     """Golden records of a clustered registry, with all lists complete at every cluster size.
 
-    Facts and list entries are aggregated apart, both combined before their shuffle; only the distinct
-    entries of a cluster come together, in its row. ``strict`` fails when one source brings several ids
+    Facts, ids and list entries are aggregated apart, all combined before their shuffle; only the distinct
+    entries of a cluster and one id a source come together, in its row. ``strict`` fails when one source brings several ids
     into a cluster; see ``id_conflicts`` for the report. Lists beyond what one row can hold are an error.
     """
     keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
     facts = keyed.groupBy("key").agg(*_facts())
     lists = _entries(keyed).groupBy("key").agg(*_lists())
-    # both sides are already partitioned by the key, which is never NULL
-    frame = facts.join(lists, "key").withColumn("cluster_key", F.when(F.col("key") != NO_KEY, F.col("key")))
+    # all sides are already partitioned by the key, which is never NULL
+    frame = facts.join(lists, "key").join(_ids(keyed), "key", "left").withColumn("cluster_key", F.when(F.col("key") != NO_KEY, F.col("key")))
     repeated = F.transform("_attributes", lambda one: F.array_repeat(one["entry"], one["n"]))
     frame = frame.withColumns(
         {
