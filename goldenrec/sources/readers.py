@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldenrec import schemas
+from goldenrec.session import stage
 
 
 def jdbc_options(
@@ -83,6 +84,58 @@ def read_documents(spark: SparkSession, path: str, corrupt: bool = False) -> Dat
     )
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``value, closed``: the records of CSV files without their headers, also those that go on over line breaks.
+
+    Spark cuts the files into byte ranges and these into lines. A line with an odd number of quotes opens or closes
+    a field that holds line breaks, so the number of such lines before a line says whether it lies inside a record and
+    which: counts per byte range, their running sum, and a running sum inside each range. Only lines of longer records
+    are shuffled a second time. A quote that no line closes leaves its lines apart, with ``closed`` false.
+
+    Quotes inside fields are doubled, as RFC 4180 has it.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    at = F.col("_metadata")
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            "value",
+            at["file_path"].alias("file"),
+            at["file_block_start"].alias("block"),
+            (quotes % 2).alias("odd"),
+            # grows along a byte range; ranges of one file may lie in any order
+            F.monotonically_increasing_id().alias("line"),
+        )
+    )
+    ranges = lines.groupBy("file", "block").agg(F.sum("odd").alias("odds"), F.min("line").alias("first"))
+    # one row per byte range
+    along = Window.partitionBy("file").orderBy("block")
+    ranges = ranges.withColumns(
+        {
+            "before": F.sum("odds").over(along) - F.col("odds"),
+            "total": F.sum("odds").over(Window.partitionBy("file")),
+        }
+    )
+    ranges = stage(ranges.drop("odds"), "csv-ranges")
+    placed = lines.join(ranges, ["file", "block"]).where((F.col("block") > 0) | (F.col("line") > F.col("first")))
+    text = F.regexp_replace("value", r"\r\z", "").alias("value")
+    if ranges.where("total > 0").isEmpty():
+        return placed.where(~F.col("value").isin("", "\r")).select(text, F.lit(True).alias("closed"))
+    inside = Window.partitionBy("file", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    counted = placed.withColumn("seen", F.col("before") + F.coalesce(F.sum("odd").over(inside), F.lit(0)))
+    alone = (F.col("odd") == 0) & (F.col("seen") % 2 == 0)
+    record = F.floor(F.col("seen") / 2)
+    lost = ~alone & (F.col("total") % 2 == 1) & (record == F.floor(F.col("total") / 2))
+    counted = counted.select("value", "file", "block", "line", record.alias("record"), alone.alias("alone"), lost.alias("lost"))
+    whole = counted.where(F.col("alone") | F.col("lost"))
+    whole = whole.where(~F.col("value").isin("", "\r")).select(text, (~F.col("lost")).alias("closed"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    longer = counted.where(~F.col("alone") & ~F.col("lost")).groupBy("file", "record").agg(parts.alias("parts"))
+    longer = longer.select(F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("value"))
+    return whole.unionAll(longer.select(text, F.lit(True).alias("closed")))
+
+
 def read_csv_text(
     spark: SparkSession,
     path: str,
@@ -94,20 +147,24 @@ def read_csv_text(
 
     A line with more or fewer fields than columns fails the read; with ``corrupt`` its text is in ``_corrupt``.
 
-    Fields may hold line breaks, so a file is read by one task; set ``line_breaks`` to false for
-    large files known to have none, which Spark then splits.
+    Fields may hold line breaks, and still a file is read by as many tasks as its size asks for (``csv_records``);
+    set ``line_breaks`` to false for files known to have none, which saves the pass that counts quotes.
     """
     layout = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, CORRUPT)])
-    frame = (
-        spark.read.schema(layout)
-        .option("header", True)
-        .option("multiLine", line_breaks)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    options = {
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+        "columnNameOfCorruptRecord": CORRUPT,
+    }
+    if line_breaks:
+        row = F.from_csv("value", layout.toDDL(), {**options, "multiLine": "true"}).alias("row")
+        parsed = csv_records(spark, path).select("value", "closed", row)
+        known = [F.when(F.col("closed"), F.col("row")[name]).alias(name) for name in columns]
+        wrong = F.when(~F.col("closed"), F.col("value")).otherwise(F.col("row")[CORRUPT])
+        frame = parsed.select(*known, wrong.alias(CORRUPT))
+    else:
+        frame = spark.read.schema(layout).options(header=True, **options).csv(path)
     fields = [F.coalesce(F.col(name), F.lit("")) for name in columns]
     # Spark refuses to read the corrupt text alone, so it is tied to a field
     told = F.concat(F.col(CORRUPT), F.left(fields[0], F.lit(0)))
