@@ -161,11 +161,16 @@ def _hits(part: Slice, words: Words, block: Block) -> tuple[np.ndarray, ...]:
     row, item, first, last = (np.array(x, np.int64) for x in (row, item, first, last))
     order = np.lexsort((first, item, row))
     row, item, first, last = row[order], item[order], first[order], last[order]
-    fresh = np.ones(len(row), bool)
-    fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (first[1:] > last[:-1])
+    other = np.ones(len(row), bool)
+    other[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
+    # windows of one item may differ in length, so the farthest end so far counts, not that of the last window
+    group = np.cumsum(other) * (last.max() + 1 if len(last) else 1)
+    upto = np.maximum.accumulate(last + group) - group
+    fresh = other.copy()
+    fresh[1:] |= first[1:] > upto[:-1]
     begins = np.flatnonzero(fresh)
     ends = np.concatenate([begins[1:], [len(row)]]) - 1 if len(begins) else begins
-    return row[begins], item[begins], first[begins], last[ends]
+    return row[begins], item[begins], first[begins], upto[ends]
 
 
 def _find(shared, names: list[str]) -> Callable:
@@ -198,6 +203,7 @@ def _block(spark: SparkSession, windows_: DataFrame, texts: DataFrame):
     counted = texts.mapInArrow(_count_shingles(vocabulary), "shingle long, n long")
     # at most one row per shingle of the block
     often = {row.shingle: row.n for row in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect()}
+    vocabulary.destroy()
     offset = [min(range(len(r.shingles)), key=lambda i: (often.get(r.shingles[i], 0), r.shingles[i])) for r in rows]
     rarest = np.array([row.shingles[i] for row, i in zip(rows, offset, strict=True)], np.int64).view(_U)
     order = np.argsort(rarest, kind="stable")

@@ -56,6 +56,16 @@ def test_against_all_windows(spark, docs, texts, block):
     assert {r.lang for r in found} == {"en"}
 
 
+def test_items_of_one_id_and_different_length(spark):
+    own = [f"w{i}" for i in range(40)]
+    items = [("a", " ".join(own[:10])), ("a", " ".join(own[2:8])), ("a", " ".join(own[9:12])), ("b", " ".join(own[4:24]))]
+    items += [(None, " ".join(own[20:32])), (None, " ".join(own[21:24])), ("c", " ".join(own[30:34])), ("c", " ".join(own[36:38]))]
+    texts = [(1, " ".join(own[:10])), (2, " ".join(own)), (3, " ".join(own[2:8] + ["x"] + own[:10])), (4, " ".join(own[::-1]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = find_contamination(docs, spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == expected(texts, items)
+
+
 def test_empty_tables(spark, docs, no_docs):
     items = spark.createDataFrame([(1, "some words to look for")], "item_id long, text string")
     assert find_contamination(no_docs, items).count() == 0
