@@ -283,6 +283,38 @@ def schema_changes(spark: SparkSession, before: T.StructType, after: T.StructTyp
     return spark.createDataFrame(rows, _CHANGES)
 
 
+def schema_run(frame: DataFrame, table: str, run_ts: datetime) -> DataFrame:
+    """History rows of one run: ``tabela, run_ts, coluna, tipo, registros``, one per column of the table."""
+    columns = [F.struct(F.lit(f.name).alias("coluna"), F.lit(f.dataType.simpleString()).alias("tipo")) for f in frame.schema]
+    counted = frame.agg(F.count(F.lit(1)).alias("registros"))
+    return counted.select(
+        F.lit(table).alias("tabela"), F.lit(run_ts).cast("timestamp").alias("run_ts"), F.inline(F.array(*columns)), "registros"
+    )
+
+
+def schema_drift(history: DataFrame) -> DataFrame:
+    """``tabela, run_ts, coluna, mudanca, antes, depois, registros``: what each run changed against the run before it.
+
+    ``history`` has the rows of ``schema_run``; a run entered twice counts once. The first run of a table changes
+    nothing. ``registros`` are the rows of the changed table; a renamed column is removed and added.
+    """
+    columns = history.select("tabela", "run_ts", "coluna", "tipo", "registros").dropDuplicates(["tabela", "run_ts", "coluna"])
+    runs = columns.groupBy("tabela", "run_ts").agg(F.max("registros").alias("registros"))
+    # one row per run of a table
+    order = Window.partitionBy("tabela").orderBy("run_ts")
+    steps = runs.withColumn("anterior", F.lag("run_ts").over(order)).where(F.col("anterior").isNotNull())
+    key = ["tabela", "run_ts", "coluna"]
+    after = steps.drop("anterior").join(columns.drop("registros"), ["tabela", "run_ts"])
+    after = after.select(*key, F.col("tipo").alias("depois"))
+    before = steps.join(columns.select("tabela", F.col("run_ts").alias("anterior"), "coluna", F.col("tipo").alias("antes")), ["tabela", "anterior"])
+    both = before.select(*key, "antes").join(after, key, "full")
+    kind = (
+        F.when(F.col("antes").isNull(), "added").when(F.col("depois").isNull(), "removed").otherwise("type_changed")
+    )
+    changed = both.where(~F.col("antes").eqNullSafe(F.col("depois"))).withColumn("mudanca", kind)
+    return changed.join(runs, ["tabela", "run_ts"]).select(*key, "mudanca", "antes", "depois", "registros")
+
+
 # Operational report
 
 Outcome = tuple[str, str, str]  # status, detail, suggested action

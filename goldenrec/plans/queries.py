@@ -650,6 +650,21 @@ def volume_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as three runs saw them: a column comes, then one goes and one changes its type."""
+    base = f"{run_folder(spark)}/schema-{uuid4()}"
+    customers = table(spark, folder, "customer")
+    versions_ = (
+        customers.drop("c_mktsegment"),
+        customers,
+        customers.drop("c_nationkey").withColumn("c_acctbal", F.col("c_acctbal").cast("string")),
+    )
+    for day, version in enumerate(versions_, 1):
+        quality.schema_run(version, "customer", datetime(2024, 1, day, tzinfo=UTC)).write.parquet(f"{base}/{day}")
+    history = spark.read.option("recursiveFileLookup", True).parquet(base)
+    return quality.schema_drift(history).withColumn("run_ts", F.date_format("run_ts", "yyyy-MM-dd"))
+
+
 def dimension_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     """Events per type and day."""
     runs = (
@@ -806,4 +821,5 @@ QUERIES: dict[str, Query] = {
     "freshness_rollup": freshness_rollup,
     "volume_anomaly": volume_anomaly,
     "dimension_anomaly": dimension_anomaly,
+    "schema_drift": schema_drift,
 }

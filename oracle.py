@@ -729,3 +729,11 @@ ORACLE["search_all_index"] = search(
     and len(list_filter(telefones, lambda x: contains(x, '55'))) > 0""",
     per_page=100,
 )
+ORACLE["schema_drift"] = """
+with c as (select column_name as coluna, case data_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' else lower(data_type) end as tipo
+  from information_schema.columns where table_name = 'customer')
+select 'customer' as tabela, run_ts, coluna, mudanca, antes, depois, (select count(*) from customer) as registros from (
+  select '2024-01-02' as run_ts, coluna, 'added' as mudanca, null as antes, tipo as depois from c where coluna = 'c_mktsegment'
+  union all select '2024-01-03', coluna, 'removed', tipo, null from c where coluna = 'c_nationkey'
+  union all select '2024-01-03', coluna, 'type_changed', tipo, 'string' from c where coluna = 'c_acctbal')
+"""

@@ -31,6 +31,7 @@ def base(spark, tmp_path_factory):
         extra = 60 if day == 9 else day % 2
         tables["int_clientes_padronizados"] = rows(50 + extra).unionByName(rows(500, "empresa_b"))
         tables["int_fornecedores_padronizados"] = rows(40 + day % 3)
+        tables["golden_clientes"] = row.select("fonte", *(["uf"] if day == 9 else ["cidade"]))
         monitor.record_run(tables, folder, at)
     return folder
 
@@ -48,11 +49,17 @@ def test_the_unusual_source_is_found(spark, base):
     assert [(r.tabela, r.registros) for r in found] == [("int_clientes_padronizados", 610)]
 
 
+def test_schema_changes_by_run(spark, base):
+    found = monitor.schema_changes(spark, base).collect()
+    assert {(r.coluna, r.mudanca, r.registros) for r in found} == {("cidade", "removed", 1), ("uf", "added", 1)}
+
+
 def test_report(spark, base):
     rows = {r.name: (r.status, r.detail) for r in monitor.report(spark, base, START).collect()}
     assert rows["freshness"] == ("warn", "6 pass, 1 warn, 0 error")
     assert rows["volume"] == ("warn", "1 unusual counts")
     assert rows["sources"] == ("warn", "1 unusual counts")
+    assert rows["schema"] == ("warn", "golden_clientes.cidade removed, golden_clientes.uf added")
     assert rows["quarantine"][0] == "ok"
     assert rows["metrics age"] == ("warn", "not written yet")
     nothing = {r.name: r.status for r in monitor.report(spark, base + "/none", START).collect()}

@@ -178,3 +178,21 @@ def test_metrics(spark):
     assert total["com_email"] is None and a["registros_ouro"] is None
     assert (b["com_doc_valido"], b["pct_email"], b["pct_cidade"], a["pct_doc_valido"]) == (0, 0.5, 0.0, 1.0)
     assert {r.total_fontes: r.entidades for r in metrics.overlap_histogram(golden).collect()} == {1: 1, 2: 1}
+
+
+def test_schema_drift_by_run(spark):
+    day = [datetime(2024, 1, d, tzinfo=UTC) for d in range(1, 5)]
+    versions = ["a int, b string", "a int, b string", "a bigint, c array<int>", "a bigint, b string, c array<int>"]
+    runs = [Q.schema_run(spark.createDataFrame([], v), "t", d) for v, d in zip(versions, day)]
+    runs += [runs[2], Q.schema_run(spark.range(3), "u", day[1])]
+    history = runs[0]
+    for run in runs[1:]:
+        history = history.unionByName(run)
+    found = {tuple(r) for r in Q.schema_drift(history).select(F.dayofmonth("run_ts"), "tabela", "coluna", "mudanca", "antes", "depois", "registros").collect()}
+    assert found == {
+        (3, "t", "a", "type_changed", "int", "bigint", 0),
+        (3, "t", "b", "removed", "string", None, 0),
+        (3, "t", "c", "added", None, "array<int>", 0),
+        (4, "t", "b", "added", None, "string", 0),
+    }
+    assert Q.schema_drift(history.where("false")).isEmpty()
