@@ -29,11 +29,11 @@ COMPUTED = (
     "golden_clientes",
     "golden_fornecedores",
     "metricas_qualidade",
-    "page_deep",
     "volume_anomaly",
 )
 # On the stored lake, as a reader of gold would.
 STORED = (
+    "page_deep",
     "search_name",
     "search_city",
     "search_doc",

@@ -117,3 +117,20 @@ def test_envelopes(spark):
     assert [pages[p].has_next for p in (1, 2, 3)] == [True, True, False]
     assert (pages[2].data[0].k, pages[2].data[0].v, pages[2].total, pages[2].per_page) == (25, 50, 53, 25)
     assert paging.page_envelopes(frame.where("k < 50"), "k", 25).where("has_next").count() == 1
+
+
+def test_stored_ranks_give_the_same_pages(spark, tables, tmp_path):
+    rows = tables.select("id_golden", "score_completude", "nome_razao_social", "emails").cache()
+    root = str(tmp_path / "ranked")
+    for size in (1000, 4, 1):
+        ranked = paging.Ranked.build(rows, root, "id_golden", search.RANKING, size)
+        assert ranked.total == rows.count()
+        for page, per_page in ((1, 5), (2, 7), (5, 7), (34, 1), (1, 100), (99, 10)):
+            wanted = paging.page_of(rows, page, per_page, "id_golden", search.RANKING).collect()
+            assert ranked.page(page, per_page).collect() == wanted
+    # ranges, and folders read for a page within one of them
+    plan = ranked.page(20, 1)._jdf.queryExecution().executedPlan().toString()
+    assert len(ranked.starts) > 10 and "PartitionFilters: [isnotnull(faixa" in plan
+    with pytest.raises(FileNotFoundError):
+        paging.Ranked(spark, str(tmp_path / "none"))
+    assert paging.Ranked.build(rows.where("false"), root, "id_golden", search.RANKING).page(1, 3).count() == 0
