@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,10 +186,15 @@ def read_pages(
     parsed = texts.select("value", F.try_parse_json("value").alias("page"))
     kinds = {"page": "bigint", "total": "bigint", "has_next": "boolean", "data": "array<variant>"}
     fields = [F.try_variant_get("page", f"$.{name}", kind).alias(name) for name, kind in kinds.items()]
-    pages = parsed.select(*fields, "value").withColumn(CORRUPT, F.when(F.col("data").isNull(), F.col("value")))
-    last = pages.where(~F.col("has_next")).agg(F.min("page")).first()[0]
+    unread = F.col("data").isNull()
+    pages = parsed.select(*fields, "value").withColumn(CORRUPT, F.when(unread, F.col("value"))).drop("value")
+    # the texts are read and parsed once; what follows reads the columns it needs of the stored pages
+    seen = Observation()
+    ended = F.min(F.when(~F.col("has_next"), F.col("page"))).alias("last")
+    pages = stage(pages.withColumn("held", F.coalesce(F.size("data"), F.lit(0))).observe(seen, ended), "pages")
+    last = seen.get["last"]
     kept = pages if last is None else pages.where((F.col("page") <= last) | F.col(CORRUPT).isNotNull())
-    total, held = kept.agg(F.max("total"), F.sum(F.coalesce(F.size("data"), F.lit(0)))).first()
+    total, held = kept.agg(F.max("total"), F.sum("held")).first()
     sound = F.lit(None).cast("string").alias(CORRUPT)
     records = kept.where(F.col(CORRUPT).isNull()).select(F.explode("data").alias("doc"), sound)
     unread = kept.where(F.col(CORRUPT).isNotNull()).select(F.lit(None).cast("variant").alias("doc"), CORRUPT)

@@ -4,6 +4,7 @@ import json
 from datetime import UTC, date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from goldenrec import schemas
 from goldenrec.sources import bronze as B
@@ -190,3 +191,17 @@ def test_broken_records_go_to_the_quarantine(spark, tmp_path):
         R.read_csv_text(spark, str(sheets / "clientes.csv")).collect()
     with pytest.raises(FAILED_QUERY, match="unreadable record"):
         R.read_pages(spark, str(pages)).collect()
+
+
+def test_sources_are_read_once(spark, tmp_path):
+    """The landing files may go once a batch is received; every later step reads what was stored."""
+    page = {"page": 1, "per_page": 9, "total": 2, "has_next": False, "data": [{"id": "a"}, {"id": "b"}]}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text(json.dumps(page))
+    frame = B.extract_e(spark, str(tmp_path / "in"))["clientes"]
+    assert "Scan text" not in frame._jdf.queryExecution().executedPlan().toString()
+    reads = spark.sparkContext.accumulator(0)
+    rows = spark.range(3).rdd.map(lambda r: (reads.add(1), r[0])[1:]).toDF("client_id long")
+    rows = rows.withColumn(R.CORRUPT, F.when(F.col("client_id") == 2, "broken"))
+    written = B.ingest({"clientes": rows}, "empresa_b", str(tmp_path / "bronze"))["clientes"]
+    assert (written.rows, written.quarantined, reads.value) == (2, 1, 3)
