@@ -26,21 +26,26 @@ def lineage(golden: DataFrame, clustered: DataFrame, id_golden: str | None = Non
     )
 
 
-def source_records(golden: DataFrame, bronze: Mapping[str, tuple[DataFrame, Column]]) -> DataFrame:
+def source_records(
+    golden: DataFrame, bronze: Mapping[str, tuple[DataFrame, Column]], *, few: bool = False
+) -> DataFrame:
     """Newest raw bronze row behind each entry of ``ids_origem``, as JSON text.
 
     ``bronze`` maps a source to its table and to the expression of its source id. The newest row
-    per id is taken before the join: that leaves one row per id, whatever number of batches it is in.
+    per id is taken before the join: that leaves one row per id, whatever number of batches it is in. ``few`` sends
+    the ids to the raw rows before these are ranked: right for a handful of golden records, a shuffle more for all.
     """
     refs = golden.select("id_golden", F.explode("ids_origem").alias("fonte", "id_origem"))
     parts = []
     for source, (table, key) in sorted(bronze.items()):
+        wanted = refs.where(F.col("fonte") == source)
         raw = table.withColumn("_key", key).where(F.col("_key").isNotNull())
+        if few:
+            raw = raw.join(wanted.select(F.col("id_origem").alias("_key")).distinct(), "_key", "left_semi")
         newest = latest_per_key(raw, ["_key"])
         payload = F.to_json(F.struct(*sorted(table.columns)), {"ignoreNullFields": "false"})
         rows = newest.select(F.col("_key").alias("id_origem"), payload.alias("registro"))
         # many golden records may point to one placeholder id
-        wanted = refs.where(F.col("fonte") == source)
         parts.append(wanted.join(shuffled_alone(rows, "id_origem"), "id_origem"))
     union = parts[0]
     for part in parts[1:]:

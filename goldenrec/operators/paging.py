@@ -126,7 +126,8 @@ def page_envelopes(frame: DataFrame, key: str, per_page: int) -> DataFrame:
     """The whole table as pages ``page, per_page, total, has_next, data[]`` in key order."""
     records = [name for name in frame.columns]
     placed = global_position(frame, in_order(key))
-    total = frame.count()
+    # counted on the stored order, not on the source again
+    total = placed.count()
     page = F.ceil(F.col("posicao") / per_page).cast("bigint")
     entry = F.struct("posicao", F.struct(*records).alias("record"))
     pages = placed.groupBy(page.alias("page")).agg(

@@ -336,7 +336,9 @@ def freshness_check(history: DataFrame) -> Outcome:
 
 
 def quarantine_check(objects: DataFrame) -> Outcome:
-    held = objects.count()
+    """Batches with objects in the quarantine: a batch is a folder of files, or a file."""
+    folder = F.regexp_extract("path", r"^(.*\.parquet)/[^/]*$", 1)
+    held = objects.select(F.when(folder != "", folder).otherwise(F.col("path"))).distinct().count()
     if held == 0:
         return "ok", "no batches in quarantine", ""
     return "warn", f"{held} batches in quarantine", "look into them, reprocess, then remove them"

@@ -132,7 +132,9 @@ def test_lineage_and_source_rows(lake):
         "empresa_a": (tables["empresa_a_clientes"], F.col("id").cast("string")),
         "empresa_b": (tables["empresa_b_clientes"], F.col("client_id").cast("string")),
     }
-    found = lineage.source_records(golden.where(F.col("id_golden") == chosen.id_golden), bronze).collect()
+    one = golden.where(F.col("id_golden") == chosen.id_golden)
+    found = lineage.source_records(one, bronze).collect()
+    assert sorted(lineage.source_records(one, bronze, few=True).collect()) == sorted(found)
     assert {r.fonte for r in found} == {"empresa_a", "empresa_b"}
     assert all(json.loads(r.registro)["_ingested_at"].startswith("2024-02") for r in found)
 
