@@ -158,7 +158,8 @@ def build_tree(conversations: DataFrame) -> Tree:
 
     Turns are taken in the order of (turn, role, text), so ties and repeated rows have a place each.
     NULL text or role: empty. NULL conv_id: one more conversation. NULL turn: before all others. Other
-    columns are ignored. Rows of one conversation are read in a stream, never as a group.
+    columns are ignored. Texts of one conversation are read in a stream; for the depth-first order the keys of its
+    turns, 16 characters each, come together in one row.
     """
     source = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from goldenrec.llm import neighbours
+from goldenrec.session import stage
 from goldenrec.llm.neighbours import nearest, perturbations
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def test_recall_holds_without_clusters_and_in_many_dimensions(spark):
     frame = spark.range(0, 20_000, 1, 8).select(
         F.col("id").alias("vec_id"), F.array(*[F.randn(i).cast("float") for i in range(128)]).alias("embedding")
     )
-    frame = frame.localCheckpoint()
+    frame = stage(frame, "many-vectors")
     found = {}
     for r in nearest(frame, F.col("vec_id") % 200 == 0).collect():
         found.setdefault(r.query_id, set()).add(r.vec_id)
