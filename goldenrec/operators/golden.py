@@ -89,6 +89,7 @@ def _lists() -> list[Column]:
         of("telefones", valor).alias("telefones"),
         of("enderecos", F.struct("cidade", "uf", "fonte")).alias("enderecos"),
         of("atributos_por_fonte", attributes).alias("_attributes"),
+        of("ids", F.struct("fonte", valor.alias("id"), "n")).alias("_ids"),
     ]
 
 
@@ -97,23 +98,27 @@ def _none_if_empty(name: str) -> Column:
 
 
 def _ids(keyed: DataFrame) -> DataFrame:
-    """``key, _ids``: the smallest id of each source of a cluster, and whether the source has another.
+    """The smallest id of each source of a cluster as an entry; ``n`` is 2 if the source has another.
 
     Combined per source before the shuffle: however many ids a cluster has, one entry a source comes together.
     """
     same = F.min("id_origem").eqNullSafe(F.max("id_origem")) & F.count("id_origem").isin(F.lit(0), F.count(F.lit(1)))
-    by_source = keyed.where(F.col("fonte").isNotNull()).groupBy("key", "fonte").agg(F.min("id_origem").alias("id"), (~same).alias("clash"))
-    return by_source.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("fonte", "id", "clash"))).alias("_ids"))
+    by_source = keyed.where(F.col("fonte").isNotNull()).groupBy("key", "fonte").agg(
+        F.min("id_origem").alias("valor"), F.when(same, 1).otherwise(2).cast("long").alias("n")
+    )
+    none = F.lit(None).cast("string")
+    return by_source.select(
+        "key", F.lit("ids").alias("lista"), "valor", none.alias("cidade"), none.alias("uf"), "fonte", "n"
+    )
 
 
 def _ids_by_source(strict: bool) -> Column:
     """``source -> id``; the smallest id when a source has several (``strict`` fails instead)."""
-    entries = F.coalesce("_ids", F.array().cast("array<struct<fonte:string,id:string,clash:boolean>>"))
-    ids = F.map_from_entries(F.transform(entries, lambda one: F.struct(one["fonte"], one["id"])))
+    ids = F.map_from_entries(F.transform("_ids", lambda one: F.struct(one["fonte"], one["id"])))
     if not strict:
         return ids
     problem = F.concat(F.lit("several source ids for one source in cluster "), F.col("cluster_key"))
-    clash = F.exists(entries, lambda one: one["clash"])
+    clash = F.exists("_ids", lambda one: one["n"] > 1)
     return F.when(clash, F.raise_error(F.coalesce(problem, F.lit("NULL cluster")))).otherwise(ids)
 
 
@@ -134,9 +139,9 @@ def build_golden(clustered: DataFrame, run_ts: datetime | None = None, *, strict
     """
     keyed = clustered.withColumn("key", F.coalesce("cluster_key", F.lit(NO_KEY)))
     facts = keyed.groupBy("key").agg(*_facts())
-    lists = _entries(keyed).groupBy("key").agg(*_lists())
-    # all sides are already partitioned by the key, which is never NULL
-    frame = facts.join(lists, "key").join(_ids(keyed), "key", "left").withColumn("cluster_key", F.when(F.col("key") != NO_KEY, F.col("key")))
+    lists = _entries(keyed).unionByName(_ids(keyed)).groupBy("key").agg(*_lists())
+    # both sides are already partitioned by the key, which is never NULL
+    frame = facts.join(lists, "key").withColumn("cluster_key", F.when(F.col("key") != NO_KEY, F.col("key")))
     repeated = F.transform("_attributes", lambda one: F.array_repeat(one["entry"], one["n"]))
     frame = frame.withColumns(
         {

@@ -101,14 +101,14 @@ def test_a_placeholder_source_id_is_split_over_tasks(spark, small_skew):
 
 
 def test_golden_combines_before_every_shuffle(spark):
-    """Facts once, list entries by cluster and value and then by cluster; the join needs no other."""
+    """Facts once; list entries by cluster and value, ids by cluster and source, both then by cluster; the join no other."""
     clustered = stage(resolve_entities(stage(silver(spark, SF, "empresa_a", "clientes"), "plan")), "plan")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(build_golden(clustered, RUN_TS))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("Exchange hashpartitioning") == 3 and text.count("partial_count(1)") == 1
+    assert text.count("Exchange hashpartitioning") == 4 and text.count("partial_count(1)") == 2
     assert "SortMergeJoin" in text and "partial_collect_list" in text and "BroadcastExchange" not in text
 
 
