@@ -1,4 +1,4 @@
-"""Fuzzy line de-duplication: SimHash of normalised lines, pigeonhole blocks, edit similarity."""
+"""Fuzzy line de-duplication: block-wise SimHash of normalised lines, pigeonhole keys, edit similarity."""
 
 from __future__ import annotations
 
@@ -12,16 +12,22 @@ from pyspark.sql import functions as F
 
 from goldenrec.llm.columns import apart
 from goldenrec.llm.links import star_groups
-from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, sequence_hash, signed, slices
+from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, list_array, mix64, sequence_hash, signed, slices
 from goldenrec.session import stage
 
-# Lines of fewer words are left alone: headings, blank lines, list marks.
+# Lines of fewer words are left alone: headings, blank lines, list marks. Scripts without spaces count by pieces.
 LINE_WORDS = 3
-# Lines link when their SimHashes differ in at most DISTANCE of 64 bits and their edit similarity holds.
-DISTANCE = 3
+# Lines link when their edit similarity holds.
 EDIT_SIMILARITY = 0.85
-# With DISTANCE differing bits in BLOCKS blocks, BLOCKS - DISTANCE blocks are equal: 20 keys of 32 bits.
-BLOCKS = 6
+# A line's distinct words are dealt to BLOCKS blocks by hash, each with a SimHash of its own words. A replaced
+# word touches at most two blocks, an added or missing one a single block: EQUAL others stay as they are.
+BLOCKS = 5
+EQUAL = 3
+BLOCK_BITS = 24
+# Equal blocks must hold this many distinct words between them: fewer say nothing of a line.
+EQUAL_WORDS = 3
+# Up to so many distinct words, each word is a block, and all blocks but one must be equal.
+SHORT = 10
 # Bits of the table that tells most documents without a wanted line from the others: 2 MB at any size of
 # the corpus. Chance hits, more of them as it fills, only send documents through a join that finds nothing.
 MARK_BITS = 24
@@ -33,7 +39,9 @@ FOLD[ord("0") : ord("9") + 1] = ord("0")
 
 # Names used on the way; columns of the input that are called so are set aside.
 OWN = ("version", "_id", "_version", "_gone", "_hit", "_word", "_bit", "_bits")
-LINES = "doc_id long, version long, line int, id long, info long"
+LINES = "doc_id long, version long, line int, id long, chars int, words int, blocks array<int>"
+# Bits of a line's number within a slice, in the sorting of its words; a text has fewer lines of three words.
+_LINE_BITS = 29
 
 
 def _line_slice(part: Slice) -> tuple[Slice, np.ndarray, np.ndarray]:
@@ -51,37 +59,86 @@ def _line_slice(part: Slice) -> tuple[Slice, np.ndarray, np.ndarray]:
 
 
 def _simhash(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64-bit SimHash of consecutive, non-empty groups of word hashes."""
-    found = np.zeros(len(starts), _U)
-    ends = np.concatenate([starts[1:], [len(hashes)]])
-    size = ends - starts
-    for byte in range(8):
+    """SimHash of BLOCK_BITS bits of consecutive, non-empty groups of word hashes."""
+    found = np.zeros(len(starts), np.int64)
+    size = np.diff(np.append(starts, len(hashes)))
+    for byte in range(BLOCK_BITS // 8):
         bits = np.unpackbits((hashes >> _U(8 * byte)).astype(np.uint8)[:, None], axis=1, bitorder="little")
         ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         set_ = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little")[:, 0]
-        found |= set_.astype(_U) << _U(8 * byte)
+        found |= set_.astype(np.int64) << (8 * byte)
     return found
 
 
+def _piece_ends(data: np.ndarray) -> np.ndarray | None:
+    """Bytes that end a piece of a script without spaces: after one in three of its characters.
+
+    Which characters these are depends on themselves alone, so a changed one leaves all but its neighbours'
+    pieces as they are. Characters of three or four bytes count as such a script.
+    """
+    if not (data >= 0xE0).any():
+        return None
+    inner = np.concatenate([[False, False], (data & 0xC0) == 0x80, [False]])
+    last = inner[2:-1] & inner[1:-2] & ~inner[3:]
+    return last & (data % 3 == 0)
+
+
+def _blocks(line: np.ndarray, hashes: np.ndarray, lines: int) -> tuple[np.ndarray, pa.Array]:
+    """Number of distinct words of each line, and its blocks.
+
+    Blocks are one number per word up to SHORT words, then one per block from SHORT words on: its SimHash and, above
+    it, its number of words, at most EQUAL_WORDS.
+    """
+    dealt = mix64(hashes)
+    kind = (dealt >> _U(32)) % _U(BLOCKS)
+    key = np.unique((line.astype(_U) << _U(64 - _LINE_BITS)) | (kind << _U(32)) | (dealt & _U(0xFFFFFFFF)))
+    group = key >> _U(32)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(key) else np.zeros(0, np.int64)
+    owner = (key >> _U(64 - _LINE_BITS)).astype(np.int64)
+    count = np.bincount(owner, minlength=lines)
+    size = np.diff(np.append(starts, len(key)))
+    whole = np.zeros((lines, BLOCKS), np.int64)
+    if len(key):
+        place = (group[starts] & _U(7)).astype(np.int64)
+        sims = _simhash(mix64(key & _U((1 << 35) - 1)), starts)
+        whole[owner[starts], place] = sims | (np.minimum(size, EQUAL_WORDS) << BLOCK_BITS)
+    singles = np.where(count <= SHORT, count, 0)
+    lengths = singles + np.where(count >= SHORT, BLOCKS, 0)
+    begin = np.cumsum(lengths) - lengths
+    values = np.zeros(int(lengths.sum()), np.int32)
+    rank = np.arange(len(key)) - np.repeat(np.cumsum(count) - count, count)
+    short = count[owner] <= SHORT
+    values[(begin[owner] + rank)[short]] = key[short].astype(np.uint32).view(np.int32)
+    long_ = np.flatnonzero(count >= SHORT)
+    values[(begin + singles)[long_][:, None] + np.arange(BLOCKS)] = whole[long_]
+    return count, list_array(lengths, pa.array(values))
+
+
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place, identity (hash of the normalised words) and SimHash of every line of enough words."""
+    """Place, identity (hash of the normalised words), length and blocks of every line of enough words."""
     for batch in batches:
         for part in slices(batch.column(2)):
             lines, rows, number = _line_slice(part)
             words = find_words(lines, ALNUM, FOLD)
-            wanted = np.flatnonzero(words.count >= LINE_WORDS)
-            keep = np.repeat(words.count >= LINE_WORDS, words.count)
-            hashes = words.hash[keep]
+            ends = _piece_ends(lines.data)
+            pieces = words if ends is None else find_words(lines, ALNUM, FOLD, ends)
+            enough = pieces.count >= LINE_WORDS
+            wanted = np.flatnonzero(enough)
+            hashes = words.hash[np.repeat(enough, words.count)]
             count = words.count[wanted]
             starts = np.cumsum(count) - count
-            ids = sims = np.zeros(0, _U)
-            if len(wanted):
-                sums = np.zeros(len(hashes) + 1, _U)
-                place = np.arange(len(hashes)) - np.repeat(starts, count)
-                turn = hashes * (_U(2) * place.astype(_U) + _U(0x9E3779B97F4A7C15))
-                np.cumsum(turn ^ (turn >> _U(29)), out=sums[1:])
-                ids = sequence_hash(sums[starts + count] - sums[starts] + count.astype(_U), 1)
-                sims = _simhash(hashes, starts)
+            sums = np.zeros(len(hashes) + 1, _U)
+            place = np.arange(len(hashes)) - np.repeat(starts, count)
+            turn = hashes * (_U(2) * place.astype(_U) + _U(0x9E3779B97F4A7C15))
+            np.cumsum(turn ^ (turn >> _U(29)), out=sums[1:])
+            ids = sequence_hash(sums[starts + count] - sums[starts] + count.astype(_U), 1)
+            # code points of the words and the spaces between them
+            points = np.concatenate([[0], np.cumsum((lines.data & 0xC0) != 0x80)])
+            sizes = np.bincount(words.row, points[words.end] - points[words.start], len(enough)).astype(np.int64)
+            chars = (sizes + words.count - 1)[wanted]
+            held = np.repeat(enough, pieces.count)
+            fresh = np.cumsum(enough) - 1
+            distinct, blocks = _blocks(fresh[pieces.row[held]], pieces.hash[held], len(wanted))
             own = pa.array(rows[wanted])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -89,27 +146,33 @@ def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     batch.column(1).slice(part.first, part.rows).take(own),
                     pa.array(number[wanted].astype(np.int32)),
                     pa.array(signed(ids)),
-                    pa.array(signed(sims)),
+                    pa.array(chars.astype(np.int32)),
+                    pa.array(distinct.astype(np.int32)),
+                    blocks,
                 ],
-                ["doc_id", "version", "line", "id", "info"],
+                ["doc_id", "version", "line", "id", "chars", "words", "blocks"],
             )
 
 
-def _block_keys(sim: Column) -> Column:
-    """One key per choice of blocks that may all be equal."""
-    edges = [round(64 * i / BLOCKS) for i in range(BLOCKS + 1)]
-
-    def bits(block: int) -> Column:
-        width = edges[block + 1] - edges[block]
-        return F.shiftrightunsigned(sim, edges[block]).bitwiseAND(F.lit((1 << width) - 1))
+def _block_keys(words: Column, blocks: Column) -> Column:
+    """One key per choice of blocks that may all be equal.
 
-    keys = []
-    for number, chosen in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE)):
-        key = F.lit(number).cast("long")
-        for block in chosen:
-            key = F.shiftleft(key, edges[block + 1] - edges[block]).bitwiseOR(bits(block))
-        keys.append(key)
-    return F.array(*keys)
+    Lines of up to SHORT words: all words, and from four words on all but one of them. Longer ones: EQUAL
+    of the blocks. Lines of just SHORT words have both, to meet those with a word more or less.
+    """
+    each = F.transform(F.slice(blocks, 1, words), lambda word: F.xxhash64(word))
+    every = F.aggregate(each, F.lit(0).cast("long"), lambda total, one: total.bitwiseXOR(one))
+    alone = F.when(words <= EQUAL_WORDS, F.array(every)).otherwise(
+        F.concat(F.array(every), F.transform(each, lambda one: every.bitwiseXOR(one)))
+    )
+    first = F.when(words == SHORT, SHORT).otherwise(0)
+    several = []
+    for number, chosen in enumerate(combinations(range(BLOCKS), EQUAL)):
+        parts = [F.get(blocks, first + place) for place in chosen]
+        held = sum((F.shiftright(part, BLOCK_BITS) for part in parts), F.lit(0))
+        several.append(F.when(held >= EQUAL_WORDS, F.xxhash64(F.lit(number), *parts)))
+    several = F.array_compact(F.array(*several))
+    return F.when(words < SHORT, alone).when(words > SHORT, several).otherwise(F.concat(alone, several))
 
 
 def normalised(line: Column) -> Column:
@@ -118,9 +181,13 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
 
 
+def _allowed(longest: Column) -> Column:
+    """Edits that two lines may be apart, the longer of so many characters."""
+    return F.floor(longest * F.lit(1 - EDIT_SIMILARITY)).cast("int")
+
+
 def _similar(left: Column, right: Column) -> Column:
-    longest = F.greatest(F.length(left), F.length(right))
-    allowed = F.floor(longest * F.lit(1 - EDIT_SIMILARITY)).cast("int")
+    allowed = _allowed(F.greatest(F.length(left), F.length(right)))
     # the bounded form fills a band of the table only and gives -1 beyond the bound
     return F.call_function("levenshtein", left, right, allowed) >= 0
 
@@ -152,12 +219,16 @@ def _marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, plus ``n_lines, n_removed``.
 
-    Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their
-    SimHashes over words differ in at most 3 of 64 bits and their edit similarity, 1 - distance / longer length,
-    is 0.85 or more. Links are found by joining on pigeonhole blocks in star rounds
-    (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
-    number) stays in the whole table; all others go. Lines of fewer than 3 words always stay. Only documents
-    that lose a line, and those whose lines are compared, are shuffled with their text.
+    Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their edit similarity,
+    1 - distance / longer length, is 0.85 or more and they share a key: three of five blocks of distinct words with
+    equal SimHashes, or all words but one where there are at most 10. So a word replaced, added or left out is always
+    found if the rest is equal words, save where the equal blocks hold fewer than three of them; lines that differ in
+    more words are found by chance, the oftener the fewer they are. Links are found by joining on the keys in star
+    rounds (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
+    number) stays in the whole table; all others go. Lines of fewer than 3 words always stay; runs of characters
+    of three and more UTF-8 bytes are cut into pieces of some three characters, each of which counts as a word. Only
+    documents that lose a line, and those whose lines are compared, are shuffled with their text. Equal lines
+    are told by a 64-bit hash of their words.
 
     NULL text: no lines, stays NULL. NULL doc_id: comes before all ids. Rows repeating doc_id and text
     are one document and get the same result. Other columns pass through; ``n_lines`` and
@@ -168,12 +239,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), version.alias("version"), "text")
     seen = stage(source.mapInArrow(_read_lines, LINES), "lines")
     place = F.struct("doc_id", "version", "line")
+    # all lines of one id have the same words, so any stands for them
     lines = seen.groupBy("id").agg(
-        F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("info").alias("info")
+        F.min(place).alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        *(F.first(name).alias(name) for name in ("chars", "words", "blocks")),
     )
     lines = stage(lines, "distinct-lines")
     # one exchange serves the ranges of the buckets and the join that follows them
-    members = lines.select(F.explode(_block_keys(F.col("info"))).alias("bucket"), "id").repartition("bucket")
+    keys = _block_keys(F.col("words"), F.col("blocks"))
+    members = lines.select(F.explode(keys).alias("bucket"), "id").repartition("bucket")
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
@@ -199,9 +274,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         return joined.where(_similar(F.col("left"), F.col("right"))).select("a", "b")
 
     def close(one: Column, other: Column) -> Column:
-        return F.bit_count(one.bitwiseXOR(other)) <= DISTANCE
+        return F.abs(one - other) <= _allowed(F.greatest(one, other))
 
-    groups, _ = star_groups(members, lines.select("id", "info"), close, confirm, prepare)
+    groups, _ = star_groups(members, lines.select("id", F.col("chars").alias("info")), close, confirm, prepare)
     grouped = lines.join(groups, "id", "left").where((F.col("n") > 1) | F.col("component").isNotNull())
     grouped = grouped.withColumn("component", F.coalesce("component", "id"))
     heads = grouped.groupBy("component").agg(F.min("first").alias("head"))

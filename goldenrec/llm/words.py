@@ -97,8 +97,13 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
         first = last
 
 
-def find_words(part: Slice, kind: np.ndarray, fold: np.ndarray | None = None) -> Words:
-    """Words of a slice: maximal runs of bytes that ``kind`` allows, after ``fold`` is applied."""
+def find_words(
+    part: Slice, kind: np.ndarray, fold: np.ndarray | None = None, after: np.ndarray | None = None
+) -> Words:
+    """Words of a slice: maximal runs of bytes that ``kind`` allows, after ``fold`` is applied.
+
+    ``after`` marks bytes that end a word even inside such a run.
+    """
     data = part.data if fold is None else fold[part.data]
     size = len(data)
     inside = np.zeros(size + 2, bool)
@@ -109,6 +114,9 @@ def find_words(part: Slice, kind: np.ndarray, fold: np.ndarray | None = None) ->
     borders = borders[(borders > 0) & (borders < size)]
     begins[borders] = inside[1:-1][borders]
     ends[borders - 1] = inside[1:-1][borders - 1]
+    if after is not None:
+        ends |= inside[1:-1] & after
+        begins[1:] |= inside[2:-1] & after[:-1]
     start = np.flatnonzero(begins)
     end = np.flatnonzero(ends) + 1
     _grow(size + 1)

@@ -1,11 +1,12 @@
 """Line groups against all pairs of lines."""
 
+import random
 import re
 from collections import Counter
 
 import numpy as np
 
-from goldenrec.llm.line_dedup import DISTANCE, EDIT_SIMILARITY, FOLD, _read_lines, dedup_lines
+from goldenrec.llm.line_dedup import EDIT_SIMILARITY, FOLD, SHORT, _read_lines, dedup_lines
 from goldenrec.llm.words import ALNUM, find_words, slices
 from tests.llm.conftest import prose, variant
 
@@ -17,6 +18,7 @@ FOLDING = {c: c + 32 for c in range(65, 91)} | {c: 48 for c in range(49, 58)}
 
 
 def simhash(line):
+    """Plain SimHash of all words, to pick pairs whose words differ in a known measure."""
     hashes = find_words(next(slices(pa.array([line]))), ALNUM, FOLD).hash
     ones = [2 * int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) > len(hashes) for b in range(64)]
     return sum(1 << b for b, one in enumerate(ones) if one)
@@ -47,13 +49,12 @@ def expected(rows):
             x = group[x]
         return x
 
-    sims = {n: simhash(n) for n in names}
     for a in names:
         for b in names:
-            if a < b and (sims[a] ^ sims[b]).bit_count() <= DISTANCE:
-                longest = max(len(a), len(b))
-                if edits(a, b) <= int(longest * (1 - EDIT_SIMILARITY)):
-                    group[find(a)] = find(b)
+            longest = max(len(a), len(b))
+            allowed = int(longest * (1 - EDIT_SIMILARITY))
+            if a < b and abs(len(a) - len(b)) <= allowed and edits(a, b) <= allowed:
+                group[find(a)] = find(b)
     heads = {}
     for n in names:
         heads[find(n)] = min(heads.get(find(n), first[n]), first[n])
@@ -123,3 +124,76 @@ def test_lines_of_a_slice_know_their_place():
     )
     (found,) = list(_read_lines(iter([batch])))
     assert found.column(0).to_pylist() == [1, 1, 3] and found.column(2).to_pylist() == [0, 2, 0]
+
+
+def changed_pairs(lengths, words, how, seeds):
+    """(line, changed line) pairs whose edit similarity holds, ``words`` of them changed."""
+    found = []
+    for size in lengths:
+        for seed in range(seeds):
+            rng = random.Random(1000 * size + seed)
+            line = prose(rng.random(), size, "abcdefghijklmnopqrstuvwxyz").split(" ")
+            other = list(line)
+            for place in rng.sample(range(size), words):
+                if how == "replace":
+                    other[place] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in other[place])
+                elif how == "drop":
+                    other[place] = ""
+                else:
+                    other[place] += " " + rng.choice("abcdefghij")
+            a, b = " ".join(line), " ".join(w for w in other if w)
+            if a != b and edits(a, b) <= int(max(len(a), len(b)) * (1 - EDIT_SIMILARITY)):
+                found.append((a, b))
+    return found
+
+
+def share_removed(spark, pairs):
+    rows = [(2 * i + k, text, "en", "old") for i, pair in enumerate(pairs) for k, text in enumerate(pair)]
+    found = {r.doc_id: r.n_removed for r in dedup_lines(spark.createDataFrame(rows, KEPT)).collect()}
+    assert all(found[2 * i] == 0 for i in range(len(pairs)))
+    return sum(found[2 * i + 1] for i in range(len(pairs))) / len(pairs)
+
+
+def test_recall_of_lines_of_10_to_60_words(spark):
+    for how in ("replace", "drop", "add"):
+        pairs = changed_pairs(range(10, 61, 2), 1, how, 12)
+        assert len(pairs) > 150
+        assert share_removed(spark, pairs) >= 0.97, how
+
+
+def test_short_lines_with_one_word_more_less_or_changed(spark):
+    for how in ("replace", "drop", "add"):
+        pairs = changed_pairs(range(5, SHORT + 2), 1, how, 30)
+        assert len(pairs) > 20
+        assert share_removed(spark, pairs) >= 0.95, how
+
+
+def test_one_word_in_half_the_places(spark):
+    rows = [(i, " ".join(f"the {word}" for word in prose(i, 12, "abcdefghijklmnop").split(" ")), "en", "old") for i in range(300)]
+    found = dedup_lines(spark.createDataFrame(rows, KEPT)).collect()
+    assert {r.doc_id: r.text for r in found} == expected([r[:2] for r in rows])
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(3)
+    line = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(33))
+    changed = line[:16] + "\u4e00" + line[17:]
+    thai = "".join(chr(rng.randint(0x0E01, 0x0E2E)) for _ in range(60))
+    rows = [
+        (1, line + "\nown words of one"), (2, "own words of two\n" + line), (3, changed), (4, thai), (5, thai),
+        (6, "\u4e8c\u4e8c"), (7, "\u4e8c\u4e8c"),
+    ]
+    found = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame([(*r, "zh", "old") for r in rows], KEPT)).collect()}
+    assert found == {**dict(rows), 2: "own words of two", 3: "", 5: ""}
+
+
+def test_keys_do_not_depend_on_the_neighbours_of_a_line():
+    def read(texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([0] * len(texts)), pa.array(texts)], ["d", "v", "t"])
+        (found,) = list(_read_lines(iter([batch])))
+        return found.slice(found.num_rows - 1).drop_columns(["doc_id", "line"]).to_pylist()
+
+    for size in (3, SHORT, 40):
+        line = prose(8, size, "abcdefghijklmnopqrstuvwxyz")
+        assert read([line]) == read([prose(9, 50), "x\ny z \u4e8c\u4e09\u4e94\u4e8c", prose(1, 90) + "\n" + line])
+        assert read([line])[0]["chars"] == len(line)
