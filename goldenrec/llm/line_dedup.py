@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.llm.columns import apart
 from goldenrec.llm.links import star_groups
-from goldenrec.llm.words import ALNUM, LOWER, Slice, find_words, list_array, mix64, sequence_hash, signed, slices
+from goldenrec.llm.words import ALNUM, LOWER, Slice, cut, find_words, list_array, mix64, sequence_hash, signed, slices
 from goldenrec.session import stage
 
 # Lines of fewer words are left alone: headings, blank lines, list marks. Scripts without spaces count by pieces.
@@ -21,13 +22,15 @@ LINE_WORDS = 3
 EDIT_SIMILARITY = 0.85
 # A line's distinct words are dealt to BLOCKS blocks by hash, each with a SimHash of its own words. A replaced
 # word touches at most two blocks, an added or missing one a single block: EQUAL others stay as they are.
-BLOCKS = 5
-EQUAL = 3
+BLOCKS = 4
+EQUAL = 2
 BLOCK_BITS = 24
 # Equal blocks must hold this many distinct words between them: fewer say nothing of a line.
 EQUAL_WORDS = 3
+# Bins of trigram counts, which bound the edit distance of a pair from below.
+GRAM_BITS = 12
 # Up to so many distinct words, each word is a block, and all blocks but one must be equal.
-SHORT = 10
+SHORT = 12
 # Bits of the table that tells most documents without a wanted line from the others: 2 MB at any size of
 # the corpus. Chance hits, more of them as it fills, only send documents through a join that finds nothing.
 MARK_BITS = 24
@@ -186,10 +189,63 @@ def _allowed(longest: Column) -> Column:
     return F.floor(longest * F.lit(1 - EDIT_SIMILARITY)).cast("int")
 
 
-def _similar(left: Column, right: Column) -> Column:
-    allowed = _allowed(F.greatest(F.length(left), F.length(right)))
-    # the bounded form fills a band of the table only and gives -1 beyond the bound
-    return F.call_function("levenshtein", left, right, allowed) >= 0
+def _same_start(left: str, right: str) -> int:
+    """Length of the common prefix, by halving."""
+    low, high = 0, min(len(left), len(right))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if left[low:middle] == right[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _grams(text: str) -> np.ndarray:
+    """Counts of the text's trigrams, in 2**GRAM_BITS bins."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    grams = (points[:-2] * np.uint32(0x9E3779B1) ^ points[1:-1] * np.uint32(0x85EBCA77)) + points[2:] * np.uint32(0xC2B2AE3D)
+    return np.bincount(grams >> np.uint32(32 - GRAM_BITS), minlength=1 << GRAM_BITS)
+
+
+def _too_far(left: str, right: str, allowed: int) -> bool:
+    """Whether the trigrams alone show more edits: each changes at most three on either side."""
+    if min(len(left), len(right)) < 64:
+        return False
+    return int(np.abs(_grams(left) - _grams(right)).sum()) > 6 * allowed
+
+
+def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines without what they begin and end alike with, which takes no edit, and the edits allowed to all.
+
+    Pairs that their trigrams show to be too far apart are left out.
+    """
+    for batch in batches:
+        for part in cut(batch, [2, 3]):
+            kept, lefts, rights, bounds = [], [], [], []
+            for place, (left, right) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+                allowed = math.floor(max(len(left), len(right)) * (1 - EDIT_SIMILARITY))
+                first = _same_start(left, right)
+                left, right = left[first:], right[first:]
+                last = _same_start(left[::-1], right[::-1])
+                left, right = left[: len(left) - last], right[: len(right) - last]
+                if not _too_far(left, right, allowed):
+                    kept.append(place)
+                    lefts.append(left)
+                    rights.append(right)
+                    bounds.append(allowed)
+            ids = part.select([0, 1]).take(pa.array(kept, pa.int64()))
+            cores = [pa.array(lefts, pa.string()), pa.array(rights, pa.string()), pa.array(bounds, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*ids.columns, *cores], ["a", "b", "left", "right", "allowed"])
+
+
+def _similar(left: Column, right: Column, allowed: Column) -> Column:
+    """Whether the edits are allowed: the bounded form fills a band of the table only and gives -1 beyond it."""
+    # a narrow band settles most pairs that are similar
+    return F.coalesce(*(
+        F.when(F.call_function("levenshtein", left, right, bound) >= 0, True)
+        for bound in (F.shiftright(allowed, 4), F.shiftright(allowed, 2), allowed)
+    ), F.lit(False))
 
 
 def _text_lines(text: Column) -> Column:
@@ -220,8 +276,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, plus ``n_lines, n_removed``.
 
     Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their edit similarity,
-    1 - distance / longer length, is 0.85 or more and they share a key: three of five blocks of distinct words with
-    equal SimHashes, or all words but one where there are at most 10. So a word replaced, added or left out is always
+    1 - distance / longer length, is 0.85 or more and they share a key: two of four blocks of distinct words with
+    equal SimHashes, or all words but one where there are at most 12. So a word replaced, added or left out is always
     found if the rest is equal words, save where the equal blocks hold fewer than three of them; lines that differ in
     more words are found by chance, the oftener the fewer they are. Links are found by joining on the keys in star
     rounds (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
@@ -260,18 +316,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         holders = _marked(source, _marks(wanted)).where("_hit")
         wanted = wanted.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version"))
-        cut = holders.join(wanted, same).select("wanted", _text_lines(F.col("text")).alias("cut"))
+        held = holders.join(wanted, same).select("wanted", _text_lines(F.col("text")).alias("cut"))
         each = F.transform(
             "wanted", lambda one: F.struct(one["id"].alias("id"), F.get("cut", one["line"]).alias("text"))
         )
-        found = cut.select(F.explode(each).alias("one")).select("one.id", normalised(F.col("one.text")).alias("text"))
+        found = held.select(F.explode(each).alias("one")).select("one.id", normalised(F.col("one.text")).alias("text"))
         texts.append(stage(found.dropDuplicates(["id"]), "line-texts"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         left = texts[0].select(F.col("id").alias("a"), F.col("text").alias("left"))
         right = texts[0].select(F.col("id").alias("b"), F.col("text").alias("right"))
-        joined = pairs.join(left, "a").join(right, "b")
-        return joined.where(_similar(F.col("left"), F.col("right"))).select("a", "b")
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        joined = joined.mapInArrow(_cores, "a long, b long, left string, right string, allowed int")
+        return joined.where(_similar(F.col("left"), F.col("right"), F.col("allowed"))).select("a", "b")
 
     def close(one: Column, other: Column) -> Column:
         return F.abs(one - other) <= _allowed(F.greatest(one, other))
@@ -297,12 +354,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     whole = kept.where(~F.col("_hit")).withColumn("_gone", F.lit(None).cast("array<int>"))
     joined = touched.unionByName(whole)
     removed = F.coalesce("_gone", F.array().cast("array<int>"))
-    cut = _text_lines(F.col("text"))
-    rest = F.filter(cut, lambda line, number: ~F.array_contains(removed, number))
+    all_lines = _text_lines(F.col("text"))
+    rest = F.filter(all_lines, lambda line, number: ~F.array_contains(removed, number))
     text = F.when(F.size(removed) > 0, F.array_join(rest, "\n")).otherwise(F.col("text"))
     result = joined.withColumns(
         {
-            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(cut)).cast("long"),
+            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(all_lines)).cast("long"),
             "n_removed": F.size(removed).cast("long"),
             "text": text,
         }
