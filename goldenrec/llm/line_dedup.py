@@ -94,7 +94,9 @@ def _blocks(line: np.ndarray, hashes: np.ndarray, lines: int) -> tuple[np.ndarra
     """
     dealt = mix64(hashes)
     kind = (dealt >> _U(32)) % _U(BLOCKS)
-    key = np.unique((line.astype(_U) << _U(64 - _LINE_BITS)) | (kind << _U(32)) | (dealt & _U(0xFFFFFFFF)))
+    key = np.sort((line.astype(_U) << _U(64 - _LINE_BITS)) | (kind << _U(32)) | (dealt & _U(0xFFFFFFFF)))
+    # sorted, equal words of a line stand side by side
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
     group = key >> _U(32)
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(key) else np.zeros(0, np.int64)
     owner = (key >> _U(64 - _LINE_BITS)).astype(np.int64)
@@ -215,10 +217,27 @@ def _too_far(left: str, right: str, allowed: int) -> bool:
     return int(np.abs(_grams(left) - _grams(right)).sum()) > 6 * allowed
 
 
+def _near(left: str, right: str, allowed: int) -> bool:
+    """Whether one alignment of the words, not always the best, needs no more edits than allowed."""
+    a, b = left.split(" "), right.split(" ")
+    i = j = total = 0
+    while i < len(a) and j < len(b) and total <= allowed:
+        if a[i] == b[j]:
+            i, j = i + 1, j + 1
+        elif i + 1 < len(a) and a[i + 1] == b[j]:
+            total, i = total + len(a[i]) + 1, i + 1
+        elif j + 1 < len(b) and a[i] == b[j + 1]:
+            total, j = total + len(b[j]) + 1, j + 1
+        else:
+            total, i, j = total + max(len(a[i]), len(b[j])), i + 1, j + 1
+    return total + sum(len(word) + 1 for word in a[i:] + b[j:]) <= allowed
+
+
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of lines without what they begin and end alike with, which takes no edit, and the edits allowed to all.
 
-    Pairs that their trigrams show to be too far apart are left out.
+    Pairs that a simple alignment shows to be near enough come without any text, those that their trigrams show to be
+    too far apart not at all.
     """
     for batch in batches:
         for part in cut(batch, [2, 3]):
@@ -229,6 +248,8 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left, right = left[first:], right[first:]
                 last = _same_start(left[::-1], right[::-1])
                 left, right = left[: len(left) - last], right[: len(right) - last]
+                if _near(left, right, allowed):
+                    left = right = ""
                 if not _too_far(left, right, allowed):
                     kept.append(place)
                     lefts.append(left)
