@@ -39,12 +39,24 @@ def _optional(name: str, value: Column) -> Column:
     return F.when(value.isNull(), F.lit("")).otherwise(_line(name, value))
 
 
+def _escaped(url: Column) -> Column:
+    for sign, code in (("%", "%25"), ("\r", "%0D"), ("\n", "%0A")):
+        url = F.replace(url, F.lit(sign), F.lit(code))
+    return url
+
+
+def _unescaped(url: Column) -> Column:
+    for sign, code in (("\n", "%0A"), ("\r", "%0D"), ("%", "%25")):
+        url = F.replace(url, F.lit(code), F.lit(sign))
+    return url
+
+
 def make_archive(pages: DataFrame, date: str = CRAWL_DATE) -> Archive:
     """The two tables of the archive of ``pages(page_id, url, html)``, one record per row.
 
     Of rows with equal payloads of at least 100 bytes, those with the smallest page_id are responses and
-    the others revisit it. NULL html: empty payload. NULL url: no target line; line breaks in a url are
-    percent-encoded. NULL page_id: no id line, a revisit if an equal payload has an id, else a response.
+    the others revisit it. NULL html: empty payload. NULL url: no target line, an empty one: an empty line; line
+    breaks in a url are percent-encoded, and a second line has such a url in a form that gives it back. NULL page_id: no id line, a revisit if an equal payload has an id, else a response.
     Rows repeating page_id and html are records each, of one kind. Other columns are ignored.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -58,12 +70,14 @@ def make_archive(pages: DataFrame, date: str = CRAWL_DATE) -> Archive:
     revisit = (F.col("bytes") >= REVISIT_BYTES) & ~page_id.eqNullSafe(first)
     kind = F.when(revisit, "revisit").otherwise("response")
     url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    broken = F.col("url").rlike(r"[\r\n]")
     header = F.concat(
         F.lit(f"WARC/1.1{BREAK}"),
         _line("WARC-Type", kind),
         _line("WARC-Record-ID", _record_id(page_id, digest)),
         _line("WARC-Date", F.lit(date)),
         _optional("WARC-Target-URI", url),
+        _optional("WARC-Target-URI-Escaped", F.when(broken, _escaped(F.col("url")))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
         _optional("WARC-Page-ID", page_id.cast("string")),
         _optional("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
@@ -106,10 +120,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     lost = F.raise_error(F.concat(F.lit("no payload with digest "), F.col("_told")))
     payload = F.coalesce("payload", lost.cast("binary"))
     kind = _field(text, "WARC-Type")
+    empty = F.when(F.contains(text, F.lit(f"{BREAK}WARC-Target-URI: {BREAK}")), F.lit(""))
+    url = F.coalesce(_unescaped(_field(text, "WARC-Target-URI-Escaped")), _field(text, "WARC-Target-URI"), empty)
     block = F.when(kind == "revisit", F.lit(b"")).otherwise(payload)
     return joined.select(
         _field(text, "WARC-Page-ID").cast("long").alias("page_id"),
-        _field(text, "WARC-Target-URI").alias("url"),
+        url.alias("url"),
         kind.alias("record_type"),
         _field(text, "WARC-Refers-To-Page-ID").cast("long").alias("refers_to"),
         "header",
