@@ -299,8 +299,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Lines are cut at line feeds. Normalised, equal lines are one; two different ones link when their edit similarity,
     1 - distance / longer length, is 0.85 or more and they share a key: two of four blocks of distinct words with
     equal SimHashes, or all words but one where there are at most 12. So a word replaced, added or left out is always
-    found if the rest is equal words, save where the equal blocks hold fewer than three of them; lines that differ in
-    more words are found by chance, the oftener the fewer they are. Links are found by joining on the keys in star
+    found if the rest is equal words, save where the equal blocks hold fewer than three of them or a line has at most
+    three distinct words, which must then be the same; lines that differ in more words are found by chance, the
+    oftener the fewer they are. Links are found by joining on the keys in star
     rounds (``links.star_groups``). Of each connected group the occurrence with the smallest (doc_id, line
     number) stays in the whole table; all others go. Lines of fewer than 3 words always stay; runs of characters
     of three and more UTF-8 bytes are cut into pieces of some three characters, each of which counts as a word. Only
