@@ -27,3 +27,13 @@ def test_query(spark, connection, name):
 def test_entry(spark):
     row = entry(spark).first()
     assert row.clientes_unicos > row.em_mais_de_uma_subsidiaria > 0
+
+
+def test_columns_that_differ_in_case_are_stored_and_read(spark, tmp_path):
+    frame = queries()["sql_normalizers"](spark, SF)
+    frame.write.parquet(f"{tmp_path}/out")
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert stored.columns == frame.columns and {"Nome", "nome"} <= set(stored.columns)
+    assert stored.exceptAll(frame).isEmpty() and frame.exceptAll(stored).isEmpty()
+    queries()["iso_dates"](spark, SF)
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
