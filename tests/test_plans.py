@@ -1,5 +1,7 @@
 """Plans the operators must have to hold at scale."""
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -13,6 +15,7 @@ from goldenrec.operators.resolve import resolve_entities
 from goldenrec.plans.queries import QUERIES, lake, silver
 from goldenrec.schemas import SILVER
 from goldenrec.session import stage
+from goldenrec.sources import registries
 from helpers import DEFAULTS, RUN_TS
 
 SF = "/root/testdata/sf0.001"
@@ -124,3 +127,24 @@ def test_lookups_reach_the_files(spark):
 def test_first_pages_are_a_distributed_top_n(spark):
     golden = lake(spark, SF).tables["golden_clientes"]
     assert "TakeOrderedAndProject" in plan(search.search(golden, q="a").data)
+
+
+@pytest.mark.parametrize("kind", ["clientes", "fornecedores"])
+def test_code_of_a_derived_line_can_be_compiled(spark, kind):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        registries.derive_registry(spark, SF, "empresa_d", kind).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    # the JVM interprets longer methods
+    assert sizes and max(sizes) < 8000
+
+
+def test_source_rows_are_dealt_by_their_number(spark, monkeypatch):
+    whole = {key: frame.collect() for key, frame in registries.derive_all(spark, SF).items()}
+    monkeypatch.setattr(registries, "TASK_ROWS", 100)
+    for key, frame in registries.derive_all(spark, SF).items():
+        assert sorted(map(str, frame.collect())) == sorted(map(str, whole[key]))
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    dealt = registries.read_table(spark, SF, "lineitem")
+    assert dealt.rdd.getNumPartitions() == -(-lines // 100)
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < lines / 5
