@@ -99,3 +99,16 @@ def test_no_golden_rows(spark, golden, tmp_path):
     assert Index(spark, str(tmp_path / "none")).search(q="ana").total == 0
     with pytest.raises(FileNotFoundError):
         Index(spark, str(tmp_path / "absent"))
+
+
+def test_long_lists_and_ids_of_any_form(spark, golden, tmp_path, monkeypatch):
+    wanted = {tuple(row) for row in postings._grams(golden).collect()}
+    assert len(wanted) == postings._grams(golden).count() > 100
+    monkeypatch.setattr(postings, "LIST_TEXTS", 0)
+    assert {tuple(row) for row in postings._grams(golden).collect()} == wanted
+    assert postings._grams(golden).count() == len(wanted)
+    ids = [None, "", "x", "0123456789abcdef", "AB" * 16, "ab" * 16, "é" * 16]
+    packed = spark.createDataFrame([(one,) for one in ids], "id string").select("id", postings._packed(F.col("id")).alias("p"))
+    assert [row.u for row in packed.select(postings._unpacked(F.col("p")).alias("u")).collect()] == ids
+    # an md5 takes 16 bytes of the postings and not 32
+    assert [row.n for row in packed.select(F.length("p").alias("n")).collect()][-2] == 16
