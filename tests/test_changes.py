@@ -1,10 +1,14 @@
 """The change feed against the newest row per key over the same rows."""
 
+import glob
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from goldenrec.operators.latest import latest_per_key
+from goldenrec.plans import queries
+from goldenrec.session import run_folder
 from goldenrec.streaming import tables
 from goldenrec.streaming.changes import feed_events, feed_table, start_feed
 from helpers import as_set
@@ -72,3 +76,18 @@ def test_before_the_first_row(spark, tmp_path):
     schema = spark.createDataFrame([], SCHEMA).schema
     assert feed_table(spark, str(tmp_path), schema).count() == 0
     assert feed_events(spark, str(tmp_path), schema).count() == 0
+
+
+def test_events_of_one_month_come_in_files_of_bounded_size(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    events = queries.table(spark, folder, "events")
+    monkeypatch.setattr(queries, "TASK_ROWS", 50)
+    feeds = f"{run_folder(spark).removeprefix('file:')}/feed-*"
+    known = set(glob.glob(feeds))
+    newest = queries.change_feed(spark, folder)
+    wanted = latest_per_key(events, ["user_id"], "ts", ()).select(newest.columns)
+    assert as_set(newest) == as_set(wanted)
+    (feed,) = set(glob.glob(feeds)) - known
+    landed = spark.read.parquet(f"{feed}/in")
+    assert landed.count() == events.count()
+    assert landed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < events.count() / 4
