@@ -18,6 +18,8 @@ from goldenrec.session import run_folder, stage
 
 # Factor from one round's number of centres per bucket to the next.
 GROWTH = 256
+# Buckets of at most so many members have every pair formed that passes the cheap test.
+FEW = 16
 
 
 class Scratch:
@@ -92,6 +94,22 @@ def _merged(groups: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.saved(scratch.few(old.unionByName(new)))
 
 
+def _related(
+    live: DataFrame, relate: Callable[[DataFrame], DataFrame], central: Callable[[Column], Column]
+) -> DataFrame:
+    """``live``, its info with a ``view``: what ``relate`` tells of a member and the bucket's most central one.
+
+    Buckets of few members have NULL there.
+    """
+    order = F.struct(central(F.col("info")), F.xxhash64("id"), F.col("id"))
+    many = live.groupBy("bucket").agg(F.min_by("id", order).alias("centre"), F.count(F.lit(1)).alias("size"))
+    many = many.where(F.col("size") > FEW).select("bucket", "centre")
+    placed = live.join(many, "bucket", "left")
+    views = relate(placed.where("centre is not null").select("centre", "id").distinct())
+    names = [F.col(name) for name in live.columns if name != "info"]
+    return placed.join(views, ["centre", "id"], "left").select(*names, F.struct("info.*", "view").alias("info"))
+
+
 def star_groups(
     members: DataFrame,
     infos: DataFrame,
@@ -100,6 +118,8 @@ def star_groups(
     prepare: Callable[[DataFrame], None] = lambda ids: None,
     refine: Callable[[DataFrame], DataFrame] | None = None,
     central: Callable[[Column], Column] = lambda info: F.lit(0),
+    relate: Callable[[DataFrame], DataFrame] | None = None,
+    closer: Callable[[Column, Column], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Connected groups of ids that share a bucket and pass ``confirm``; (groups, links).
 
@@ -107,7 +127,9 @@ def star_groups(
     ``confirm`` takes ``pairs(a, b)`` with a < b and returns those that are links; ``prepare`` gets the ids of all
     buckets with more than one, before the first pair is confirmed. ``refine`` may give the ids that are
     left after the first round a sharper info (``id, info``): what it knows of them it may measure among
-    these ids alone, since all that can still be a partner is one of them.
+    these ids alone, since all that can still be a partner is one of them. ``relate`` gives what tells members of
+    a large bucket apart by their relation to one of them: for ``stars(centre, id)`` it returns ``centre, id, view``.
+    From the round of 256 centres on, info holds that view (NULL in small buckets) and ``closer`` stands for ``close``.
 
     Candidates are stars: in each round some members of a bucket, its centres, are compared with all
     members of other groups. One centre per bucket first, then the one with the least ``central(info)``,
@@ -149,6 +171,8 @@ def star_groups(
         if sharper:
             known = sharper(live.select("id").distinct())
             live, sharper = saved(scratch.few(live.drop("info").join(known, "id"))), None
+        if relate and width > 1:
+            live, relate, close = saved(scratch.few(_related(live, relate, central))), None, closer or close
         # the most central one may well be in the largest group: it gathers most of the others
         pool = live if width == 1 else live.where(F.col("component") != F.col("main"))
         turn = Window.partitionBy("bucket").orderBy(central(F.col("info")), F.xxhash64("id"), "id")

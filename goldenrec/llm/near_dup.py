@@ -35,6 +35,8 @@ BAND_ROWS = 4
 BINS = BANDS * BAND_ROWS
 # Probes of an empty bin before the next filled one is taken; one filled bin of 128 needs 128 on average.
 PROBES = 2048
+# Parts of the shingles, by hash, in which two members of a large bucket are compared by counts.
+PARTS = 32
 
 SIGNED = "doc_id long, n_shingles long, node long, bands array<long>, version long"
 
@@ -154,6 +156,45 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select([0, 1]).filter(pa.array(similar))
 
 
+def _view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of a text by part: those that its centre has, then those that neither this nor any other text alone has.
+
+    ``same`` and ``beside`` count them over all parts. A part's counts of two texts bound what they can have in common in it.
+    """
+    for batch in batches:
+        for part in cut(batch, [2, 3]):
+            rows = part.num_rows
+            mine = shingle_rows(part.column(2))
+            both = np.concatenate([mine, shingle_rows(part.column(3))])
+            both = both[np.lexsort((both[:, 1], both[:, 0]))]
+            shared = both[1:][(both[1:] == both[:-1]).all(axis=1)]
+            same, rest = _by_part(shared, rows), _by_part(mine, rows)
+            rest -= same
+            own = part.column(4)
+            known = np.flatnonzero(np.asarray(own.is_valid()))
+            if len(known):
+                rest[known] -= np.asarray(own.drop_null().flatten()).reshape(-1, PARTS)
+            # the centre's own shingles are among those that it has
+            rest = np.maximum(rest, 0)
+            counts = np.concatenate([same, rest], axis=1).astype(np.int32).reshape(-1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    part.column(1),
+                    pa.array(same.sum(axis=1)),
+                    pa.array(rest.sum(axis=1)),
+                    list_array(np.full(rows, 2 * PARTS), pa.array(counts)),
+                ],
+                ["centre", "id", "same", "beside", "parts"],
+            )
+
+
+def _by_part(found: np.ndarray, rows: int) -> np.ndarray:
+    """Shingles of each row in each part."""
+    place = found[:, 0] * _U(PARTS) + found[:, 1] % _U(PARTS)
+    return np.bincount(place.astype(np.int64), minlength=rows * PARTS).reshape(rows, PARTS)
+
+
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per distinct shingle of each text."""
     for batch in batches:
@@ -195,6 +236,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = nodes.select(F.explode("bands").alias("bucket"), F.col("node").alias("id"))
     infos = nodes.select(F.col("node").alias("id"), F.struct("n", F.lit(0).cast("long").alias("own")).alias("info"))
     texts: list[DataFrame] = []
+    owned: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:
         """The texts of all candidates, one per node, stored once."""
@@ -213,21 +255,48 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def close(one: Column, other: Column) -> Column:
         """No pair can share more than either has in common with any other text."""
-        common = F.least(one["n"] - one["own"], other["n"] - other["own"])
+        return enough(one, other, F.least(one["n"] - one["own"], other["n"] - other["own"]))
+
+    def enough(one: Column, other: Column, common: Column) -> Column:
         return 100 * common >= SIMILAR * (one["n"] + other["n"] - common)
 
+    def closer(one: Column, other: Column) -> Column:
+        """Nor more than either has in common with the centre plus more than either shares with others beside it.
+
+        The same holds in every part of the shingles, and so for the sum over the parts.
+        """
+        mine, theirs = one["view"], other["view"]
+        whole = F.least(mine["same"], theirs["same"]) + F.least(mine["beside"], theirs["beside"])
+        least = F.zip_with(mine["parts"], theirs["parts"], lambda left, right: F.least(left, right))
+        parts = F.aggregate(least, F.lit(0), lambda total, part: total + part)
+        possible = enough(one, other, whole) & enough(one, other, parts)
+        return close(one, other) & F.coalesce(possible, F.lit(True))
+
     def refine(ids: DataFrame) -> DataFrame:
         """Info with the number of shingles that no other of these texts has."""
         left = texts[0].join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "text")
         alone = left.mapInArrow(_spell, "shingle long, node long").groupBy("shingle").agg(
             F.count(F.lit(1)).alias("nodes"), F.min("node").alias("id")
         )
-        alone = alone.where("nodes = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+        part = F.pmod("shingle", F.lit(PARTS))
+        spread = F.array(*[F.count_if(part == place).cast("int") for place in range(PARTS)])
+        alone = alone.where("nodes = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"), spread.alias("spread"))
+        owned.append(stage(alone, "minhash-owned"))
+        alone = owned[0].select("id", "own")
         sized = ids.join(nodes.select(F.col("node").alias("id"), "n"), "id").join(alone, "id", "left")
         return sized.select("id", F.struct("n", F.coalesce("own", F.lit(0).cast("long")).alias("own")).alias("info"))
 
+    def relate(stars: DataFrame) -> DataFrame:
+        mine = texts[0].withColumnRenamed("node", "id")
+        centre = texts[0].select(F.col("node").alias("centre"), F.col("text").alias("other"))
+        joined = stars.join(mine, "id").join(centre, "centre").join(owned[0].select("id", "spread"), "id", "left")
+        seen = joined.select("centre", "id", "text", "other", "spread").mapInArrow(
+            _view, "centre long, id long, same long, beside long, parts array<int>"
+        )
+        return seen.select("centre", "id", F.struct("same", "beside", "parts").alias("view"))
+
     groups, _ = star_groups(
-        members, infos, close, confirm, prepare, refine, lambda info: info["own"]
+        members, infos, close, confirm, prepare, refine, lambda info: info["own"], relate, closer
     )
     grouped = nodes.select("node", "first").join(groups.withColumnRenamed("id", "node"), "node", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "node"))

@@ -1,9 +1,11 @@
 """Near duplicates against all pairs of full shingle sets."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from goldenrec.llm import near_dup
 from goldenrec.llm.links import Scratch, components, star_groups
 from goldenrec.llm.near_dup import near_duplicates
 
@@ -80,3 +82,36 @@ def test_star_rounds_lose_no_group(spark):
     found = {r.id: r.component for r in groups.collect()}
     assert found == {i: i % 2 for i in range(size)}
     assert sum(asked) <= size * size / 2
+
+
+def test_pairs_of_a_group_that_shares_bands_and_does_not_link(spark, monkeypatch):
+    """Near copies with few to many changed words: most links go to the middle, the rest need not be tried."""
+    rng = random.Random(7)
+    vocabulary = ["w%d" % i for i in range(60)]
+    base = [rng.choice(vocabulary) for _ in range(150)]
+    rows = []
+    for doc_id in range(400):
+        words = base if doc_id % 20 else list(rows[doc_id - 3][1]) if doc_id else base
+        words = list(words)
+        for place in rng.sample(range(len(words)), min(int(rng.expovariate(1 / 4)), 14) if doc_id % 20 else 1):
+            words[place] = rng.choice(vocabulary)
+        rows.append((doc_id, words))
+    texts = [(doc_id, " ".join(words)) for doc_id, words in rows]
+    asked = []
+
+    def counted(members, infos, close, confirm, *more):
+        def counting(pairs):
+            asked.append(pairs.count())
+            return confirm(pairs)
+
+        return star_groups(members, infos, close, counting, *more)
+
+    monkeypatch.setattr(near_dup, "star_groups", counted)
+    found = near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    wanted = expected(texts)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == wanted
+    # some stay outside the large group, and several of these link with each other
+    sizes = sorted(Counter(component for _, _, component in wanted.elements()).values())
+    assert sizes[-1] < 330 and sizes[0] == 1 and sizes[-2] > 1
+    # beyond the two rounds of one centre a bucket; 3,023 by the size of the sets and their own shingles alone
+    assert sum(asked[2:]) < 400
