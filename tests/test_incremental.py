@@ -13,7 +13,7 @@ from goldenrec.plans import versions
 from goldenrec.schemas import BRONZE
 from goldenrec.sources.bronze import Batch, batch_path
 from goldenrec.sources.readers import read_bronze
-from goldenrec.streaming import tables
+from goldenrec.streaming import incremental, tables
 from goldenrec.streaming.incremental import GOLDEN, RECORDS, advance, incremental_table, receive, registry_root, touched_rows
 from helpers import RUN_TS, as_set
 
@@ -116,6 +116,22 @@ def test_a_run_that_fails_is_repeated_whole(spark, tmp_path, monkeypatch):
     assert versions.current(spark, registry_root(base, "clientes")).folders[GOLDEN][0].startswith("v1-")
 
 
+def test_rows_are_not_stored_once_more_beside_their_layers(spark, tmp_path, monkeypatch):
+    base, day, stored = str(tmp_path), datetime(2024, 3, 1, tzinfo=UTC), []
+    land(spark, base, KEYS[1], rows_of(KEYS[1], random.Random(3), 30, day, "p"), day, "p")
+
+    def counting(frame, name):
+        stored.append((name, (kept := store(frame, name)).count()))
+        return kept
+
+    store = incremental.stage
+    monkeypatch.setattr(incremental, "stage", counting)
+    advance(spark, base, RUN_TS)
+    rows = incremental_table(spark, base, "clientes", RECORDS).count()
+    # received, standardised, keys of the touched clusters, their members
+    assert rows > 9 and sum(count for _, count in stored) <= 4 * rows
+
+
 def test_empty_lake(spark, tmp_path):
     assert advance(spark, str(tmp_path), RUN_TS) == {"clientes": (0, 0), "fornecedores": (0, 0)}
     assert incremental_table(spark, str(tmp_path), "fornecedores").count() == 0
