@@ -30,6 +30,9 @@ UNKNOWN = "und"
 ROUNDS = 25
 RATE = 0.3
 DECAY = 1e-4
+# Bytes of text, and words, that the fit takes at a time where it handles single features: it runs on the driver.
+FIT_BYTES = 1 << 17
+FIT_WORDS = 1 << 13
 
 # Sizes of the weight tables, as powers of two: the bigrams of bytes have a place each.
 LEXICON, AFFIX, TRIGRAM = 1 << 17, 1 << 16, 1 << 16
@@ -154,6 +157,13 @@ def _chains(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.minimum(count[row] - number * CHAIN_WORDS, CHAIN_WORDS)
 
 
+def _by_word(begins: np.ndarray, features: int) -> Iterator[tuple[slice, slice]]:
+    """Ranges of FIT_WORDS words with the ranges of their features."""
+    for first in range(0, len(begins), FIT_WORDS):
+        last = min(first + FIT_WORDS, len(begins))
+        yield slice(first, last), slice(begins[first], begins[last] if last < len(begins) else features)
+
+
 def fit(texts: list[str], langs: list[str]) -> Model | None:
     """Model from labelled texts; None without any word.
 
@@ -166,7 +176,7 @@ def fit(texts: list[str], langs: list[str]) -> Model | None:
     ids, counts, target = [], [], []
     runs: list[np.ndarray] = []
     total = 0
-    for part in slices(column):
+    for part in slices(column, FIT_BYTES):
         words = find_words(part, LETTERS, LOWER)
         data = LOWER[part.data]
         own = _word_features(data, words)
@@ -175,7 +185,7 @@ def fit(texts: list[str], langs: list[str]) -> Model | None:
             np.searchsorted(words.start, at, "right") - 1 for at in (at2, at3)
         )])
         order = np.argsort(each, kind="stable")
-        ids.append(np.concatenate([own.reshape(-1), f2, f3])[order])
+        ids.append(np.concatenate([own.reshape(-1), f2, f3])[order].astype(np.int32))
         counts.append(np.bincount(each, minlength=len(own)))
         target.append(np.array([labels.index(langs[part.first + row]) for row in words.row], np.int64))
         starts = row_starts(words)
@@ -207,11 +217,17 @@ def fit(texts: list[str], langs: list[str]) -> Model | None:
     uses = np.bincount(grid[real], minlength=total).astype(float)
     truth = np.zeros((total, wide))
     truth[np.arange(total), target] = uses
-    known, place_of = np.unique(ids, return_inverse=True)
+    used = np.zeros(len(weights), bool)
+    used[ids] = True
+    known = np.flatnonzero(used)
+    place_of = (np.cumsum(used) - 1)[ids]
+    del ids
     active = np.zeros((len(known), wide))
     slope_sums = [np.full(active.shape, 1e-8), np.full(steps.shape, 1e-8), np.full(start.shape, 1e-8)]
     for _ in range(ROUNDS):
-        scores = np.add.reduceat(active[place_of], begins, axis=0)
+        scores = np.empty((total, wide))
+        for own, features in _by_word(begins, len(place_of)):
+            np.add.reduceat(active[place_of[features]], begins[own] - features.start, axis=0, out=scores[own])
         marginal, moved, _ = forward_backward(scores[grid], size, steps, start)
         expected = np.zeros((total, wide))
         for label in range(wide):

@@ -2,10 +2,12 @@
 
 import itertools
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from goldenrec.llm import language
 from goldenrec.llm.language import fit, forward_backward, identify, label_shares, learn
 from goldenrec.llm.words import slices
 from tests.llm.conftest import DOCS, prose
@@ -76,3 +78,14 @@ def test_nothing_to_learn_from(spark, docs, no_docs):
     assert identify(no_docs, None).count() == 0
     found = identify(docs, None).collect()
     assert {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
+
+
+def test_the_fit_does_not_hold_weights_of_all_features(monkeypatch):
+    monkeypatch.setattr(language, "ROUNDS", 1)
+    texts = [prose(seed, 560)[:2000] for seed in range(240)]
+    language.fit(texts[:8], ["a", "b"] * 4)
+    tracemalloc.start()
+    language.fit(texts, ["a", "b", "c", "d"] * 60)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 120e6, peak
