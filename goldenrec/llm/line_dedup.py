@@ -293,6 +293,16 @@ def _marked(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.withColumn("_hit", hit).drop("_word", "_bit", "_bits")
 
 
+def _members(lines: DataFrame) -> DataFrame:
+    """``bucket, id`` of all keys, dealt by bucket: one exchange for the ranges of the buckets and the join after them.
+
+    Neither is ever NULL, but Spark cannot know: the join alone would ask for the id, and shuffle rows of its own.
+    """
+    keys = _block_keys(F.col("words"), F.col("blocks"))
+    members = lines.select(F.explode(keys).alias("bucket"), "id")
+    return members.where(F.col("bucket").isNotNull() & F.col("id").isNotNull()).repartition("bucket")
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` rid of repeated lines, plus ``n_lines, n_removed``.
 
@@ -324,9 +334,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         *(F.first(name).alias(name) for name in ("chars", "words", "blocks")),
     )
     lines = stage(lines, "distinct-lines")
-    # one exchange serves the ranges of the buckets and the join that follows them
-    keys = _block_keys(F.col("words"), F.col("blocks"))
-    members = lines.select(F.explode(keys).alias("bucket"), "id").repartition("bucket")
+    members = _members(lines)
     texts: list[DataFrame] = []
 
     def prepare(ids: DataFrame) -> None:

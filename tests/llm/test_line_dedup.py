@@ -2,10 +2,13 @@
 
 import random
 import re
+import tempfile
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from goldenrec.llm import line_dedup
 from goldenrec.llm.line_dedup import EDIT_SIMILARITY, FOLD, SHORT, _read_lines, dedup_lines
 from goldenrec.llm.words import ALNUM, find_words, slices
 from tests.llm.conftest import prose, variant
@@ -197,3 +200,18 @@ def test_keys_do_not_depend_on_the_neighbours_of_a_line():
         line = prose(8, size, "abcdefghijklmnopqrstuvwxyz")
         assert read([line]) == read([prose(9, 50), "x\ny z \u4e8c\u4e09\u4e94\u4e8c", prose(1, 90) + "\n" + line])
         assert read([line])[0]["chars"] == len(line)
+
+
+def test_keys_are_shuffled_once_for_ranges_and_join(spark):
+    rows = [(i, 4, [i % 7, 2, 3, 4], 20) for i in range(40)]
+    path = f"{tempfile.mkdtemp()}/lines"
+    spark.createDataFrame(rows, "id long, words int, blocks array<int>, chars int").write.parquet(path)
+    lines = spark.read.parquet(path)
+    members = line_dedup._members(lines)
+    shared = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    found = members.join(shared, "bucket").select("bucket", "low", "id").distinct().join(lines.select("id", "chars"), "id")
+    assert found.count() > 40
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 2 and sum("ReusedExchange" in line for line in dealt) == 1
