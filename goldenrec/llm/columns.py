@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
 
+def text_place(names: Sequence[str]) -> int:
+    """Which of the columns ``names`` Spark means by ``text``."""
+    return names.index("text") if "text" in names else [name.lower() for name in names].index("text")
+
+
 def apart(frame: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """``frame`` with columns called like one of ``names`` renamed, and the way back for results.
 

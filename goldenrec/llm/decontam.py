@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenrec.llm.columns import apart
+from goldenrec.llm.columns import apart, text_place
 from goldenrec.llm.words import (
     ALNUM,
     LOWER,
+    SMALL_SLICE_BYTES,
     Slice,
     Words,
     find_words,
@@ -110,7 +111,7 @@ def _count_shingles(vocabulary) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, sizes = vocabulary.value
         for batch in batches:
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), SMALL_SLICE_BYTES):
                 words = find_words(part, ALNUM, LOWER)
                 for size in sizes:
                     _, hashes = windows(words, size)
@@ -174,13 +175,14 @@ def _hits(part: Slice, words: Words, block: Block) -> tuple[np.ndarray, ...]:
 
 
 def _find(shared, names: list[str]) -> Callable:
-    """Task function: documents with the windows of the block that occur in them; the last column is the text."""
+    """Task function: documents with the windows of the block that occur in them; columns pass through."""
+    text = text_place(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         items = pa.array(block.items, pa.string())
         for batch in batches:
-            for part in slices(batch.column(batch.num_columns - 1)):
+            for part in slices(batch.column(text), SMALL_SLICE_BYTES):
                 words = find_words(part, ALNUM, LOWER)
                 row, item, first, last = _hits(part, words, block)
                 entries = pa.StructArray.from_arrays(
@@ -189,7 +191,7 @@ def _find(shared, names: list[str]) -> Callable:
                 )
                 own = batch.slice(part.first, part.rows)
                 found = [pa.array(words.count.astype(np.int64)), list_array(np.bincount(row, minlength=part.rows), entries)]
-                yield pa.RecordBatch.from_arrays([*own.columns[:-1], *found], [*names, "n_words", "hits"])
+                yield pa.RecordBatch.from_arrays([*own.columns, *found], [*names, "n_words", "hits"])
 
     return run
 
@@ -252,7 +254,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, block_windows: int = B
     count its shingles and one to find them. Only further blocks need a join of what they found.
     """
     spark = docs.sparkSession
-    docs, restored = apart(docs.drop("n_words", "n_hit", "items", "hits"), ("_version", "_id", "_v", "_hits", "_text"))
+    docs, restored = apart(docs.drop("n_words", "n_hit", "items", "hits"), ("_version", "_id", "_v", "_hits"))
     kept = docs.withColumn("_version", F.xxhash64("text"))
     named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
     found = stage(named.mapInArrow(_item_windows, WINDOWS).dropDuplicates(["item", "text"]), "item-windows")
@@ -262,7 +264,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, block_windows: int = B
         own = found.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == number)
         shared = _block(spark, own, docs.select("text"))
         schema = T.StructType([*source.schema.fields, *T.DataType.fromDDL(HITS).fields])
-        return source.select("*", F.col("text").alias("_text")).mapInArrow(_find(shared, source.columns), schema)
+        return source.mapInArrow(_find(shared, source.columns), schema)
 
     result = search(0, kept)
     for number in range(1, blocks):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldenrec.llm.columns import apart
+from goldenrec.llm.columns import apart, text_place
 from goldenrec.llm.words import LOWER, Slice, Words, find_words, mix64, row_starts, slices
 
 # The model is fitted on a bounded sample: so many documents of a language, so many characters of each.
@@ -25,6 +25,8 @@ SAMPLE_DOCS = 120
 SAMPLE_CHARS = 2000
 # Words of one chain; longer texts are several chains, all of which are labelled.
 CHAIN_WORDS = 64
+# Bytes of text labelled at a time, times labels: a worker takes some 130 bytes for each byte of text at four labels.
+LABEL_BYTES = 1 << 20
 UNKNOWN = "und"
 
 ROUNDS = 25
@@ -266,15 +268,16 @@ def label_shares(part: Slice, model: Model) -> np.ndarray:
 
 
 def _predict(shared, names: list[str]) -> Callable:
-    """Task function: the last two columns are ``lettered`` and the text; the others pass through."""
+    """Task function: the last column is ``lettered``; the others, the text among them, pass through."""
+    text = text_place(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         wide = len(model.labels) if model else 1
         for batch in batches:
-            for part in slices(batch.column(batch.num_columns - 1), (1 << 23) // max(wide, 4)):
+            for part in slices(batch.column(text), LABEL_BYTES // max(wide, 4)):
                 own = batch.slice(part.first, part.rows)
-                lettered = np.asarray(own.column(own.num_columns - 2))
+                lettered = np.asarray(own.column(own.num_columns - 1))
                 best, score = np.full(part.rows, UNKNOWN, object), np.zeros(part.rows)
                 if model:
                     shares = label_shares(part, model)
@@ -282,7 +285,7 @@ def _predict(shared, names: list[str]) -> Callable:
                     best = np.where(lettered, np.array(model.labels, object)[top], UNKNOWN)
                     score = np.where(lettered, np.clip(shares[np.arange(part.rows), top], 0.0, 1.0), 0.0)
                 found = [pa.array(best, pa.string()), pa.array(score)]
-                yield pa.RecordBatch.from_arrays([*own.columns[:-2], *found], [*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*own.columns[:-1], *found], [*names, "lang_pred", "score"])
 
     return run
 
@@ -323,10 +326,10 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     from. Repeated rows are labelled each. Other columns pass through; input columns with one of the
     three names are replaced.
     """
-    docs, restored = apart(docs.drop("held_out", "lang_pred", "score"), ("_lettered", "_text"))
+    docs, restored = apart(docs.drop("held_out", "lang_pred", "score"), ("_lettered",))
     kept = docs.withColumn("held_out", held_out())
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    source = kept.select("*", lettered.alias("_lettered"), F.col("text").alias("_text"))
+    source = kept.select("*", lettered.alias("_lettered"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*kept.schema.fields, *found])

@@ -13,7 +13,19 @@ from pyspark.sql import functions as F
 
 from goldenrec.llm.columns import apart
 from goldenrec.llm.links import star_groups
-from goldenrec.llm.words import ALNUM, LOWER, Slice, cut, find_words, list_array, mix64, sequence_hash, signed, slices
+from goldenrec.llm.words import (
+    ALNUM,
+    LOWER,
+    SMALL_SLICE_BYTES,
+    Slice,
+    cut,
+    find_words,
+    list_array,
+    mix64,
+    sequence_hash,
+    signed,
+    slices,
+)
 from goldenrec.session import stage
 
 # Lines of fewer words are left alone: headings, blank lines, list marks. Scripts without spaces count by pieces.
@@ -122,7 +134,7 @@ def _blocks(line: np.ndarray, hashes: np.ndarray, lines: int) -> tuple[np.ndarra
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Place, identity (hash of the normalised words), length and blocks of every line of enough words."""
     for batch in batches:
-        for part in slices(batch.column(2)):
+        for part in slices(batch.column(2), SMALL_SLICE_BYTES):
             lines, rows, number = _line_slice(part)
             words = find_words(lines, ALNUM, FOLD)
             ends = _piece_ends(lines.data)
@@ -240,7 +252,7 @@ def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     too far apart not at all.
     """
     for batch in batches:
-        for part in cut(batch, [2, 3]):
+        for part in cut(batch, [2, 3], SMALL_SLICE_BYTES):
             kept, lefts, rights, bounds = [], [], [], []
             for place, (left, right) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
                 allowed = math.floor(max(len(left), len(right)) * (1 - EDIT_SIMILARITY))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from goldenrec.llm.links import star_groups
 from goldenrec.llm.words import (
     LOWER,
+    SMALL_SLICE_BYTES,
     SPACED,
     Slice,
     cut,
@@ -100,7 +101,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     probe = _probe_table()
     lanes = mix64(np.arange(1, BANDS + 1, dtype=_U))
     for batch in batches:
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(1), SMALL_SLICE_BYTES):
             row, value = shingle_sets(part)
             size = np.bincount(row, minlength=part.rows)
             have = np.flatnonzero(size)
@@ -131,7 +132,7 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the wanted node (a doc_id may stand for several texts)."""
     for batch in batches:
         wanted = np.asarray(batch.column(0))
-        for part in slices(batch.column(1)):
+        for part in slices(batch.column(1), SMALL_SLICE_BYTES):
             row, value = shingle_sets(part)
             size = np.bincount(row, minlength=part.rows)
             have = np.flatnonzero(size)
@@ -146,7 +147,7 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full shingle sets are similar enough."""
     for batch in batches:
-        for part in cut(batch, [2, 3]):
+        for part in cut(batch, [2, 3], SMALL_SLICE_BYTES):
             both = np.concatenate([shingle_rows(part.column(2)), shingle_rows(part.column(3))])
             both = both[np.lexsort((both[:, 1], both[:, 0]))]
             twice = (both[1:] == both[:-1]).all(axis=1)
@@ -162,7 +163,7 @@ def _view(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``same`` and ``beside`` count them over all parts. A part's counts of two texts bound what they can have in common in it.
     """
     for batch in batches:
-        for part in cut(batch, [2, 3]):
+        for part in cut(batch, [2, 3], SMALL_SLICE_BYTES):
             rows = part.num_rows
             mine = shingle_rows(part.column(2))
             both = np.concatenate([mine, shingle_rows(part.column(3))])
@@ -198,7 +199,7 @@ def _by_part(found: np.ndarray, rows: int) -> np.ndarray:
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per distinct shingle of each text."""
     for batch in batches:
-        for part in cut(batch, [1]):
+        for part in cut(batch, [1], SMALL_SLICE_BYTES):
             both = shingle_rows(part.column(1))
             node = part.column(0).take(pa.array(both[:, 0].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(signed(both[:, 1])), node], ["shingle", "node"])
@@ -207,7 +208,7 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def shingle_rows(column: pa.Array) -> np.ndarray:
     """(row of the batch, shingle hash) of every distinct shingle."""
     found = [np.zeros((0, 2), _U)]
-    for part in slices(column):
+    for part in slices(column, SMALL_SLICE_BYTES):
         row, value = shingle_sets(part)
         found.append(np.stack([(row + part.first).astype(_U), value], axis=1))
     return np.concatenate(found)

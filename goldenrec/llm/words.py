@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 
 # Bytes of text worked on at once; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 21
+# The same for operators that follow one another in one session: a worker keeps some 60 bytes for each byte of its
+# largest slice, beside an executor that has filled its heap.
+SMALL_SLICE_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)

@@ -3,6 +3,7 @@
 import itertools
 import math
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -89,3 +90,42 @@ def test_the_fit_does_not_hold_weights_of_all_features(monkeypatch):
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert peak < 120e6, peak
+
+
+def _labelled(model, texts):
+    """What a task makes of one batch, and the most memory it takes."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(texts), pa.array([True] * len(texts))], ["doc_id", "text", "_lettered"]
+    )
+    run = language._predict(SimpleNamespace(value=model), ["doc_id", "text"])
+    tracemalloc.start()
+    # as on the way to Spark: what was made of a slice is gone before the next
+    rows = [row for part in run(iter([batch])) for row in part.to_pylist()]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    return rows, peak
+
+
+def test_labelling_takes_little_memory_and_keeps_every_row(model, monkeypatch):
+    texts = [prose(i, 2000, SOUNDS[lang]) for i, lang in enumerate(list(SOUNDS) * 100)]
+    assert sum(map(len, texts)) > 2e6
+    _labelled(model, texts[:3])
+    found, peak = _labelled(model, texts)
+    assert peak < 80e6, peak
+    assert [(r["doc_id"], r["text"], r["lang_pred"]) for r in found] == [(i, t, list(SOUNDS)[i % 3]) for i, t in enumerate(texts)]
+    monkeypatch.setattr(language, "LABEL_BYTES", 1 << 23)
+    whole, most = _labelled(model, texts)
+    assert most > 2 * peak
+    assert [r["lang_pred"] for r in whole] == [r["lang_pred"] for r in found]
+    assert max(abs(a["score"] - b["score"]) for a, b in zip(whole, found, strict=True)) < 1e-6
+
+
+@pytest.mark.parametrize("name", ["text", "Text"])
+def test_texts_go_to_the_workers_once(spark, no_docs, name):
+    docs = no_docs.withColumnsRenamed({"text": name})
+    plan = identify(docs, None)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "MapInArrow":
+        plan = plan.children().head()
+    sent = plan.child().output()
+    assert [sent.apply(i).dataType().typeName() for i in range(sent.size())].count("string") == [f.dataType.typeName() for f in docs.schema].count("string")
+    assert identify(docs, None).columns[: len(docs.columns)] == docs.columns
