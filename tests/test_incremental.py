@@ -5,11 +5,12 @@ from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldenrec.operators.golden import build_golden
 from goldenrec.operators.resolve import resolve_entities
 from goldenrec.operators.standardize import SPECS, standardize, union_registry
-from goldenrec.plans import versions
+from goldenrec.plans import queries, versions
 from goldenrec.schemas import BRONZE
 from goldenrec.sources.bronze import Batch, batch_path
 from goldenrec.sources.readers import read_bronze
@@ -135,3 +136,59 @@ def test_rows_are_not_stored_once_more_beside_their_layers(spark, tmp_path, monk
 def test_empty_lake(spark, tmp_path):
     assert advance(spark, str(tmp_path), RUN_TS) == {"clientes": (0, 0), "fornecedores": (0, 0)}
     assert incremental_table(spark, str(tmp_path), "fornecedores").count() == 0
+
+
+def test_of_rows_loaded_at_once_the_greatest_stays_whenever_it_came(spark, tmp_path):
+    base, key, day = str(tmp_path), ("empresa_a", "clientes"), datetime(2024, 3, 1, tzinfo=UTC)
+    plain = dict.fromkeys(BRONZE[key].fieldNames()) | {"_ingested_at": day.isoformat(), "_batch_id": "b"}
+    for turn, names in enumerate([("b", "a", "c"), ("a", "b", "c")]):
+        rows = [tuple((plain | {"id": number, "nome_razao_social": name}).values()) for number, name in enumerate(names)]
+        land(spark, base, key, rows, day, f"part{turn}")
+        advance(spark, base, RUN_TS)
+    assert as_set(incremental_table(spark, base, "clientes")) == as_set(full(spark, base, "clientes")[1])
+    # the equal row and the smaller one are no change
+    assert touched_rows(spark, base, "clientes").count() == 1
+
+
+def test_no_layers_are_no_input(spark):
+    nothing = tables.read_layers(spark, "/nowhere", [], BRONZE["empresa_a", "clientes"])
+    keys = spark.range(5).select(F.col("id").cast("string").alias(tables.ROW))
+    text = nothing.join(keys, tables.ROW)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+    assert nothing.columns == [*BRONZE["empresa_a", "clientes"].fieldNames(), tables.ROW]
+
+
+@pytest.mark.parametrize("layers", [1, 2, 3, 5])
+def test_layers_are_read_as_their_newest_rows(spark, tmp_path, layers):
+    rng, live, folders, root = random.Random(layers), {}, [], str(tmp_path)
+    schema = T.StructType([T.StructField("v", T.LongType())])
+    for number in range(1, layers + 1):
+        rows = {str(key): None if rng.random() < 0.2 else number for key in rng.sample(range(12), 7)}
+        live |= rows
+        folders.append(f"v{number}")
+        written = [(v, key, number, v is None) for key, v in rows.items()]
+        spark.createDataFrame(written, tables.layered(schema)).write.parquet(f"{root}/v{number}")
+    found = {r[tables.ROW]: r.v for r in tables.read_layers(spark, root, folders, schema).collect()}
+    assert found == {key: v for key, v in live.items() if v is not None}
+
+
+def test_sources_of_the_batches_are_derived_once(spark, tmp_path, monkeypatch):
+    sf, calls, turns = "/root/testdata/sf0.001", [], []
+    whole = {key: queries.derive_registry(spark, sf, *key) for key in SPECS if key[1] == "clientes"}
+
+    def counting(spark, folder, *key):
+        calls.append(key)
+        return whole[key]
+
+    def landed(spark, base, run_ts):
+        turns.append({key: read_bronze(spark, f"{base}/bronze", *key) for key in whole})
+
+    monkeypatch.setattr(queries, "derive_registry", counting)
+    monkeypatch.setattr(queries, "advance", landed)
+    queries.incremental_gold(spark, sf)
+    assert sorted(calls) == sorted(whole) and len(turns) == 3
+    for key, rows in whole.items():
+        place = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+        for turn, bronze in enumerate(turns):
+            found = bronze[key].select(rows.columns)
+            assert found.exceptAll(rows.where(place <= turn)).isEmpty() and found.count() == rows.where(place <= turn).count()
