@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from goldenrec.operators.golden import build_golden, id_conflicts, list_entries, list_rows
 from goldenrec.operators.resolve import email_owners, resolve_entities
+from goldenrec.plans import queries
 from goldenrec.schemas import CLUSTER, GOLDEN
 from helpers import FAILED_QUERY, RUN_TS, as_set, silver
 
@@ -154,3 +155,26 @@ def test_id_conflicts(spark):
         build_golden(clustered, RUN_TS, strict=True).collect()
     clean = clustered.where(F.col("id_origem").isNull() | (F.col("id_origem") != "a-first"))
     assert build_golden(clean, RUN_TS, strict=True).count() == 4
+
+
+def test_counted_attributes_are_as_complete_and_never_repeated(spark):
+    clustered = sample(spark)
+    counted = build_golden(clustered, RUN_TS, counted=True)
+    entries = counted.select("cluster_key", F.explode("atributos_por_fonte").alias("e")).select("cluster_key", "e.*")
+    assert entries.columns == ["cluster_key", "fonte", "atributos", "registros"]
+    found = {(r.cluster_key, r.fonte, r.atributos): r.registros for r in entries.collect()}
+    rows = clustered.groupBy("cluster_key", "fonte", "atributos_extras").count().collect()
+    assert found == {(r["cluster_key"], r["fonte"], r["atributos_extras"]): r["count"] for r in rows}
+    whole = build_golden(clustered, RUN_TS)
+    assert as_set(counted.drop("atributos_por_fonte")) == as_set(whole.drop("atributos_por_fonte"))
+    assert max(found.values()) > 1
+
+
+def test_the_hot_cluster_has_no_entry_per_record_in_its_row(spark):
+    hot = queries.golden_hot(spark, "/root/testdata/sf0.001")
+    plan = hot._jdf.queryExecution().optimizedPlan().toString()
+    # its lists are read as the aggregate leaves them: only ids and totals are worked out behind it
+    assert "array_repeat" not in plan and "flatten" not in plan
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert hot.agg(F.sum("atributos")).first()[0] == lines.count()
+    assert hot.agg(F.sum("soma")).first()[0] == lines.agg(F.sum(F.col("l_quantity").cast("int"))).first()[0]
