@@ -3,10 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from goldenrec.operators.golden import build_golden, id_conflicts, list_entries, list_rows
+from goldenrec.operators import golden as golden_operators
+from goldenrec.operators.golden import build_golden, build_golden_by_size, id_conflicts, list_entries, list_rows
 from goldenrec.operators.resolve import email_owners, resolve_entities
 from goldenrec.plans import queries
 from goldenrec.schemas import CLUSTER, GOLDEN
+from goldenrec.session import stage
 from helpers import FAILED_QUERY, RUN_TS, as_set, silver
 
 DOC1, DOC2 = "26542351140", "36542351140"
@@ -178,3 +180,18 @@ def test_the_hot_cluster_has_no_entry_per_record_in_its_row(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert hot.agg(F.sum("atributos")).first()[0] == lines.count()
     assert hot.agg(F.sum("soma")).first()[0] == lines.agg(F.sum(F.col("l_quantity").cast("int"))).first()[0]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 1_000])
+def test_records_do_not_depend_on_how_a_cluster_is_gathered(spark, monkeypatch, limit):
+    monkeypatch.setattr(golden_operators, "SMALL", limit)
+    clustered = sample(spark).persist()
+    assert as_set(build_golden_by_size(clustered, RUN_TS)) == as_set(build_golden(clustered, RUN_TS))
+    with pytest.raises(FAILED_QUERY, match="several source ids"):
+        build_golden_by_size(clustered, RUN_TS, strict=True).collect()
+
+
+def test_records_of_small_clusters_are_shuffled_once(spark):
+    clustered = stage(sample(spark), "by-size")
+    plan = build_golden_by_size(clustered, RUN_TS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
